@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from riskloom import schema as S
 from riskloom.functions.shape import melt, ratio
 from riskloom.operators.running import exact_quantiles
+from riskloom.session import cut_lineage
 
 UNKNOWN_TARGET = "_unknown_"
 UNKNOWN_CATEGORY = "unknown"
@@ -271,26 +272,29 @@ def align_schema(df: DataFrame, columns: Sequence[str], fill: float = 0) -> Data
 
 def prepare(train: DataFrame, test: DataFrame, label: str = S.LABEL, key: str = S.KEY, time_col: str = S.TIME,
             smoothing: float = 10.0, scaled: bool = True) -> tuple[DataFrame, DataFrame, dict[str, DataFrame]]:
-    """All preparation steps in order, fitted on ``train``; returns both sides and the fitted tables."""
+    """All preparation steps in order, fitted on ``train``; returns both sides and the fitted tables.
+
+    The cleaned and the encoded rows are each written once, so that no fit repeats the joins before it.
+    """
     groups = S.column_groups(train)
     medians = median_fit(train, groups["v"] + groups["c"] + groups["d"] + groups["id_numeric"]
                          + [c for c in ("addr1", "addr2") if c in train.columns])
-    modes = mode_fit(train, groups["mode"]) if groups["mode"] else medians.limit(0)
-    fills = medians.unionByName(modes)
+    fills = medians.unionByName(mode_fit(train, groups["mode"])) if groups["mode"] else medians
+    fills = cut_lineage(fills, "fills")
 
     def clean(df: DataFrame) -> DataFrame:
         df = impute(df, fills, indicators=groups["v"])
         df = flag_encode(df, groups["m"], fill="missing")
-        return flag_encode(df, groups["id_flag"])
+        return cut_lineage(flag_encode(df, groups["id_flag"]), "clean")
 
     train, test = clean(train), clean(test)
     fitted = {"fills": fills}
     if groups["frequency"]:
-        fitted["freq"] = freq_fit(train, groups["frequency"])
-        rows = train.agg(F.count(F.lit(1)).alias("n")).scalar()
+        fitted["freq"] = cut_lineage(freq_fit(train, groups["frequency"]), "freq")
+        rows = train.count()
         train, test = (freq_encode(x, fitted["freq"], groups["frequency"], rows) for x in (train, test))
     if groups["target"]:
-        fitted["target"] = target_fit(train, groups["target"], label, smoothing)
+        fitted["target"] = cut_lineage(target_fit(train, groups["target"], label, smoothing), "target")
         train, test = (target_encode(x, fitted["target"], groups["target"]) for x in (train, test))
     if groups["one_hot"]:
         fitted["one_hot"] = one_hot_fit(train, groups["one_hot"])
@@ -298,6 +302,7 @@ def prepare(train: DataFrame, test: DataFrame, label: str = S.LABEL, key: str =
     train = drop_columns(train, (key, time_col))
     test = align_schema(test, train.columns)
     if scaled:
+        train = cut_lineage(train, "encoded")
         fitted["scaler"] = scaler_fit(train, [c for c in train.columns if c != label])
         train, test = scale(train, fitted["scaler"]), scale(test, fitted["scaler"])
     return train, test, fitted

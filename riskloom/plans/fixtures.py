@@ -100,8 +100,10 @@ def daily_models(spark: SparkSession, sf: str) -> DataFrame:
     day = F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date")).cast("bigint") + 1
     values = F.col("value")
     return table(spark, sf, "events").groupBy(F.col("event_type").alias("model_id"), day.alias("day")).agg(
-        F.round(F.lit(0.6) + F.lit(0.6) * F.count_if(values > 20.0) / F.count(F.lit(1)), 4).alias("recall"),
-        F.round(F.lit(0.4) * F.count_if(values > 80.0) / F.count(F.lit(1)) + 0.01, 4).alias("ks_score"),
+        (F.floor((F.lit(0.6) + F.lit(0.6) * F.count_if(values > 20.0) / F.count(F.lit(1))) * 10000) / 10000.0)
+        .alias("recall"),
+        (F.floor((F.lit(0.4) * F.count_if(values > 80.0) / F.count(F.lit(1)) + 0.01) * 10000) / 10000.0)
+        .alias("ks_score"),
     )
 
 
@@ -154,7 +156,7 @@ with ev as (
 DAILY_SQL = """
 with recursive daily as (
   select event_type as model_id, date_diff('day', date '2024-01-01', cast(ts as date)) + 1 as day,
-         round(0.6::double + 0.6::double * count(*) filter (value > 20.0) / count(*), 4) as recall,
-         round(0.4::double * count(*) filter (value > 80.0) / count(*) + 0.01::double, 4) as ks_score
+         floor((0.6::double + 0.6::double * count(*) filter (value > 20.0) / count(*)) * 10000) / 10000.0::double as recall,
+         floor((0.4::double * count(*) filter (value > 80.0) / count(*) + 0.01::double) * 10000) / 10000.0::double as ks_score
   from events group by 1, 2)
 """
