@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler, VectorSlicer
+from pyspark.ml.feature import VectorAssembler, VectorSizeHint, VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,13 +90,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 def vectorized(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Turn an array feature column into the vector the learners read; other columns stay."""
-    if len(features) == 1 and isinstance(df.schema[features[0]].dataType, T.ArrayType):
+    if _is_array(df, features):
         return df.withColumn(features[0], array_to_vector(F.col(features[0]).cast("array<double>")))
     return df
 
 
-def _assembler(features: Sequence[str]) -> VectorAssembler:
-    return VectorAssembler(inputCols=list(features), outputCol=FEATURES, handleInvalid="keep")
+def _is_array(df: DataFrame, features: Sequence[str]) -> bool:
+    return len(features) == 1 and isinstance(df.schema[features[0]].dataType, T.ArrayType)
+
+
+def _assembler(df: DataFrame, features: Sequence[str]) -> PipelineModel:
+    """Features to one vector. An array column states its length once, so that streams can be scored as well."""
+    stages = []
+    if _is_array(df, features):
+        size = df.agg(F.max(F.size(features[0])).alias("n")).first()["n"]
+        stages.append(VectorSizeHint(inputCol=features[0], size=size, handleInvalid="optimistic"))
+    stages.append(VectorAssembler(inputCols=list(features), outputCol=FEATURES, handleInvalid="keep"))
+    return PipelineModel(stages=stages)
 
 
 def _gbt(label: str, cfg: TreeConfig, weight: str | None, validation: str | None, column: str = FEATURES):
@@ -122,14 +132,14 @@ def train_gbt(df: DataFrame, features: Sequence[str], label: str = S.LABEL, cfg:
     """Boosted trees; with a validation column the rounds stop when its loss no longer falls."""
     ensure_checkpoint_dir(df.sparkSession)
     rows = _training_columns(df, features, label, weight, validation)
-    assembler = _assembler(features)
+    assembler = _assembler(df, features)
     model = _gbt(label, cfg, weight, validation).fit(assembler.transform(rows))
-    return PipelineModel(stages=[assembler, model])
+    return PipelineModel(stages=[*assembler.stages, model])
 
 
 def _forest(df: DataFrame, features: Sequence[str], label: str, trees: int, depth: int, seed: int):
     weighted = balanced_weight(df, label)
-    rows = _assembler(features).transform(_training_columns(weighted, features, label, WEIGHT))
+    rows = _assembler(df, features).transform(_training_columns(weighted, features, label, WEIGHT))
     return RandomForestClassifier(
         featuresCol=FEATURES, labelCol=label, weightCol=WEIGHT, numTrees=trees, maxDepth=depth, seed=seed
     ).fit(rows)
@@ -137,7 +147,7 @@ def _forest(df: DataFrame, features: Sequence[str], label: str, trees: int, dept
 
 def feature_names(df: DataFrame, features: Sequence[str]) -> list[str]:
     """Names by vector position; an array column counts as ``<name>_0``, ``<name>_1`` and so on."""
-    if len(features) == 1 and isinstance(df.schema[features[0]].dataType, T.ArrayType):
+    if _is_array(df, features):
         size = df.agg(F.max(F.size(features[0])).alias("n")).first()["n"] or 0
         return [f"{features[0]}_{i}" for i in range(size)]
     return list(features)
@@ -172,10 +182,10 @@ def train_rf_hybrid(df: DataFrame, features: Sequence[str], label: str = S.LABEL
     chosen = restore_order(topk_importance(importances, k)).first()["positions"]
     ensure_checkpoint_dir(df.sparkSession)
     rows = _training_columns(df, features, label, weight, validation)
-    assembler = _assembler(features)
+    assembler = _assembler(df, features)
     slicer = VectorSlicer(inputCol=FEATURES, outputCol="selected", indices=chosen)
     model = _gbt(label, cfg, weight, validation, "selected").fit(slicer.transform(assembler.transform(rows)))
-    return PipelineModel(stages=[assembler, slicer, model])
+    return PipelineModel(stages=[*assembler.stages, slicer, model])
 
 
 def importance_shift(early: DataFrame, late: DataFrame, features: Sequence[str], label: str = S.LABEL, k: int = 10,

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.operators import prepare
-from riskloom.plans import data_queries, drift_queries, metric_queries, monitor_queries, prepare_queries  # noqa: F401
+from riskloom.plans import (  # noqa: F401
+    data_queries, drift_queries, learn_queries, metric_queries, monitor_queries, prepare_queries, stream_queries,
+)
 from riskloom.plans.fixtures import TX_SQL, identity, tx
 from riskloom.plans.registry import ORACLES, QUERIES, query
 from riskloom.sources.tables import join_identity
