@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.ks import ks_pvalue
@@ -53,36 +53,28 @@ def ks_between(df: DataFrame, columns: Sequence[str], flag: str = CURRENT, min_n
     values on a side are left out. Repeated values are counted before the shuffle and every value range is
     ranked on its own, so neither a hot value nor a single feature can fill one task.
     """
+    columns = list(columns)
     cuts = range_cuts(df, columns) if cuts is None else cuts
     long = melt_ranged(df, {c: cuts.get(c, []) for c in columns}, keep=[flag])
     counted = long.groupBy("feature", RANGE, "value").agg(
-        F.sum((F.col(flag) == 0).cast("bigint")).alias("ref"), F.sum((F.col(flag) == 1).cast("bigint")).alias("cur")
+        F.count_if(F.col(flag) == 0).alias("ref"), F.count_if(F.col(flag) == 1).alias("cur")
     )
     cum = running_sums(counted, ["feature"], "value", ["ref", "cur"], any(cuts.values()))
-    totals = side_totals(df, columns, flag).where((F.col("n_ref") >= min_n) & (F.col("n_cur") >= min_n))
+    # Counts and means come from the counted values, so the input is read once.
+    totals = counted.groupBy("feature").agg(
+        F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur"),
+        F.sum(F.col("value") * F.col("ref")).alias("sum_ref"), F.sum(F.col("value") * F.col("cur")).alias("sum_cur"),
+    ).where((F.col("n_ref") >= min_n) & (F.col("n_cur") >= min_n))
     gap = F.abs(ratio(F.col("cum_ref"), F.col("n_ref")) - ratio(F.col("cum_cur"), F.col("n_cur")))
-    return cum.join(totals, "feature").groupBy("feature").agg(
-        F.max(gap).alias("ks_statistic"),
-        *[F.first(c).alias(c) for c in ("n_ref", "n_cur", "ref_mean", "cur_mean")],
+    # One totals row per feature.
+    widest = cum.join(F.broadcast(totals), "feature").groupBy("feature").agg(
+        F.max(gap).alias("ks_statistic"), *[F.first(c).alias(c) for c in totals.columns if c != "feature"]
+    )
+    name = F.get(F.array(*[F.lit(c) for c in columns]), F.col("feature"))
+    return widest.select(
+        name.alias("feature"), "ks_statistic", "n_ref", "n_cur", ratio(F.col("sum_ref"), F.col("n_ref")).alias("ref_mean"),
+        ratio(F.col("sum_cur"), F.col("n_cur")).alias("cur_mean"),
     )
-
-
-def side_totals(df: DataFrame, columns: Sequence[str], flag: str = CURRENT) -> DataFrame:
-    """Counts and means per side, one aggregate over one scan."""
-    def of(column: str, side: int) -> Column:
-        return F.when(F.col(flag) == side, as_double(column))
-
-    row = df.agg(*[
-        F.struct(
-            F.count(of(c, 0)).alias("n_ref"), F.count(of(c, 1)).alias("n_cur"),
-            F.avg(of(c, 0)).alias("ref_mean"), F.avg(of(c, 1)).alias("cur_mean"),
-        ).alias(c) for c in columns
-    ])
-    entries = F.array(*[
-        F.struct(F.lit(c).alias("feature"), *[F.col(c)[f].alias(f) for f in ("n_ref", "n_cur", "ref_mean", "cur_mean")])
-        for c in columns
-    ])
-    return row.select(F.inline(entries))
 
 
 def ks_two_sample(reference: DataFrame, current: DataFrame, columns: Sequence[str], min_n: int = 1,

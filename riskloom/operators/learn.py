@@ -21,6 +21,7 @@ from riskloom import schema as S
 from riskloom.functions.shape import ratio
 from riskloom.operators import metrics
 from riskloom.operators.running import exact_quantiles
+from riskloom.session import cut_lineage, spread_small
 from riskloom.sources.requests import confidence_band
 
 WEIGHT = "class_weight"
@@ -124,7 +125,7 @@ def _gbt(label: str, cfg: TreeConfig, weight: str | None, validation: str | None
 
 def _training_columns(df: DataFrame, features: Sequence[str], label: str, *extra: str | None) -> DataFrame:
     named = [c for c in extra if c]
-    return vectorized(df, features).select(*features, F.col(label).cast("double").alias(label), *named)
+    return spread_small(vectorized(df, features).select(*features, F.col(label).cast("double").alias(label), *named))
 
 
 def train_gbt(df: DataFrame, features: Sequence[str], label: str = S.LABEL, cfg: TreeConfig = TreeConfig(),
@@ -240,12 +241,12 @@ def score_batch(model: PipelineModel | None, df: DataFrame, features: Sequence[s
 
 def metric_row(model: PipelineModel, test: DataFrame, features: Sequence[str], label: str, name: str,
                fn_cost: float = 10.0, fp_cost: float = 1.0) -> DataFrame:
-    scored = probability(model, test, features, output="p", keep=[label])
-    cells = metrics.business_cost(metrics.prf(metrics.confusion(scored, label, "p")), fn_cost, fp_cost)
-    auc = metrics.auc_roc(scored, label, "p").scalar()
-    return cells.select(
-        F.lit(name).alias("model"), F.round("precision", 4).alias("precision"), F.round("recall", 4).alias("recall"),
-        F.round("f1", 4).alias("f1"), F.round(auc, 4).alias("auc_roc"), "tp", "fp", "fn", "tn", "business_cost",
+    # Written, so that the trees are walked once, however many metrics are read off the scores.
+    scored = cut_lineage(probability(model, test, features, output="p", keep=[label]), "scores")
+    row = metrics.evaluate(scored, label, "p", fn_cost=fn_cost, fp_cost=fp_cost)
+    return row.select(
+        F.lit(name).alias("model"), *[F.round(c, 4).alias(c) for c in ("precision", "recall", "f1", "auc_roc")],
+        "tp", "fp", "fn", "tn", "business_cost",
     )
 
 

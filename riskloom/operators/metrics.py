@@ -77,7 +77,10 @@ def score_counts(df: DataFrame, label: str, score: str, by: Sequence[str] = (),
 def auc_roc(df: DataFrame, label: str, score: str, by: Sequence[str] = (),
             cuts: list[float] | None = None) -> DataFrame:
     """Area under the ROC curve with average ranks on ties; null when a class is missing."""
-    counted, ranged = score_counts(df, label, score, by, cuts)
+    return _auc(*score_counts(df, label, score, by, cuts), by)
+
+
+def _auc(counted: DataFrame, ranged: bool, by: Sequence[str] = ()) -> DataFrame:
     return running_sums(counted, by, "score", ["neg"], ranged).groupBy(*by).agg(auc_of_counts().alias("auc_roc"))
 
 
@@ -91,7 +94,10 @@ def auc_of_counts() -> Column:
 def avg_precision(df: DataFrame, label: str, score: str, by: Sequence[str] = (),
                   cuts: list[float] | None = None) -> DataFrame:
     """Sum of precision times recall step over descending scores."""
-    counted, ranged = score_counts(df, label, score, by, cuts)
+    return _average_precision(*score_counts(df, label, score, by, cuts), by)
+
+
+def _average_precision(counted: DataFrame, ranged: bool, by: Sequence[str] = ()) -> DataFrame:
     cum = running_sums(counted, by, "score", ["pos", "neg"], ranged, descending=True)
     at = precision(F.col("cum_pos"), F.col("cum_neg"))
     return cum.groupBy(*by).agg(
@@ -161,14 +167,28 @@ def score_histogram(df: DataFrame, label: str, score: str, bins: int = 50, lo: f
     return rows.groupBy("label", bucket.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def cells_of_counts(counted: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """The confusion row of counts per score."""
+    def total(column: str, hit: Column) -> Column:
+        return F.coalesce(F.sum(F.when(hit, F.col(column))), F.lit(0)).cast("bigint")
+
+    hit = F.col("score") >= threshold
+    return counted.agg(
+        total("pos", hit).alias("tp"), total("neg", hit).alias("fp"), total("pos", ~hit).alias("fn"),
+        total("neg", ~hit).alias("tn"),
+    )
+
+
 def evaluate(df: DataFrame, label: str, score: str, threshold: float = 0.5, fn_cost: float = 10.0,
-             fp_cost: float = 1.0) -> DataFrame:
-    """One row with every evaluation metric."""
-    cells = business_cost(prf(confusion(df, label, score, threshold)), fn_cost, fp_cost)
+             fp_cost: float = 1.0, cuts: list[float] | None = None) -> DataFrame:
+    """One row with every evaluation metric.
+
+    All of them come from the counts per score, whose shuffle is shared, so the rows are scored once.
+    """
+    counted, ranged = score_counts(df, label, score, (), cuts)
+    cells = business_cost(prf(cells_of_counts(counted, threshold)), fn_cost, fp_cost)
     return cells.select(
-        "*",
-        auc_roc(df, label, score).scalar().alias("auc_roc"),
-        avg_precision(df, label, score).scalar().alias("avg_precision"),
+        "*", _auc(counted, ranged).scalar().alias("auc_roc"), _average_precision(counted, ranged).scalar().alias("avg_precision"),
         ratio(F.col("tp") + F.col("fn"), F.col("tp") + F.col("fn") + F.col("fp") + F.col("tn")).alias("positive_rate"),
     )
 

@@ -60,18 +60,45 @@ def _best(queries: pd.DataFrame, points: pd.DataFrame, k: int) -> pd.DataFrame:
 
 def nearest_neighbours(points: DataFrame, id_col: str, vector_col: str, k: int = 5, seed: int = 42,
                        chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """``(id, nbr, dist, rank)``: the k nearest other points by Euclidean distance, ranks from 1."""
+    """``(id, nbr, dist, rank)``: the k nearest other points by Euclidean distance, ranks from 1.
+
+    Equal points are searched as one, so copies cost no more than a single point: of a group of copies only the
+    ``k + 1`` smallest ids can be anybody's neighbours.
+    """
     rows = points.select(
         F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("vec")
     )
+    first_ids = rows.withColumn("place", F.row_number().over(Window.partitionBy("vec").orderBy("id")))
+    groups = first_ids.where(F.col("place") <= k + 1).groupBy("vec").agg(
+        F.sort_array(F.collect_list("id")).alias("ids")  # at most k + 1
+    )
+    distinct = cut_lineage(groups.select(F.col("ids")[0].alias("id"), "vec", "ids"), "distinct")
+    pairs = _search(distinct.select("id", "vec"), k, seed, chunk_rows)
+    members = distinct.select(F.col("id").alias("nbr"), "ids")
+    others = pairs.join(members, "nbr").select("id", "dist", F.explode("ids").alias("nbr"))
+    own = distinct.select("id", F.lit(0.0).alias("dist"), F.explode("ids").alias("nbr"))
+    near = _ranked(others.unionByName(own), k + 1).groupBy("id").agg(
+        F.sort_array(F.collect_list(F.struct("rank", "nbr", "dist"))).alias("near")  # at most k + 1
+    )
+    # Every point takes the list of its group without itself. The group side is unique per vector.
+    listed = near.join(distinct.select("id", "vec"), "id").select("vec", "near")
+    chosen = rows.join(listed, "vec").select(
+        "id", F.slice(F.filter("near", lambda e: e["nbr"] != F.col("id")), 1, k).alias("near")
+    )
+    return chosen.select("id", F.posexplode("near").alias("rank", "e")).select(
+        "id", "e.nbr", "e.dist", (F.col("rank") + 1).alias("rank")
+    )
+
+
+def _search(rows: DataFrame, k: int, seed: int, chunk_rows: int) -> DataFrame:
+    """``(id, nbr, dist, rank)`` among distinct points."""
     n = rows.count()
     cells = min(MAX_PIVOTS, math.ceil(n / chunk_rows))
     if cells <= 1:
         placed = rows.select("*", F.lit(0).alias("cell"), F.lit(0).alias("chunk"))
-        visits = rows.select("id", "vec", F.lit(0).alias("cell"), F.lit(0).alias("chunk"))
-        return _ranked(_probe(visits, placed, k, n, seed), k)
+        return _ranked(_probe(placed, placed, k, n, seed), k)
     pivots = _pivots(rows, cells, seed)
-    placed = cut_lineage(_assign(rows, pivots, n, chunk_rows, seed), "cells")
+    placed = cut_lineage(_assign(rows, pivots, chunk_rows, seed), "cells")
     sizes = placed.groupBy("cell").agg(
         F.max("own").alias("radius"), (F.max("chunk") + 1).alias("chunks")
     ).collect()  # one row per pivot
@@ -88,7 +115,7 @@ def _pivots(rows: DataFrame, cells: int, seed: int) -> np.ndarray:
     return np.unique(np.array([r["vec"] for r in chosen], dtype="float64"), axis=0)
 
 
-def _assign(rows: DataFrame, pivots: np.ndarray, n: int, chunk_rows: int, seed: int) -> DataFrame:
+def _assign(rows: DataFrame, pivots: np.ndarray, chunk_rows: int, seed: int) -> DataFrame:
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if batch.empty:
@@ -161,7 +188,7 @@ def _ranked(candidates: DataFrame, k: int) -> DataFrame:
     return candidates.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def hash_rank(df: DataFrame, id_col: str, seed: int, buckets: int = 1024) -> DataFrame:
+def hash_rank(df: DataFrame, id_col: str, seed: int, buckets: int = 16_384) -> DataFrame:
     """Add ``__rank`` from 0 in hash order, ranking each hash bucket on its own."""
     h = F.xxhash64(F.lit(seed), F.col(id_col))
     # The top bits, so that buckets are in hash order.

@@ -132,8 +132,8 @@ class QualityConfig:
     v_columns: Sequence[str] = field(default_factory=tuple)
 
 
-def all_checks(df: DataFrame, cfg: QualityConfig = QualityConfig()) -> DataFrame:
-    """The eight checks. One whose column is absent fails as an issue; absent keys leave theirs unanswered."""
+def planned_checks(df: DataFrame, cfg: QualityConfig) -> list[Check]:
+    """The checks one scan answers. One whose column is absent fails as an issue."""
     present = set(df.columns)
     planned = [
         (cfg.label, binary_label(cfg.label), "binary_label"),
@@ -141,56 +141,72 @@ def all_checks(df: DataFrame, cfg: QualityConfig = QualityConfig()) -> DataFrame
         (cfg.amount, positive(cfg.amount, "positive_amount"), "positive_amount"),
         (cfg.time, positive(cfg.time, "positive_time"), "positive_time"),
     ]
-    absent = Check("", "issue", F.lit(1), F.lit(None), F.lit(False))
-    checks = [c if column in present else Check(name, "issue", absent.n_bad, absent.observed, absent.passed)
+    checks = [c if column in present else Check(name, "issue", F.lit(1), F.lit(None), F.lit(False))
               for column, c, name in planned]
-    checks += [missing_check(df, cfg.max_missing), min_rows(cfg.rows)]
-    frames = required_columns(df, cfg.required).unionByName(run_checks(df, checks))
-    if cfg.key in present:
-        return frames.unionByName(duplicate_keys(df, [cfg.key]))
-    gone = Check("duplicate_keys", "issue", F.lit(0), F.lit(None), F.lit(False))
-    return frames.unionByName(run_checks(df, [gone]))
+    return [*checks, missing_check(df, cfg.max_missing), min_rows(cfg.rows)]
+
+
+def key_check(df: DataFrame, cfg: QualityConfig) -> DataFrame:
+    """The duplicate check, which needs its own grouping; an absent key leaves it unanswered."""
+    if cfg.key in df.columns:
+        return duplicate_keys(df, [cfg.key])
+    return df.sparkSession.createDataFrame([("duplicate_keys", "issue", False, 0, None)], CHECK_FIELDS)
+
+
+def all_checks(df: DataFrame, cfg: QualityConfig = QualityConfig()) -> DataFrame:
+    """The eight checks as rows."""
+    return (
+        required_columns(df, cfg.required).unionByName(run_checks(df, planned_checks(df, cfg)))
+        .unionByName(key_check(df, cfg))
+    )
 
 
 def quality_report(df: DataFrame, identity: DataFrame, cfg: QualityConfig = QualityConfig()) -> DataFrame:
-    """One row: counts, pass rate, verdict, failed checks by severity and dataset statistics."""
-    checks = all_checks(df, cfg)
-    # An unanswerable duplicate check counts as not passed, yet is no issue.
-    failed = ~F.col("passed") & (F.col("n_bad") > 0)
-    names = lambda severity: F.sort_array(
-        F.collect_list(F.when(failed & (F.col("severity") == severity), F.col("check")))
+    """One row: counts, pass rate, verdict, failed checks by severity and dataset statistics.
+
+    Checks and statistics share one scan; the duplicate check adds one grouping by key.
+    """
+    rows = F.count(F.lit(1))
+    v_columns = list(cfg.v_columns) or S.column_groups(df)["v"]
+    present = F.struct(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
+    rate = F.avg(F.col(cfg.label).cast("double")) if cfg.label in df.columns else F.lit(None).cast("double")
+    scan = df.agg(
+        F.array(*[c.entry() for c in planned_checks(df, cfg)]).alias("scanned"), rows.alias("tx_rows"),
+        rate.alias("rate"), present.alias("present"),
     )
-    verdict = checks.agg(
-        F.count_if("passed").alias("checks_passed"),
-        F.count(F.lit(1)).alias("checks_total"),
-        names("issue").alias("issues"),
-        names("warning").alias("warnings"),
+    absent = [c for c in cfg.required if c not in df.columns]
+    named = F.struct(
+        F.lit("required_columns").alias("check"), F.lit("issue").alias("severity"), F.lit(not absent).alias("passed"),
+        F.lit(len(absent)).cast("bigint").alias("n_bad"), F.lit(float(len(absent))).alias("observed"),
     )
-    v_columns = list(cfg.v_columns) or S.column_groups(df)["v"]
-    rows = F.count(F.lit(1))
+    keys = key_check(df, cfg).select(F.struct("check", "severity", "passed", "n_bad", "observed").alias("c")).scalar()
+    checks = F.concat(F.array(named), F.col("scanned"), F.array(keys))
+
+    def failed(severity: str) -> Column:
+        # An unanswerable duplicate check counts as not passed, yet is no issue.
+        bad = F.filter("checks", lambda c: ~c["passed"] & (c["n_bad"] > 0) & (c["severity"] == severity))
+        return F.sort_array(F.transform(bad, lambda c: c["check"]))
 
     def mean_missing(columns: Sequence[str]) -> Column:
         if not columns:
             return F.lit(None).cast("double")
-        return sum(ratio(rows - F.count(F.col(f"`{c}`")), rows) for c in columns) / len(columns)
+        counts = F.array(*[F.col("present")[c] for c in columns])
+        share = F.aggregate(counts, F.lit(0).cast("bigint"), lambda a, n: a + n)
+        return F.round(1.0 - ratio(share, F.col("tx_rows") * len(columns), default=1.0), 4)
 
-    rate = F.avg(F.col(cfg.label).cast("double")) if cfg.label in df.columns else F.lit(None).cast("double")
-    stats = df.agg(F.struct(
-        rows.alias("tx_rows"), F.lit(len(df.columns)).alias("tx_columns"),
-        F.round(rate, 6).alias("fraud_rate"),
-        F.round(mean_missing(df.columns), 4).alias("overall_missing_pct"),
-        F.round(mean_missing(v_columns), 4).alias("v_feature_missing_pct"),
-    ).alias("s")).scalar()
-    id_rows = identity.agg(rows.alias("n")).scalar()
-    return verdict.select(
+    judged = scan.select("*", checks.alias("checks")).select(
+        "*", F.size(F.filter("checks", lambda c: c["passed"])).alias("checks_passed"), F.size("checks").alias("checks_total"),
+        failed("issue").alias("issues"), failed("warning").alias("warnings"),
+    )
+    return judged.select(
         "checks_passed", "checks_total",
         F.round(F.col("checks_passed") / F.col("checks_total"), 4).alias("pass_rate"),
         "issues", "warnings",
         F.struct(
-            stats["tx_rows"].alias("tx_rows"), stats["tx_columns"].alias("tx_columns"), id_rows.alias("id_rows"),
-            F.lit(len(identity.columns)).alias("id_columns"), stats["fraud_rate"].alias("fraud_rate"),
-            stats["overall_missing_pct"].alias("overall_missing_pct"),
-            stats["v_feature_missing_pct"].alias("v_feature_missing_pct"),
+            "tx_rows", F.lit(len(df.columns)).alias("tx_columns"),
+            identity.agg(rows.alias("n")).scalar().alias("id_rows"), F.lit(len(identity.columns)).alias("id_columns"),
+            F.round("rate", 6).alias("fraud_rate"), mean_missing(df.columns).alias("overall_missing_pct"),
+            mean_missing(v_columns).alias("v_feature_missing_pct"),
         ).alias("dataset_stats"),
         (F.size("issues") == 0).alias("validation_passed"),
     )

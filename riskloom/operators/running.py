@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.shape import as_double
-from riskloom.session import is_small
+from riskloom.session import is_small, spread_small
 
 ROWS_PER_RANGE = 4_000_000
 MAX_RANGES = 2048
@@ -63,13 +63,16 @@ def with_ranges(df: DataFrame, cuts: dict[str, list[float]], suffix: str = "__ra
 
 
 def melt_ranged(df: DataFrame, cuts: dict[str, list[float]], keep: Sequence[str] = ()) -> DataFrame:
-    """Long form ``(*keep, feature, value, value_range)`` without missing values."""
+    """Long form ``(*keep, feature, value, value_range)`` without missing values.
+
+    ``feature`` is the column's position in ``cuts``: four bytes in every shuffled row instead of a name.
+    """
     columns = list(cuts)
-    wide = df.select(*keep, *[as_double(c).alias(c) for c in columns])
+    wide = spread_small(df.select(*keep, *[as_double(c).alias(c) for c in columns]))
     wide = with_ranges(wide, cuts)
     entries = F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).alias("value"), F.col(f"{c}__range").alias(RANGE))
-        for c in columns
+        F.struct(F.lit(i).alias("feature"), F.col(c).alias("value"), F.col(f"{c}__range").cast("int").alias(RANGE))
+        for i, c in enumerate(columns)
     ])
     return wide.select(*keep, F.inline(entries)).where(F.col("value").isNotNull())
 

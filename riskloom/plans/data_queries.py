@@ -66,13 +66,6 @@ def _(spark, sf):
     )
 
 
-@query("write_report")
-def _(spark, sf):
-    path = scratch(spark, "report")
-    tables.write_report(quality.quality_report(tx(spark, sf), identity(spark, sf), CFG), path)
-    return spark.read.json(path)
-
-
 @query("save_fit_maps", TX_SQL + """
 select 'freq' as kind, 'card1' as feature, cast(card1 as varchar) as value,
        round(count(*) / (select count(card1) from train), 8) as number
@@ -128,7 +121,7 @@ def rounded(df):
     return df.withColumn("observed", F.round("observed", 6))
 
 
-@query("dq_required_columns")
+@query("dq_required_columns", check_sql("required_columns", "issue", "true", "0", "0", "(select 1)"))
 def _(spark, sf):
     return quality.required_columns(tx(spark, sf), CFG.required)
 
@@ -200,7 +193,7 @@ def _(spark, sf):
     return out.withColumn("missing", F.round("missing", 6))
 
 
-@query("dq_report", TX_SQL + """
+REPORT_SQL = TX_SQL + """
 , dup as (select coalesce(sum(n - 1), 0) as extra from (select count(*) as n from tx group by tid)),
 s as (select count(*) filter (y not in (0, 1)) as bad_y, avg(y) as rate, count(*) filter (amt <= 0) as bad_amt,
              count(*) filter (dt <= 0) as bad_dt, count(*) as n from tx)
@@ -213,9 +206,10 @@ select 1 + (bad_y = 0)::int + (rate between 0.001 and 0.2)::int + (bad_amt = 0):
        (bad_amt > 0)::int + (bad_dt > 0)::int as n_warnings, n as tx_rows, (select count(*) from ident) as id_rows,
        round(rate, 6) as fraud_rate,
        (bad_y = 0) and (rate between 0.001 and 0.2) and (extra = 0) and (n >= 100) as validation_passed
-from s, dup""")
-def _(spark, sf):
-    report = quality.quality_report(tx(spark, sf), identity(spark, sf), CFG)
+from s, dup"""
+
+
+def flat(report):
     return report.select(
         "checks_passed", "checks_total", "pass_rate", F.size("issues").alias("n_issues"),
         F.size("warnings").alias("n_warnings"), "dataset_stats.tx_rows", "dataset_stats.id_rows",
@@ -223,6 +217,19 @@ def _(spark, sf):
     )
 
 
+@query("dq_report", REPORT_SQL)
+def _(spark, sf):
+    return flat(quality.quality_report(tx(spark, sf), identity(spark, sf), CFG))
+
+
+@query("write_report", REPORT_SQL)
+def _(spark, sf):
+    path = scratch(spark, "report")
+    report = quality.quality_report(tx(spark, sf), identity(spark, sf), CFG)
+    tables.write_report(report, path)
+    return flat(spark.read.schema(report.schema).json(path))
+
+
 # -- projections -----------------------------------------------------------------------------------------------
 
 
@@ -235,7 +242,17 @@ def wide_names(df):
     ])
 
 
-@query("column_groups")
+GROUP_MEMBERS = {
+    "v": {f"V{i}": f"v{i}" for i in range(1, 6)}, "c": {"C1": "c1"}, "d": {"D1": "d1", "D15": "d15"}, "m": {"M1": "m1"},
+    "id": {"id_01": "id_01", "id_12": "id_12"}, "id_numeric": {"id_01": "id_01"}, "id_flag": {"id_12": "id_12"},
+    "frequency": {c: c for c in ("card1", "card2", "addr1", "addr2")}, "target": {"P_emaildomain": "pemail"},
+    "one_hot": {"ProductCD": "productcd", "DeviceType": "devicetype"}, "mode": {"card1": "card1", "card2": "card2"},
+}
+
+
+@query("column_groups", TX_SQL + ", wide as (select tx.*, id_01, devicetype, id_12 from tx left join ident on tx.tid = ident.tid) "
+       + " union all ".join(f"select '{g}' as grp, '{name}' as \"column\", round(1 - count({c}) / count(*), 6) as missing from wide"
+                            for g, members in GROUP_MEMBERS.items() for name, c in members.items()))
 def _(spark, sf):
     df = wide_names(tables.join_identity(tx(spark, sf), identity(spark, sf), "tid"))
     rates = quality.missing_fractions(df)
@@ -244,7 +261,9 @@ def _(spark, sf):
     return rates.join(roles, "column").select("grp", "column", F.round("missing", 6).alias("missing"))
 
 
-@query("numeric_columns")
+@query("numeric_columns", TX_SQL + " union all ".join(
+    f"select '{c}' as \"column\", count({c}) as n from tx" for c in TX_ORDER
+    if c not in ("y", "dt", "productcd", "pemail", "m1")))
 def _(spark, sf):
     df = tx(spark, sf)
     columns = numeric_columns(df, ("y", "dt"))

@@ -68,8 +68,9 @@ select feature, ks_statistic, p_value, p_value < 0.05 as drifted, ref_mean, curr
 def _(spark, sf):
     shipped = F.unix_seconds(F.col("l_shipdate").cast("timestamp")).cast("double").alias("shipped")
     df = table(spark, sf, "lineitem").select(*LINE_FEATURES, shipped)
-    early, late = prepare.temporal_split(df, "shipped", 0.3)
-    return drift.feature_scores(drift.ks_two_sample(early, late, LINE_FEATURES), method="asymptotic")
+    late = (F.col("shipped") > prepare.split_point(df, "shipped", 0.3)).cast("int")
+    ks = drift.ks_between(df.select(*LINE_FEATURES, late.alias(drift.CURRENT)), LINE_FEATURES)
+    return drift.feature_scores(ks, method="asymptotic")
 
 
 @query("ks_pvalue", TX_LONG_SQL + KS_TAIL_SQL + "select feature, p_value, p_value < 0.05 as drifted from scores")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskloom.operators import retrain
-from riskloom.plans.drift_queries import fold_sql
+from riskloom.plans.drift_queries import KS_TAIL_SQL, fold_sql
 from riskloom.plans.fixtures import DAILY_SQL, EVENTS_SQL, daily_models, metric_events, scratch, table
 from riskloom.plans.learn_queries import TX_FEATURES, trained
 from riskloom.plans.monitor_queries import HOURLY_SQL, HOUR
@@ -37,7 +37,12 @@ def _(spark, sf):
     )
 
 
-@query("live_recall")
+@query("live_recall", EVENTS_SQL + f"""
+select sec - sec % 86400 as window_start, count(*) filter (score >= 0.5 and status = '500') as tp,
+       count(*) filter (score >= 0.5 and status <> '500') as fp, count(*) filter (score < 0.5 and status = '500') as fn,
+       count(*) filter (score < 0.5 and status <> '500') as tn,
+       round(tp / nullif(tp + fn, 0), 6) as recall, round(fp / nullif(fp + tn, 0), 6) as fpr
+from ev group by 1 having window_start + 86400 <= {CLOSED_SQL} - {HOUR}""")
 def _(spark, sf):
     events = events_stream(spark, sf)
     scores = events.select("event_id", F.col("ts").alias("scored_at"), F.col("score").alias("probability"))
@@ -45,7 +50,8 @@ def _(spark, sf):
     labels = events_stream(spark, sf).select(
         "event_id", later.alias("labelled_at"), (F.col("status") == "500").cast("int").alias("y")
     )
-    return streams.run_available(streams.live_recall(scores, labels, "event_id", "1 day", DELAY), "recall")
+    out = streams.run_available(streams.live_recall(scores, labels, "event_id", "1 day", DELAY), "recall")
+    return out.withColumns({c: F.round(c, 6) for c in ("recall", "fpr")})
 
 
 @query("score_stream")
@@ -57,12 +63,18 @@ def _(spark, sf):
     return streams.run_available(streams.score_stream(model, source, TX_FEATURES, "tid"), "scored")
 
 
-@query("drift_stream")
+@query("drift_stream", """
+with base as (select value / (value + 50.0::double) as score, user_id::double as user_id, ts from events),
+long as (select 'score' as feature, score as value, 1 as cur from base union all select 'user_id', user_id, 1 from base
+  union all select 'score', score, 0 from base where ts < timestamp '2024-01-11'
+  union all select 'user_id', user_id, 0 from base where ts < timestamp '2024-01-11')
+""" + KS_TAIL_SQL + "select feature, ks_statistic, p_value, p_value < 0.05 as drifted, ref_mean, curr_mean from scores")
 def _(spark, sf):
     reference = metric_events(spark, sf).where(F.col("ts") < F.lit("2024-01-11").cast("timestamp"))
-    return streams.drift_stream(
+    scores = streams.drift_stream(
         events_stream(spark, sf), reference, ["score", "user_id"], scratch(spark, "gauges"), "asymptotic"
     )
+    return scores.drop("batch")
 
 
 @query("alert_stream", HOURLY_SQL.replace("group by 1)", f"group by 1 having t + {HOUR} <= {CLOSED_SQL})", 1) + f"""

@@ -6,9 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # A plan estimated below this reads little enough that a group fits one task comfortably.
-SMALL_PLAN_BYTES = 128 * 1024 * 1024
+SMALL_PLAN_BYTES = 64 * 1024 * 1024
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -21,6 +22,8 @@ def build_session(app: str = "riskloom", master: str | None = None, **conf: str)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Recording the Python line of every column expression costs more than building the plan.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
@@ -65,3 +68,14 @@ def is_small(df: DataFrame, limit: int = SMALL_PLAN_BYTES) -> bool:
     for i in range(leaves.size()):
         total += int(str(leaves.apply(i).stats().sizeInBytes()))
     return total <= limit
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Deal a small input over all cores; a large one keeps the partitions of its files.
+
+    A small table is often one file with one row group, which a single task would read and process.
+    """
+    if not is_small(df):
+        return df
+    # By the hash of the row: the same row always lands in the same place, and nothing has to be sorted for that.
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
