@@ -194,12 +194,28 @@ def _(spark, sf):
     return out.select("tid", F.round("amt", 6).alias("amt"), F.round("v1", 6).alias("v1"))
 
 
-@query("prepare_stage")
+STAGE = {"TransactionAmt": "amt", "C1": "c1", "D1": "d1", "card1": "card1", "P_emaildomain": "pemail", "V1_missing": "v1_missing",
+         "M1": "m1", "ProductCD_1-URGENT": "urgent"}
+
+
+@query("prepare_stage", TX_SQL + """
+, med as (select quantile_cont(c1, 0.5) as c1, quantile_cont(d1, 0.5) as d1 from train),
+f as (select card1, count(*) / (select count(card1) from train) as freq from train group by card1),
+g as (select avg(y) as rate, count(*) as rows_ from train),
+m as (select coalesce(pemail, '_unknown_') as k, (sum(y) + 10 * any_value(g.rate)) / (count(*) + 10) as enc from train, g group by 1),
+enc as (
+  select dt <= cut_dt as is_train, amt, coalesce(t.c1, med.c1) as c1, coalesce(t.d1, med.d1) as d1,
+         coalesce(freq, 1.0::double / rows_) as card1, coalesce(enc, g.rate) as pemail, (t.v1 is null)::int as v1_missing,
+         (coalesce(m1, 'missing') = 'T')::int as m1, (productcd = '1-URGENT')::int as urgent
+  from tx t left join f on t.card1 = f.card1 left join m on coalesce(t.pemail, '_unknown_') = m.k, med, g, cut),
+s as (select """ + ", ".join(f"avg({c}) as m_{c}, stddev_pop({c}) as s_{c}" for c in STAGE.values()) + """ from enc where is_train)
+select """ + ", ".join(f'round(({c} - m_{c}) / s_{c}, 5) as "{n}"' for n, c in STAGE.items()) + """,
+       round((c1 - m_c1) / s_c1, 5) as "C_sum" from enc, s where not is_train""")
 def _(spark, sf):
     df = wide_names(tables.join_identity(tx(spark, sf), identity(spark, sf), "tid"))
     train, test = prepare.temporal_split(df)
     train, test, _ = prepare.prepare(train, test)
-    return features.add_features(test)
+    return features.add_features(test).select(*[F.round(F.col(f"`{c}`"), 5).alias(c) for c in (*STAGE, "C_sum")])
 
 
 # -- derived features ------------------------------------------------------------------------------------------
