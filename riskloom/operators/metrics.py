@@ -157,7 +157,7 @@ def score_histogram(df: DataFrame, label: str, score: str, bins: int = 50, lo: f
     )
     if lo is None or hi is None:
         limits = rows.groupBy("label").agg(F.min("score").alias("lo"), F.max("score").alias("hi"))
-        rows = rows.join(F.broadcast(limits), "label")  # one row per class
+        rows = rows.join(limits, "label")
     else:
         rows = rows.where(F.col("score").between(lo, hi)).select(
             "*", F.lit(float(lo)).alias("lo"), F.lit(float(hi)).alias("hi")

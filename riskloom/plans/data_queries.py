@@ -88,6 +88,24 @@ def _(spark, sf):
     return freq.unionByName(target).withColumn("number", F.round("number", 8))
 
 
+@query("load_fit_maps", TX_SQL + """
+, f as (select card1, count(*) / (select count(card1) from train) as freq from train group by card1),
+g as (select avg(y) as rate, count(*) as rows_ from train),
+m as (select coalesce(pemail, '_unknown_') as k, (sum(y) + 10 * any_value(g.rate)) / (count(*) + 10) as enc from train, g group by 1)
+select test.tid, round(coalesce(freq, 1.0::double / rows_), 8) as card1, round(coalesce(enc, g.rate), 8) as pemail
+from test left join f on test.card1 = f.card1 left join m on coalesce(test.pemail, '_unknown_') = m.k, g""")
+def _(spark, sf):
+    path = scratch(spark, "fit")
+    train, test = prepare.temporal_split(tx(spark, sf, "tid", "y", "dt", "card1", "pemail"), "dt")
+    tables.FitTables.save(
+        {"freq": prepare.freq_fit(train, ["card1"]), "target": prepare.target_fit(train, ["pemail"], "y")}, path
+    )
+    maps = tables.FitTables.load(spark, path, ["freq", "target"])
+    rows = train.agg(F.count(F.lit(1)).alias("n")).scalar()
+    out = prepare.target_encode(prepare.freq_encode(test, maps["freq"], ["card1"], rows), maps["target"], ["pemail"])
+    return out.select("tid", F.round("card1", 8).alias("card1"), F.round("pemail", 8).alias("pemail"))
+
+
 @query("metric_log", TX_SQL + """
 select 'r1' as run_id, 'ingest' as stage, u.metric, u.value from (
   select cast(count(*) as double) as total_transactions, cast(sum(y) as double) as fraud_count,

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from riskloom.operators import learn, metrics, prepare, registry
+from riskloom.operators import features, learn, metrics, prepare, registry
 from riskloom.plans.fixtures import TX_SQL, scored, table, tx
 from riskloom.plans.registry import query
 from riskloom.plans.prepare_queries import halves
@@ -142,9 +143,7 @@ top as (select * from imp order by importance desc, feature limit 10)
 
 
 def position_importance(spark, sf):
-    from riskloom.operators.features import array_variances
-
-    rows = array_variances(table(spark, sf, "embeddings"), "embedding")
+    rows = features.array_variances(table(spark, sf, "embeddings"), "embedding")
     return rows.select(
         "position", F.concat(F.lit("f"), F.lpad(F.col("position").cast("string"), 2, "0")).alias("feature"),
         F.round("variance", 10).alias("importance"),
@@ -231,9 +230,8 @@ def runs(spark, sf):
         F.round(F.lit(0.8) + F.sum("y") / F.count(F.lit(1)), 4).alias("fraud_recall"),
         F.round(F.avg("amt") / 1000000, 4).alias("auc_roc"),
     )
-    smaller = rows.select(F.col("pemail").alias("other"))  # one row per segment
-    version = rows.join(F.broadcast(smaller), F.col("other") <= F.col("pemail")).groupBy(
-        "pemail", "fraud_recall", "auc_roc").agg(F.count(F.lit(1)).alias("version"))
+    # One row per segment, as in a registry.
+    version = rows.withColumn("version", F.row_number().over(Window.orderBy("pemail")).cast("bigint"))
     return version.select("version", F.col("pemail").alias("model"), F.concat(F.lit("/models/"), "pemail").alias("path"),
                           "fraud_recall", "auc_roc")
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.shape import melt
 from riskloom.operators import features, learn, prepare
-from riskloom.plans.fixtures import TX_SQL, identity, table, tx
+from riskloom.plans.fixtures import TX_SQL, identity, scored, table, tx
 from riskloom.plans.registry import query
 from riskloom.sources import requests, tables
 from riskloom.plans.data_queries import wide_names
@@ -320,8 +320,6 @@ def _(spark, sf):
 @query("confidence_band", TX_SQL + """
 select tid, case when score >= 0.8 then 'high' when score >= 0.5 then 'medium' else 'low' end as confidence from scored""")
 def _(spark, sf):
-    from riskloom.plans.fixtures import scored
-
     return scored(spark, sf, "tid").select("tid", requests.confidence_band("score").alias("confidence"))
 
 

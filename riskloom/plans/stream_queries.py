@@ -37,7 +37,7 @@ def _(spark, sf):
     )
 
 
-@query("live_recall", EVENTS_SQL + f"""
+@query("live_recall_fpr", EVENTS_SQL + f"""
 select sec - sec % 86400 as window_start, count(*) filter (score >= 0.5 and status = '500') as tp,
        count(*) filter (score >= 0.5 and status <> '500') as fp, count(*) filter (score < 0.5 and status = '500') as fn,
        count(*) filter (score < 0.5 and status <> '500') as tn,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -32,6 +33,11 @@ def build_session(app: str = "riskloom", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+@functools.cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="riskloom-")
+
+
 def work_dir(spark: SparkSession, tag: str) -> str:
     """A fresh folder all executors can see.
 
@@ -42,7 +48,7 @@ def work_dir(spark: SparkSession, tag: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="riskloom-")
+        base = _local_scratch()
     return f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex[:12]}"
 
 
