@@ -6,6 +6,7 @@ is the number of columns); frequency and target maps grow with the data and are
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -217,11 +218,18 @@ def target_encode_out_of_fold(df: DataFrame, columns: Sequence[str], id_col: str
 
 
 def _category(column: str, dtype: T.DataType) -> Column:
-    """Numeric categories print like ``3.0``, so the column name does not depend on the storage type."""
+    """Whole numbers print without decimals, so the column name does not depend on the storage type."""
     value = F.col(column)
+    text = value.cast("string")
     if isinstance(dtype, T.NumericType):
-        value = value.cast("double")
-    return F.coalesce(value.cast("string"), F.lit(UNKNOWN_CATEGORY))
+        whole = value.cast("bigint")
+        text = F.when(whole.cast("double") == value.cast("double"), whole.cast("string")).otherwise(text)
+    return F.coalesce(text, F.lit(UNKNOWN_CATEGORY))
+
+
+def _flag_name(column: str, value: str) -> str:
+    """``<column>_<value>``; dots and backquotes, which Spark reads as syntax, become underscores."""
+    return re.sub(r"[.`]", "_", f"{column}_{value}")
 
 
 def one_hot_fit(df: DataFrame, columns: Sequence[str], max_categories: int = 1000) -> DataFrame:
@@ -245,10 +253,12 @@ def one_hot(df: DataFrame, fitted: DataFrame) -> DataFrame:
     for row in fitted.orderBy("feature", "value").collect():
         seen.setdefault(row["feature"], []).append(row["value"])
     kept = [F.col(c) for c in df.columns if c not in seen]
-    flags = [
-        (_category(c, types[c]) == v).cast("int").alias(f"{c}_{v}")
-        for c in df.columns if c in seen for v in seen[c]
-    ]
+    flags = []
+    for c in df.columns:
+        named: dict[str, list[str]] = {}
+        for value in seen.get(c, []):
+            named.setdefault(_flag_name(c, value), []).append(value)
+        flags += [_category(c, types[c]).isin(values).cast("int").alias(name) for name, values in named.items()]
     return df.select(*kept, *flags)
 
 
@@ -271,10 +281,11 @@ def align_schema(df: DataFrame, columns: Sequence[str], fill: float = 0) -> Data
 
 
 def prepare(train: DataFrame, test: DataFrame, label: str = S.LABEL, key: str = S.KEY, time_col: str = S.TIME,
-            smoothing: float = 10.0, scaled: bool = True) -> tuple[DataFrame, DataFrame, dict[str, DataFrame]]:
+            smoothing: float = 10.0, scaled: bool = True,
+            keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame, dict[str, DataFrame]]:
     """All preparation steps in order, fitted on ``train``; returns both sides and the fitted tables.
 
-    The cleaned and the encoded rows are each written once, so that no fit repeats the joins before it.
+    Columns in ``keep`` pass through unchanged. The cleaned and the encoded rows are each written once, so that no fit repeats the joins before it.
     """
     groups = S.column_groups(train)
     medians = median_fit(train, groups["v"] + groups["c"] + groups["d"] + groups["id_numeric"]
@@ -303,6 +314,6 @@ def prepare(train: DataFrame, test: DataFrame, label: str = S.LABEL, key: str =
     test = align_schema(test, train.columns)
     if scaled:
         train = cut_lineage(train, "encoded")
-        fitted["scaler"] = scaler_fit(train, [c for c in train.columns if c != label])
+        fitted["scaler"] = scaler_fit(train, [c for c in train.columns if c != label and c not in keep])
         train, test = scale(train, fitted["scaler"]), scale(test, fitted["scaler"])
     return train, test, fitted

@@ -10,7 +10,9 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from riskloom.operators import attribution, learn, neighbours, prepare, registry
-from riskloom.plans.fixtures import TX_SQL, scratch, table, tx
+from riskloom.plans import stages
+from riskloom.plans.data_queries import wide_names
+from riskloom.plans.fixtures import TX_SQL, identity, scratch, table, tx
 from riskloom.plans.prepare_queries import halves
 from riskloom.plans.registry import query
 from riskloom.session import cut_lineage
@@ -204,3 +206,11 @@ def _(spark, sf):
 def _(spark, sf):
     train, _ = halves(spark, sf, "y")
     return learn.positive_share(train, "y").withColumn("rate", F.round("rate", 6))
+
+
+@query("all_stages")
+def _(spark, sf):
+    cfg = stages.StageConfig(trees=QUICK, forest_trees=10, forest_depth=5, min_recall=0.5)
+    named = wide_names(tx(spark, sf)).withColumn("TransactionDT", F.col("TransactionDT").cast("bigint"))
+    decision = stages.run_stages(named, wide_names(identity(spark, sf)), scratch(spark, "stages"), cfg=cfg)
+    return decision.select("model", "fraud_recall", "auc_roc", "status")

@@ -102,10 +102,17 @@ def test_one_hot_names_unknown_and_unseen(spark):
     fitted = P.one_hot_fit(train, ["c", "n"])
     test = spark.createDataFrame([("new", None)], "c string, n double")
     out = P.one_hot(test, fitted)
-    assert out.columns == ["c_unknown", "c_x", "n_3.0", "n_4.0"]
+    assert out.columns == ["c_unknown", "c_x", "n_3", "n_4"]
     assert tuple(out.first()) == (0, 0, 0, 0)
 
 
+def test_one_hot_names_are_free_of_dots(spark):
+    df = spark.createDataFrame([("a.b", 1.5), ("a_b", 2.0)], "c string, n double")
+    out = P.one_hot(df, P.one_hot_fit(df, ["c", "n"]))
+    assert out.columns == ["c_a_b", "n_1_5", "n_2"]
+    assert [tuple(r) for r in out.collect()] == [(1, 1, 0), (1, 0, 1)]
+
+
 def test_one_hot_refuses_too_many_categories(spark):
     df = spark.range(20).select(F.col("id").cast("string").alias("c"))
     with pytest.raises(ValueError):
