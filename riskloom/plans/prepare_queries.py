@@ -225,8 +225,8 @@ def slice_sql(first, last, name):
     part = f"list_transform(embedding[{first}:{last}], lambda x: x::double)"
     n = last - first + 1
     mean = f"(list_sum({part}) / {n})"
-    return (f"round(list_sum({part}), 4) as {name}_sum, round({mean}, 5) as {name}_mean, "
-            f"round(sqrt((list_sum(list_transform({part}, lambda x: x * x)) - {n} * {mean} * {mean}) / {n - 1}), 5) as {name}_std")
+    return (f"coalesce(nullif(round(list_sum({part}), 4), 0), 0) as {name}_sum, "
+            f"coalesce(nullif(round({mean}, 5), 0), 0) as {name}_mean, round(sqrt((list_sum(list_transform({part}, lambda x: x * x)) - {n} * {mean} * {mean}) / {n - 1}), 5) as {name}_std")
 
 
 GROUPS = {"V_g1": (1, 11), "V_g2": (12, 34), "V_g3": (35, 52), "V_g4": (53, 64)}
@@ -237,9 +237,9 @@ GROUPS = {"V_g1": (1, 11), "V_g2": (12, 34), "V_g3": (35, 52), "V_g4": (53, 64)}
 def _(spark, sf):
     df = table(spark, sf, "embeddings")
     out = df.select("vec_id", *features.v_group_slices("embedding", GROUPS))
-    return out.select("vec_id", *[
-        F.round(c, 4 if c.endswith("_sum") else 5).alias(c) for c in out.columns if c != "vec_id"
-    ])
+    # A sum just below zero rounds to -0.0, which is written as 0 here.
+    shown = {c: F.round(c, 4 if c.endswith("_sum") else 5) for c in out.columns if c != "vec_id"}
+    return out.select("vec_id", *[F.when(r == 0, 0.0).otherwise(r).alias(c) for c, r in shown.items()])
 
 
 @query("v_group_wide", TX_SQL + """
