@@ -132,14 +132,15 @@ def bucket_quantile(arrays: DataFrame, edges: Sequence[float], phi: float, by: S
 # -- conditions over time --------------------------------------------------------------------------------------
 
 
-def sustained(df: DataFrame, time_col: str, condition: Column, hold: int, keys: Sequence[str] = (),
+def sustained(df: DataFrame, time_col: str, condition: Column, hold: int | Column, keys: Sequence[str] = (),
               step: int | None = None) -> DataFrame:
     """Stretches in which ``condition`` holds at every evaluation for at least ``hold`` seconds.
 
+    ``hold`` is a number, or one of the ``keys`` where it differs between them.
+
     ``df`` has one row per evaluation step and key, so a key has as many rows as there were steps, whatever the
     traffic behind them. With ``step``, a missing evaluation also ends a stretch.
     """
-    order = Window.partitionBy(*keys).orderBy(time_col)
     marked = df.select(*keys, F.col(time_col).alias("__t"), F.coalesce(condition, F.lit(False)).alias("__on"))
     order = Window.partitionBy(*keys).orderBy("__t")
     broken = ~F.coalesce(F.lag("__on").over(order), F.lit(False))
@@ -156,20 +157,21 @@ def sustained(df: DataFrame, time_col: str, condition: Column, hold: int, keys:
 
 
 def evaluate_rules(series: DataFrame, rules: Sequence[tuple] = ALERT_RULES, step: int | None = None) -> DataFrame:
-    """Firing alerts from ``(metric, labels, t, value)``; ``labels`` is a string naming the series."""
-    frames = []
-    for name, metric, op, threshold, hold, severity, category in rules:
-        value = F.col("value")
-        condition = {"<": value < threshold, ">": value > threshold, "==": value == threshold}[op]
-        fired = sustained(series.where(F.col("metric") == metric), "t", condition, hold, ["labels"], step)
-        frames.append(fired.select(
-            F.lit(name).alias("alertname"), F.lit(severity).alias("severity"), F.lit(category).alias("category"),
-            "labels", "active_since", "fired_at", "last_true", "steps",
-        ))
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
-    return out
+    """Firing alerts from ``(metric, labels, t, value)``; ``labels`` is a string naming the series.
+
+    Every sample meets the few rules of its metric in one pass, so the series is computed once for all rules.
+    """
+    fields = ("alertname", "rule_metric", "op", "threshold", "hold", "severity", "category")
+    table = F.array(*[
+        F.struct(*[F.lit(float(v) if f == "threshold" else v).alias(f) for f, v in zip(fields, rule)]) for rule in rules
+    ])
+    judged = series.select("metric", "labels", "t", "value", F.inline(table)).where(F.col("metric") == F.col("rule_metric"))
+    value, threshold = F.col("value"), F.col("threshold")
+    condition = (
+        F.when(F.col("op") == "<", value < threshold).when(F.col("op") == ">", value > threshold).otherwise(value == threshold)
+    )
+    keys = ["alertname", "severity", "category", "hold", "labels"]
+    return sustained(judged, "t", condition, F.col("hold"), keys, step).drop("hold")
 
 
 def source_silence(df: DataFrame, ts: str, keys: Sequence[str], gap: int) -> DataFrame:
