@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskloom.operators import drift, prepare, quality
-from riskloom.plans.fixtures import EVENTS_SQL, TX_ORDER, TX_SQL, identity, scratch, table, tx
+from riskloom.plans.fixtures import TX_ORDER, TX_SQL, identity, scratch, table, tx
 from riskloom.plans.registry import query
 from riskloom.schema import column_groups, numeric_columns
 from riskloom.sources import requests, tables
