@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import bpe, language, licenses, mixing, neighbours, quality, token_counts
+from riskloom.llm import bpe, language, licenses, mixing, neighbours, quality, simhash, token_counts
 from riskloom.llm.texts import write_once
 
 QUERIES: dict = {}
@@ -125,3 +125,8 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_token_counts")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.suffix_sums(write_once(token_counts.length_histogram(documents(spark, sf), vocabulary()), "lengths"))
+
+
+@query("op1_simhash")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.simhash_groups(documents(spark, sf))
