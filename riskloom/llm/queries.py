@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import bpe, language, licenses, mixing, neighbours, quality, simhash, token_counts
+from riskloom.llm import bpe, imatch, language, licenses, mixing, neighbours, quality, simhash, token_counts
 from riskloom.llm.texts import write_once
 
 QUERIES: dict = {}
@@ -130,3 +130,49 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
 @query("op1_simhash")
 def op1(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.simhash_groups(documents(spark, sf))
+
+
+_IMATCH_SUBSETS = " + ".join(
+    f"(case when ('0x' || substr(md5('{j}:' || term), 1, 7))::bigint % {2 << j // imatch.SUBSETS_EACH} = 0 then {1 << j} else 0 end)::bigint"
+    for j in range(imatch.SUBSETS))
+
+
+def _imatch_hashes(codes: str, spare: str) -> str:
+    kept = ", ".join(f"array_to_string(list_filter({codes}, lambda c: (c >> {j}) & 1 = 1), ',')" for j in range(imatch.SUBSETS))
+    spares = ", ".join(f"substr({spare}, {1 + j % (33 - imatch.HEX)}, {imatch.HEX})" for j in range(imatch.SUBSETS))
+    return (f"case when len({codes}) > 0 then list_transform([{kept}], lambda s: case when s = '' then '' else substr(md5(s), 1, {imatch.HEX}) end) "
+            f"else [{spares}] end")
+
+
+def _imatch_likeness(a: str, b: str) -> str:
+    told = f"list_filter(list_zip({a}, {b}), lambda p: p[1] <> '' or p[2] <> '')"
+    return f"case when {a} = {b} then 1.0 else coalesce(len(list_filter({told}, lambda p: p[1] = p[2])) / nullif(len({told}), 0), 0.0) end"
+
+
+@query("op3_imatch", f"""
+with d as (select doc_id, coalesce(text, '') as text, length(coalesce(text, '')) as n from documents),
+words as (select doc_id, unnest(list_distinct(string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}]+'))) as term from d),
+lexicon as (
+  select term, (('0x' || substr(md5(term), 1, 7))::bigint << 32) + {_IMATCH_SUBSETS} as code
+  from (select term, count(*) as df from words where term <> '' group by 1)
+  where ln((select count(*) from d) / df) between {imatch.IDF_LEAST} and {imatch.IDF_MOST}),
+lined as (
+  select *, coalesce(lead(doc_id) over (order by doc_id), first_value(doc_id) over (order by doc_id)) as next_id,
+         coalesce(lead(text) over (order by doc_id), first_value(text) over (order by doc_id)) as next_text from d),
+texts as (
+  select doc_id, 0 as which, text from d
+  union all select doc_id, 1, left(text, n - n // 2) || left(next_text, n // 2) from lined),
+coded as (
+  select t.doc_id, t.which, list_sort(list_distinct(list(l.code))) as codes
+  from (select doc_id, which, unnest(string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}]+')) as term from texts) t join lexicon l using (term) group by 1, 2),
+sets as (
+  select t.doc_id, t.which, sha256(t.text) as sha, md5(lower(t.text)) as spare, coalesce(c.codes, []) as codes
+  from texts t left join coded c on t.doc_id = c.doc_id and t.which = c.which),
+prints as (select doc_id, which, sha, {_imatch_hashes("codes", "spare")} as print from sets)
+select l.doc_id, l.n as n_chars, e.sha as edited_sha256, array_to_string(list_transform(p.print, lambda x: rpad(x, {imatch.HEX}, '-')), '') as fingerprint,
+       array_to_string(list_transform(e.print, lambda x: rpad(x, {imatch.HEX}, '-')), '') as edited_fingerprint,
+       {_imatch_likeness("p.print", "e.print")} as near_edited, {_imatch_likeness("p.print", "x.print")} as near_next
+from lined l join prints p on l.doc_id = p.doc_id and p.which = 0 join prints e on l.doc_id = e.doc_id and e.which = 1
+     join prints x on l.next_id = x.doc_id and x.which = 0""")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    return imatch.fingerprint_and_edit(documents(spark, sf))
