@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import bpe, imatch, language, licenses, mixing, neighbours, quality, simhash, token_counts
+from riskloom.llm import bpe, chains, imatch, language, licenses, mixing, neighbours, quality, simhash, token_counts
 from riskloom.llm.texts import write_once
 
 QUERIES: dict = {}
@@ -176,3 +176,8 @@ from lined l join prints p on l.doc_id = p.doc_id and p.which = 0 join prints e
      join prints x on l.next_id = x.doc_id and x.which = 0""")
 def op3(spark: SparkSession, sf: str) -> DataFrame:
     return imatch.fingerprint_and_edit(documents(spark, sf))
+
+
+@query("op5_passages")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return chains.passages(documents(spark, sf))
