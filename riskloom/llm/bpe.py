@@ -191,8 +191,9 @@ def decode_documents(encoded: DataFrame, vocabulary: Vocabulary, id_col: str = "
     return map_documents(encoded, [id_col, ids_col], f"{id_col} {kind}, decoded binary", decode)
 
 
-def round_trip_digests(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encode every text and decode its ids again; of both only the length and the SHA-256 leave the task.
+def round_trip_digests(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text",
+                       with_ids: bool = False) -> DataFrame:
+    """Encode every text and decode its ids again; of both only the length and the SHA-256 leave the task, and the ids if wanted.
 
     Returns ``id_col``, n_tokens long, ids_sha256 (ids as little-endian unsigned 32-bit integers) and decoded_sha256, both as
     lowercase hex. A null text counts as empty: no tokens, digests of no bytes. Rows that repeat stay repeated.
@@ -209,7 +210,10 @@ def round_trip_digests(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "d
                 out["n_tokens"].append(len(ids) // 4)
                 out["ids_sha256"].append(hashlib.sha256(ids).hexdigest())
                 out["decoded_sha256"].append(hashlib.sha256(coder.decode(ids)).hexdigest())
+                if with_ids:
+                    out.setdefault("ids", []).append(np.frombuffer(ids, "<i4"))
             yield out
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return map_documents(docs, [id_col, text_col], f"{id_col} {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string", digest)
+    schema = f"{id_col} {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    return map_documents(docs, [id_col, text_col], schema, digest)

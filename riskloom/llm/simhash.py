@@ -16,6 +16,11 @@ from riskloom.llm.vptree import near_links
 SEED = 42
 PART = 1 << 15
 
+#: Fixed values for near duplicates: words in a shingle and the Jaccard similarity from which documents are near.
+NEAR_WIDTH, NEAR_SIMILARITY = 5, 0.8
+#: Two words of fingerprint over distinct pairs of words: near documents differ in about 12 of 128 bits, unrelated ones in about 60.
+NEAR_BITS, NEAR_BLOCKS = 26, 5
+
 
 def words_of(text: str | None) -> list[bytes]:
     """Words between blanks, tabs and line ends, with A-Z in lower case."""
@@ -72,8 +77,53 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError("three blocks of radius 1 are exact up to 5 bits")
     prints = write_once(fingerprints(docs, id_col, text_col, width), "fingerprints")
     classes = write_once(prints.groupBy("fp").agg(F.min(id_col).alias("first")), "classes")
-    grown = components(near_links(classes, within, 3, 1, n=classes.count()))
+    grown = components(near_links(classes.select(F.col("fp").alias("id"), "fp"), within, 3, 1, classes.count()))
     joined = classes.join(grown.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = joined.groupBy("root").agg(F.min("first").alias("component_id"))
     named = joined.select("fp", "root").join(smallest, "root").select("fp", "component_id")
     return prints.join(named, "fp").select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """group_id and ``id_col`` of every document that isn't the first (smallest id) of its group of near duplicates.
+
+    Two documents are near if their sets of five-word shingles have a Jaccard similarity of 0.8 or more; groups are what such pairs
+    connect. Candidates come from SimHash fingerprints through vantage-point trees and are then compared exactly. The trees link each
+    document to nearest ones by fingerprint, so of a group of n candidates n - 1 pairs are compared, not all.
+
+    Texts with the same words are copies and meet by a digest. Null texts and texts without words are copies of each other. Rows
+    without an id are left out; rows that repeat an id are one document.
+    """
+    def prints(rows: Iterator[tuple]):
+        for part in in_chunks(rows, 1):
+            out: dict[str, list] = {"doc": [], "copy": [], "fp": [], "fp2": []}
+            for key, text in part:
+                words = words_of(text)
+                out["doc"].append(key)
+                out["copy"].append(xxhash.xxh3_128_digest(b" ".join(words)))
+                for name, seed in (("fp", SEED), ("fp2", SEED + 1)):
+                    out[name].append(fingerprint(list(set(shingle_hashes(words, 2, seed)))))
+            yield out
+
+    known = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    own = write_once(map_documents(known, ["doc", "text"], "doc long, copy binary, fp long, fp2 long", prints), "prints")
+    texts = write_once(own.groupBy("copy").agg(F.min("doc").alias("first"), F.first("fp").alias("fp"), F.first("fp2").alias("fp2")), "texts")
+    items = write_once(texts.groupBy("fp", "fp2").agg(F.min("first").alias("id")), "items")
+    same = texts.join(items, ["fp", "fp2"]).filter("first <> id").select(F.col("first").alias("a"), F.col("id").alias("b"))
+    links = near_links(items.select("id", "fp", "fp2"), NEAR_BITS, NEAR_BLOCKS, 1, items.count()).select("a", "b")
+    pairs = write_once(links.unionByName(same).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "pairs")
+
+    def compare(rows: Iterator[tuple]):
+        for a, b, left, right in rows:
+            x, y = (set(shingle_hashes(words_of(t), NEAR_WIDTH)) for t in (left, right))
+            both = len(x & y)
+            if both and both >= NEAR_SIMILARITY * (len(x) + len(y) - both):
+                yield {"a": [a], "b": [b]}
+
+    left = pairs.join(known.withColumnRenamed("doc", "a").withColumnRenamed("text", "left"), "a")
+    both = left.join(known.withColumnRenamed("doc", "b").withColumnRenamed("text", "right"), "b")
+    near = map_documents(both, ["a", "b", "left", "right"], "a long, b long", compare)
+    grown = components(near)
+    # Copies follow their first document.
+    named = texts.join(grown.withColumnRenamed("node", "first"), "first", "left").select("copy", F.coalesce("root", "first").alias("group_id"))
+    return own.join(named, "copy").filter("doc <> group_id").select("group_id", F.col("doc").alias(id_col)).distinct()

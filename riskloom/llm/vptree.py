@@ -108,90 +108,91 @@ def spanning_forest(n: int, i: np.ndarray, j: np.ndarray, d: np.ndarray) -> np.n
 
 
 class Leaf:
-    """Links found in one leaf. Homes come first; queries may come in any number of parts."""
+    """Links found in one leaf, between ids. Homes come first; queries may come in any number of parts."""
 
-    def __init__(self, within: int):
+    def __init__(self, within: int, width: int):
         self.within = within
-        self.fps = np.zeros(0, np.uint64)
-        self.homes = np.zeros(0, np.uint64)
-        self.edges = np.zeros((3, 0), np.int64)
+        self.known = np.zeros(0, np.int64)  # ids that have links
+        self.ids, self.words = np.zeros(0, np.int64), np.zeros((0, width), np.uint64)
+        self.edges = np.zeros((3, 0), np.int64)  # positions in known, distance
 
-    def _know(self, fps: np.ndarray) -> None:
-        """Take in fingerprints that have links; the edges keep pointing at theirs."""
-        old, self.fps = self.fps, np.union1d(self.fps, fps)
+    def _know(self, ids: np.ndarray) -> None:
+        old, self.known = self.known, np.union1d(self.known, ids)
         if self.edges.size:
-            self.edges[:2] = np.searchsorted(self.fps, old)[self.edges[:2]]
+            self.edges[:2] = np.searchsorted(self.known, old)[self.edges[:2]]
 
-    def add(self, fps: np.ndarray, homes: bool) -> None:
+    def add(self, ids: np.ndarray, words: np.ndarray, homes: bool) -> None:
         if homes:
-            self.homes = np.concatenate([self.homes, fps])
-        for lo in range(0, len(fps), ROWS):
-            own = fps[lo:lo + ROWS]
-            for start in range(0, len(self.homes), COLUMNS):
-                other = self.homes[start:start + COLUMNS]
-                d = np.bitwise_count(own[:, None] ^ other[None, :])
+            self.ids, self.words = np.concatenate([self.ids, ids]), np.concatenate([self.words, words])
+        for lo in range(0, len(ids), ROWS):
+            for start in range(0, len(self.ids), COLUMNS):
+                own, other = words[lo:lo + ROWS], self.words[start:start + COLUMNS]
+                d = np.bitwise_count(own[:, None, 0] ^ other[None, :, 0])
+                for w in range(1, own.shape[1]):
+                    d += np.bitwise_count(own[:, None, w] ^ other[None, :, w])
                 i, j = np.nonzero(d <= self.within)
-                keep = own[i] != other[j]
-                i, j = i[keep], j[keep]
-                if len(i):
-                    near = d[i, j].astype(np.int64)
-                    a, b = own[i], other[j]
+                a, b, near = ids[lo + i], self.ids[start + j], d[i, j].astype(np.int64)
+                keep = a != b
+                if keep.any():
+                    a, b = a[keep], b[keep]
                     self._know(np.unique(np.concatenate([a, b])))
-                    found = np.stack([np.searchsorted(self.fps, a), np.searchsorted(self.fps, b), near])
+                    found = np.stack([np.searchsorted(self.known, a), np.searchsorted(self.known, b), near[keep]])
                     edges = np.concatenate([self.edges, found], axis=1)
-                    self.edges = edges[:, spanning_forest(len(self.fps), edges[0], edges[1], edges[2])]
+                    self.edges = edges[:, spanning_forest(len(self.known), *edges)]
 
-    def links(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        return self.fps[self.edges[0]], self.fps[self.edges[1]], self.edges[2]
+    def links(self) -> list[pa.Array]:
+        return [pa.array(self.known[self.edges[0]]), pa.array(self.known[self.edges[1]]), pa.array(self.edges[2].astype(np.int32))]
 
 
-def near_links(fingerprints: DataFrame, within: int, blocks: int, radius: int, col: str = "fp", n: int | None = None) -> DataFrame:
-    """a, b, distance: links between distinct fingerprints (column ``col``, long) that differ in at most ``within`` bits.
+def near_links(items: DataFrame, within: int, blocks: int, radius: int, n: int) -> DataFrame:
+    """a, b, distance: links between the ids of items that differ in at most ``within`` bits.
 
-    The links connect exactly those fingerprints that all such pairs would connect (see above), through nearest ones first. Pairs
-    farther apart than ``blocks * (radius + 1) - 1`` bits may be missed. ``fingerprints`` is evaluated more than once.
+    ``items`` has the columns id (long, unique), fp (long) and any number of further fingerprint words (long); the trees look at fp,
+    and the distance counts all words. The links connect those items that all such pairs would connect, through nearest ones first.
+    Pairs whose fp differs in more than ``blocks * (radius + 1) - 1`` bits may be missed. ``n`` is the number of items, which are
+    evaluated more than once.
     """
-    distinct = fingerprints.select(F.col(col).alias("fp"))
-    forest = Forest.for_size(n if n is not None else distinct.count(), blocks, radius)
+    words = [c for c in items.columns if c != "id"]
+    forest = Forest.for_size(n, blocks, radius)
+    kinds = "".join(f", {w} long" for w in words)
 
     def place(batches):
         for batch in batches:
-            fps = batch.column(0).to_numpy().view(np.uint64)
-            for at, leaf, role in forest.leaves(fps):
-                yield pa.RecordBatch.from_arrays([pa.array(leaf), pa.array(fps[at].view(np.int64)), pa.array(np.full(len(at), role, np.int8))], names=["leaf", "fp", "role"])
+            ids, *held = (batch.column(i).to_numpy() for i in range(1 + len(words)))
+            for at, leaf, role in forest.leaves(held[0].view(np.uint64)):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(leaf), pa.array(np.full(len(at), role, np.int8)), pa.array(ids[at]), *[pa.array(w[at]) for w in held]],
+                    names=["leaf", "role", "id", *words])
 
-    rows = distinct.mapInArrow(place, "leaf long, fp long, role tinyint")
+    rows = items.select("id", *words).mapInArrow(place, "leaf long, role tinyint, id long" + kinds)
     # Only crowded leaves are listed; the list is usually empty, and its size is known once it is written.
     crowded = write_once(rows.filter(F.col("role") == HOME).groupBy("leaf").count().filter(F.col("count") > LEAF_MOST)
                          .select("leaf", F.ceil(F.col("count") / LEAF_MOST).cast("int").alias("chunks")), "crowded")
     rows = rows.join(crowded, "leaf", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
-    own = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
+    own = F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
     # A home is compared inside its chunk and queries the chunks after it; a query goes to all chunks.
     chunks = F.sequence(F.lit(0), F.col("chunks") - 1)
     rows = rows.withColumn("chunk", F.explode(F.when(F.col("role") == HOME, F.filter(chunks, lambda c: c >= own)).otherwise(chunks)))
-    rows = rows.select("leaf", "chunk", "fp", F.when((F.col("role") == HOME) & (F.col("chunk") == own), HOME).otherwise(QUERY).cast("tinyint").alias("role"))
-    dealt = rows.repartition(F.col("leaf"), F.col("chunk")).sortWithinPartitions("leaf", "chunk", F.col("role").desc())
+    role = F.when((F.col("role") == HOME) & (F.col("chunk") == own), HOME).otherwise(QUERY).cast("tinyint").alias("role")
+    dealt = rows.select("leaf", "chunk", role, "id", *words).repartition("leaf", "chunk").sortWithinPartitions("leaf", "chunk", F.col("role").desc())
 
     def search(batches):
-        current, leaf = None, Leaf(within)
-
-        def done():
-            a, b, d = leaf.links()
-            return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(d.astype(np.int32))], names=["a", "b", "distance"])
-
+        current, leaf = None, Leaf(within, len(words))
+        done = lambda: pa.RecordBatch.from_arrays(leaf.links(), names=["a", "b", "distance"])
         for batch in batches:
-            keys = [batch.column(c).to_numpy() for c in range(2)]
-            fps, roles = batch.column(2).to_numpy().view(np.uint64), batch.column(3).to_numpy()
-            cuts = np.flatnonzero((keys[0][1:] != keys[0][:-1]) | (keys[1][1:] != keys[1][:-1]) | (roles[1:] != roles[:-1])) + 1
-            for lo, hi in zip([0, *cuts], [*cuts, len(fps)]):
+            keys = np.stack([batch.column(c).to_numpy() for c in range(3)], axis=1)
+            ids = batch.column(3).to_numpy()
+            held = np.stack([batch.column(4 + i).to_numpy().view(np.uint64) for i in range(len(words))], axis=1)
+            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, len(ids)]):
                 if lo == hi:
                     continue
-                key = (keys[0][lo], keys[1][lo])
+                key = (keys[lo][0], keys[lo][1])
                 if key != current:
                     if leaf.edges.size:
                         yield done()
-                    current, leaf = key, Leaf(within)
-                leaf.add(fps[lo:hi], roles[lo] == HOME)
+                    current, leaf = key, Leaf(within, len(words))
+                leaf.add(ids[lo:hi], held[lo:hi], keys[lo][2] == HOME)
         if leaf.edges.size:
             yield done()
 
