@@ -149,22 +149,23 @@ def fit_language(labelled: DataFrame, lang_col: str = "lang", text_col: str = "t
     return LanguageModel(list(sizes), {r[0]: np.frombuffer(r[1], "<f4") for r in trained})
 
 
-def predict_language(docs: DataFrame, model: LanguageModel, columns: list[str], text_col: str = "text") -> DataFrame:
-    """``columns`` of ``docs`` with lang_pred string and score double.
+def predict_language(docs: DataFrame, model: LanguageModel, columns: list[str], text_col: str = "text",
+                     names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``columns`` of ``docs`` with lang_pred string and score double, or under other ``names``.
 
     ``und`` with score 0 where the text is null or has no letter, or where nothing was learned. Repeated rows stay.
     """
     shared = Shipped(docs.sparkSession, model)  # a row of weights for each machine, whatever the corpus is
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns) + ", lang_pred string, score double"
+    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns) + f", {names[0]} string, {names[1]} double"
 
     def predict(rows: Iterator[tuple]):
         own = shared.value
         held: dict[str, list] = {}
         for row in rows:
             code, score = own.predict(row[-1])
-            for name, value in zip((*columns, "lang_pred", "score"), (*row[:-1], code, score)):
+            for name, value in zip((*columns, *names), (*row[:-1], code, score)):
                 held.setdefault(name, []).append(value)
-            if len(held["score"]) >= 256:
+            if len(held[names[1]]) >= 256:
                 yield held
                 held = {}
         if held:

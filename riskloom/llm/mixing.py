@@ -94,7 +94,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """How many words of each document the mix takes.
 
     Returns ``id_col``, size, source_size, target, taken, and the pieces behind it: passes (whole repeats) and two half-open word
-    ranges of the document, [start_1, end_1) and [start_2, end_2), that are taken once more; ``carry`` names columns that come along.
+    ranges of the document, [start_1, end_1) and [start_2, end_2), that are taken once more; ``carry`` names columns that come along
+    with ``_c_`` before their names.
     A null or empty text has size 0 and is never taken; null sources form one source. Documents that repeat an id are lined up by
     size; equal rows are interchangeable. ``taken`` is at most ``most`` times the size.
     """
@@ -135,7 +136,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rows = rows.withColumns({"start_1": s1, "end_1": s1 + first, "start_2": F.lit(0).cast("long"), "end_2": second})
     taken = F.col("passes") * F.col("size") + first + second
     return rows.select(id_col, "size", "source_size", "target", taken.cast("long").alias("taken"), "passes", "start_1", "end_1",
-                       "start_2", "end_2", *[F.col(f"_c_{c}").alias(c) for c in carry if c != id_col])
+                       "start_2", "end_2", *[f"_c_{c}" for c in carry])
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
@@ -144,16 +145,16 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     A piece has its words joined by single blanks; a piece that is the whole document keeps its text. ``n_chars``, where there is
     such a column, follows the text.
     """
-    columns = docs.columns
-    rows = mix(docs, id_col, text_col, source_col, carry=tuple(c for c in columns if c != id_col), **options)
+    rows = mix(docs, id_col, text_col, source_col, carry=tuple(docs.columns), **options)
     piece = lambda k: F.struct(F.col(f"start_{k}").alias("a"), F.col(f"end_{k}").alias("b"))
     whole = F.struct(F.lit(0).cast("long").alias("a"), F.col("size").alias("b"))
     pieces = F.filter(F.concat(F.array_repeat(whole, F.col("passes").cast("int")), F.array(piece(1), piece(2))), lambda p: p["b"] > p["a"])
     rows = rows.withColumn("_piece", F.explode(pieces))
-    words = F.regexp_extract_all(F.col(text_col), F.lit(f"({WORD})"))
-    cut = F.array_join(F.slice(words, (F.col("_piece.a") + 1).cast("int"), (F.col("_piece.b") - F.col("_piece.a")).cast("int")), " ")
-    text = F.when(F.col("_piece.b") - F.col("_piece.a") == F.col("size"), F.col(text_col)).otherwise(cut)
-    out = rows.withColumn(text_col, text)
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType))
-    return out.select(*columns)
+    text, at, end = F.col(f"_c_{text_col}"), F.col("_piece.a"), F.col("_piece.b")
+    words = F.regexp_extract_all(text, F.lit(f"({WORD})"))
+    cut = F.array_join(F.slice(words, (at + 1).cast("int"), (end - at).cast("int")), " ")
+    text = F.when(end - at == F.col("size"), text).otherwise(cut)
+    new = {text_col: text}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
+    return rows.select(*[new.get(c, F.col(f"_c_{c}")).alias(c) for c in docs.columns])
