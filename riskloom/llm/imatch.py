@@ -2,8 +2,8 @@
 
 A term is in the lexicon if its inverse document frequency ln(N / df) lies in the band; since the band is relative to the number of
 documents, the lexicon has at most (distinct terms of a document, on average) * exp(IDF_MOST) entries, however large the corpus is.
-Each of the subsets keeps a random half, quarter, ... of the lexicon. Small subsets rarely see a change, large ones nearly always do,
-so the share of equal hashes grades the likeness of two documents. Only DataFrame functions are used.
+Each of the subsets keeps a random eighth, sixteenth, ... of the lexicon. Small subsets rarely see a change, large ones nearly always
+do, so the share of equal hashes grades the likeness of two documents. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 from riskloom.llm.texts import write_once
 
 IDF_LEAST, IDF_MOST = 3.0, 6.2
-SUBSETS, SUBSETS_EACH = 32, 4
+SUBSETS, SUBSETS_EACH, LARGEST = 48, 6, 8
 HEX = 4
 #: A larger lexicon is joined without a broadcast.
 LEXICON_BROADCAST = 1_000_000
@@ -34,16 +34,16 @@ def _hex(text: Column, digits: int) -> Column:
 
 
 def lexicon(texts: DataFrame, text_col: str = "text") -> DataFrame:
-    """term, code: the terms of the band. A code's low 32 bits tell the subsets that keep the term, the rest is a hash of it."""
+    """term, code: the terms of the band that some subset keeps. A code's low 48 bits tell which, the rest is a hash of the term."""
     n = texts.count()
     words = texts.select(F.explode(F.array_distinct(terms(F.col(text_col)))).alias("term")).filter(F.col("term") != MARK)
     idf = F.log(F.lit(float(max(1, n))) / F.col("df"))
     band = words.groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter(idf.between(IDF_LEAST, IDF_MOST)).select("term")
     kept = F.lit(0).cast("long")
     for j in range(SUBSETS):
-        # Four subsets each of every rate 1/2, 1/4, ..., 1/256.
-        kept = kept + F.when(F.pmod(_hex(F.concat(F.lit(f"{j}:"), "term"), 7), F.lit(2 << j // SUBSETS_EACH)) == 0, 1 << j).otherwise(0).cast("long")
-    return band.select("term", (F.shiftleft(_hex(F.col("term"), 7), 32) + kept).alias("code"))
+        # Six subsets each of every rate 1/8, 1/16, ..., 1/1024.
+        kept = kept + F.when(F.pmod(_hex(F.concat(F.lit(f"{j}:"), "term"), 7), F.lit(LARGEST << j // SUBSETS_EACH)) == 0, F.lit(1 << j).cast("long")).otherwise(F.lit(0).cast("long"))
+    return band.withColumn("kept", kept).filter("kept > 0").select("term", (F.shiftleft(F.pmod(_hex(F.col("term"), 7), F.lit(1 << 15)), 48) + F.col("kept")).alias("code"))
 
 
 def subset_hashes(codes: Column, fallback: Column) -> Column:
@@ -85,7 +85,7 @@ def fingerprint_and_edit(docs: DataFrame, id_col: str = "doc_id", text_col: str
     code points give way to as many (or all) first ones of the next document by id; the last is followed by the first, and a single
     document by itself. A null text counts as empty. A null id counts as the smallest number. Rows that share an id follow each other
     by a hash of the text; rows that repeat id and text are one document in this order, and all of them are returned. Texts without
-    a term in the band are told apart by a hash of the lower-case text.
+    a term in any subset are told apart by a hash of the lower-case text.
     """
     d = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     d = d.withColumn("hash", F.xxhash64("text"))

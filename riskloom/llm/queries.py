@@ -133,7 +133,7 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _IMATCH_SUBSETS = " + ".join(
-    f"(case when ('0x' || substr(md5('{j}:' || term), 1, 7))::bigint % {2 << j // imatch.SUBSETS_EACH} = 0 then {1 << j} else 0 end)::bigint"
+    f"(case when ('0x' || substr(md5('{j}:' || term), 1, 7))::bigint % {imatch.LARGEST << j // imatch.SUBSETS_EACH} = 0 then {1 << j} else 0 end)::bigint"
     for j in range(imatch.SUBSETS))
 
 
@@ -153,9 +153,10 @@ def _imatch_likeness(a: str, b: str) -> str:
 with d as (select doc_id, coalesce(text, '') as text, length(coalesce(text, '')) as n from documents),
 words as (select doc_id, unnest(list_distinct(string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}]+'))) as term from d),
 lexicon as (
-  select term, (('0x' || substr(md5(term), 1, 7))::bigint << 32) + {_IMATCH_SUBSETS} as code
-  from (select term, count(*) as df from words where term <> '' group by 1)
-  where ln((select count(*) from d) / df) between {imatch.IDF_LEAST} and {imatch.IDF_MOST}),
+  select term, ((('0x' || substr(md5(term), 1, 7))::bigint % 32768) << 48) + kept as code
+  from (select term, {_IMATCH_SUBSETS} as kept from (select term, count(*) as df from words where term <> '' group by 1)
+        where ln((select count(*) from d) / df) between {imatch.IDF_LEAST} and {imatch.IDF_MOST})
+  where kept > 0),
 lined as (
   select *, coalesce(lead(doc_id) over (order by doc_id), first_value(doc_id) over (order by doc_id)) as next_id,
          coalesce(lead(text) over (order by doc_id), first_value(text) over (order by doc_id)) as next_text from d),
