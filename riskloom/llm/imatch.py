@@ -38,7 +38,8 @@ def lexicon(texts: DataFrame, text_col: str = "text") -> DataFrame:
     n = texts.count()
     words = texts.select(F.explode(F.array_distinct(terms(F.col(text_col)))).alias("term")).filter(F.col("term") != MARK)
     idf = F.log(F.lit(float(max(1, n))) / F.col("df"))
-    band = words.groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter(idf.between(IDF_LEAST, IDF_MOST)).select("term")
+    # Written first: a filter on what is computed from the term would otherwise be moved in front of the count, to every word.
+    band = write_once(words.groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter(idf.between(IDF_LEAST, IDF_MOST)).select("term"), "band")
     kept = F.lit(0).cast("long")
     for j in range(SUBSETS):
         # Six subsets each of every rate 1/8, 1/16, ..., 1/1024.
