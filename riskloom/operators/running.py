@@ -1,49 +1,99 @@
 """Running totals and exact quantiles that never put one feature, or one group, into one task.
 
-A plain cumulative window sorts its whole partition in a single task. Here a value axis is first cut into
-ranges of similar row count; every range is summed up on its own, the range totals (a handful of rows) are
-accumulated, and each range adds the total of the ranges before it. The cut points come from an approximate
-quantile pass, and only the balance of the tasks depends on them: results are exact for any cut points.
+A plain cumulative window sorts its whole partition in a single task. Here a value axis is first cut into ranges of similar row
+count; every range is summed up on its own, the range totals (a handful of rows) are accumulated, and each range adds the total of
+the ranges before it. Cut points and quantiles come from counts per bin of values, which every task combines before the shuffle: no
+sketch, no list of values, and one path for inputs of any size. Only the balance of the tasks depends on the cut points.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.shape import as_double
-from riskloom.session import is_small, spread_small
+from riskloom.session import spread_small
 
-ROWS_PER_RANGE = 4_000_000
-MAX_RANGES = 2048
-SKETCH_ACCURACY = 10_000
+ROWS_PER_RANGE = 1_000_000
+BINS = 1024
 RANGE = "value_range"
 
 
-def range_cuts(df: DataFrame, columns: Sequence[str], rows_per_range: int = ROWS_PER_RANGE,
-               force: bool = False) -> dict[str, list[float]]:
-    """Cut points per column, none for small inputs. At most ``MAX_RANGES`` numbers per column reach the driver."""
-    if not force and is_small(df):
-        return {c: [] for c in columns}
-    sketch = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.array(*[
-            F.percentile_approx(as_double(c), [i / MAX_RANGES for i in range(1, MAX_RANGES)], SKETCH_ACCURACY)
-            for c in columns
-        ]).alias("cuts"),
-    ).first()
-    ranges = max(1, min(MAX_RANGES, math.ceil(sketch["n"] / rows_per_range)))
-    cuts = {}
-    for column, points in zip(columns, sketch["cuts"]):
-        points = points or []
-        picked = [points[MAX_RANGES * i // ranges - 1] for i in range(1, ranges)] if points else []
-        cuts[column] = sorted(set(picked))
-    return cuts
+def _bent(x: Column) -> Column:
+    """A monotone map that brings values of any magnitude near each other."""
+    return F.signum(x) * F.log1p(F.abs(x))
+
+
+def _bin(x: Column, low: float, high: float, bins: int = BINS) -> Column:
+    """Bin of ``x`` between ``low`` and ``high``: never falls as ``x`` rises, 0 at ``low`` and ``bins - 1`` at ``high``."""
+    width = F.greatest(_bent(F.lit(high)) - _bent(F.lit(low)), F.lit(5e-324))
+    linear = F.least(F.lit(1.0), F.greatest(F.lit(0.0), (_bent(x) - _bent(F.lit(low))) / width))
+    return F.when(x >= high, bins - 1).otherwise(F.least(F.lit(bins - 2), F.floor(linear * (bins - 1)))).cast("int")
+
+
+@dataclass(frozen=True)
+class _Band:
+    """An interval of values of one column, with the number of rows below and inside."""
+
+    feature: str
+    low: float
+    high: float
+    inside: int
+    below: int = 0
+
+    def inside_value(self) -> Column:
+        x = as_double(self.feature)
+        return F.when(x.between(self.low, self.high), x)
+
+
+def _extents(df: DataFrame, columns: Sequence[str]) -> list[_Band]:
+    """The whole range of every column, in one pass that keeps three numbers for each."""
+    row = df.agg(*[
+        F.struct(F.count(as_double(c)).alias("n"), F.min(as_double(c)).alias("low"), F.max(as_double(c)).alias("high")).alias(f"c{i}")
+        for i, c in enumerate(columns)
+    ]).first()
+    return [_Band(c, row[f"c{i}"]["low"], row[f"c{i}"]["high"], row[f"c{i}"]["n"]) for i, c in enumerate(columns)]
+
+
+def _histograms(df: DataFrame, bands: Sequence[_Band]) -> dict[int, list[tuple[int, float, float]]]:
+    """Rows, smallest and largest value of every bin of every band, in order; at most ``BINS`` rows a band reach the driver."""
+    entries = F.array(*[
+        F.struct(F.lit(i).alias("band"), _bin(b.inside_value(), b.low, b.high).alias("bin"), b.inside_value().alias("value"))
+        for i, b in enumerate(bands)
+    ])
+    counted = (df.select(F.inline(entries)).where(F.col("value").isNotNull()).groupBy("band", "bin")
+               .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")))
+    found: dict[int, list] = {}
+    for r in sorted(counted.collect(), key=lambda r: (r["band"], r["bin"])):
+        found.setdefault(r["band"], []).append((r["n"], r["low"], r["high"]))
+    return found
+
+
+def range_cuts(df: DataFrame, columns: Sequence[str], rows_per_range: int = ROWS_PER_RANGE) -> dict[str, list[float]]:
+    """Cut points per column that leave about ``rows_per_range`` rows between them, none where there are fewer.
+
+    A bin with more rows is looked at again in finer bins until it is a single value or small enough.
+    """
+    cuts: dict[str, list[float]] = {c: [] for c in columns}
+    pending = [b for b in _extents(df, columns) if b.inside > rows_per_range and b.low < b.high]
+    while pending:
+        found, crowded = _histograms(df, pending), []
+        for i, b in enumerate(pending):
+            held = 0
+            for n, low, high in found[i]:
+                if held and held + n > rows_per_range:
+                    cuts[b.feature].append(low)
+                    held = 0
+                held += n
+                if n > rows_per_range and low < high:
+                    crowded.append(_Band(b.feature, low, high, n))
+        pending = crowded
+    return {c: sorted(set(points)) for c, points in cuts.items()}
 
 
 def with_ranges(df: DataFrame, cuts: dict[str, list[float]], suffix: str = "__range") -> DataFrame:
@@ -103,98 +153,57 @@ def running_sums(counted: DataFrame, keys: Sequence[str], order: str, sums: Sequ
     )
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                    force: bool = False) -> DataFrame:
-    """Linear-interpolated quantiles, exact at any size: rows ``(feature, q, value)``.
-
-    Small inputs use ``percentile``. Its state grows with the number of distinct values, so beyond that the
-    sketch first narrows each quantile to a thin band that surely holds it, and one more pass counts what lies
-    below the band and ranks only the values inside it.
-    """
-    columns, probs = list(columns), [float(p) for p in probs]
-    if not force and is_small(df):
-        wide = df.agg(*[F.percentile(as_double(c), probs).alias(c) for c in columns])
-        entries = F.array(*[
-            F.struct(F.lit(c).alias("feature"), F.lit(q).alias("q"), F.col(c)[i].alias("value"))
-            for c in columns for i, q in enumerate(probs)
-        ])
-        return wide.select(F.inline(entries))
-    return _banded_quantiles(df, columns, probs)
-
-
-# Ranking one band in one window is fine up to this many rows; a wider band is narrowed again first.
-BAND_ROWS = 5_000_000
-
-
-@dataclass
-class _Band:
-    """A value interval known to hold the wanted ranks of one (feature, q)."""
-
-    feature: str
-    q: float
-    position: float
-    low: float
-    high: float
-    slack: float = 2.0 / SKETCH_ACCURACY
-    below: int = 0
-    inside: int = 0
-
-    def value(self):
-        return as_double(self.feature)
-
-    def inside_value(self):
-        return F.when(self.value().between(self.low, self.high), self.value())
+# Values of one band are counted and ranked in one window up to this many rows; a wider band is narrowed first.
+BAND_ROWS = 500_000
 
-    def holds_ranks(self) -> bool:
-        return self.below <= math.floor(self.position) and math.ceil(self.position) < self.below + self.inside
 
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Linear-interpolated quantiles, exact at any size: rows ``(feature, q, value)``.
 
-def _banded_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
-    extent = df.agg(*[
-        F.struct(F.count(as_double(c)).alias("n"), F.min(as_double(c)).alias("low"), F.max(as_double(c)).alias("high"))
-        .alias(c) for c in columns
-    ]).first()
-    rows, pending = [], []
-    for c in columns:
-        for q in probs:
-            if not extent[c]["n"]:
-                rows.append((c, q, None))
-                continue
-            pending.append(_Band(c, q, q * (extent[c]["n"] - 1), extent[c]["low"], extent[c]["high"],
-                                 inside=extent[c]["n"]))
+    A quantile lies between the values of two ranks. Each rank starts from the range of its column. While the band of values that
+    holds it has many rows, a pass counts the rows per bin, and the band shrinks to the rank's bin; then the values inside are
+    counted and ranked.
+    """
+    wanted = {}
+    for b in _extents(df, columns):
+        for q in map(float, probs):
+            wanted[b.feature, q] = (b, q * (b.inside - 1) if b.inside else None)
+    pending = {(b.feature, rank): b for b, at in wanted.values() if at is not None for rank in (math.floor(at), math.ceil(at))}
+    values: dict[tuple[str, int], float] = {}
     while pending:
-        wide = [b for b in pending if b.inside > BAND_ROWS and b.low < b.high and b.slack < 1.0]
-        ready = [b for b in pending if b not in wide]
+        ready = {k: b for k, b in pending.items() if b.inside <= BAND_ROWS or b.low >= b.high}
         if ready:
-            rows += _rank_bands(df, ready)
-        pending = _narrow(df, wide) if wide else []
+            values |= _rank_bands(df, ready)
+        pending = _narrow(df, {k: b for k, b in pending.items() if k not in ready})
+    rows = []
+    for (feature, q), (_, at) in wanted.items():
+        if at is None:
+            rows.append((feature, q, None))
+        else:
+            share = at - math.floor(at)
+            rows.append((feature, q, (1 - share) * values[feature, math.floor(at)] + share * values[feature, math.ceil(at)]))
     return df.sparkSession.createDataFrame(rows, "feature string, q double, value double")
 
 
-def _narrow(df: DataFrame, bands: list[_Band]) -> list[_Band]:
-    """One sketch pass and one counting pass; a band that would lose its ranks keeps its old limits."""
-
-    def edges(b: _Band) -> list[float]:
-        at = (b.position - b.below) / b.inside
-        return [max(0.0, at - b.slack), min(1.0, at + b.slack)]
-
-    sketch = df.agg(F.array(*[
-        F.percentile_approx(b.inside_value(), edges(b), SKETCH_ACCURACY) for b in bands
-    ]).alias("edges")).first()["edges"]
-    narrowed = [replace(b, low=low, high=high) for b, (low, high) in zip(bands, sketch)]
-    counts = df.agg(F.array(*[
-        F.struct(F.count_if(b.value() < b.low).alias("below"), F.count(b.inside_value()).alias("inside"))
-        for b in narrowed
-    ]).alias("counts")).first()["counts"]
-    result = []
-    for old, new, count in zip(bands, narrowed, counts):
-        new = replace(new, below=count["below"], inside=count["inside"])
-        shrunk = new.holds_ranks() and new.inside < old.inside
-        result.append(new if shrunk else replace(old, slack=old.slack * 10))
+def _narrow(df: DataFrame, pending: dict[tuple[str, int], _Band]) -> dict[tuple[str, int], _Band]:
+    """Each band cut down to the bin of its rank. The smallest and the largest value have bins of their own, so it shrinks."""
+    if not pending:
+        return {}
+    bands = list(dict.fromkeys(pending.values()))  # the ranks of a column start from one band
+    found = _histograms(df, bands)
+    result = {}
+    for (feature, rank), b in pending.items():
+        below = b.below
+        for n, low, high in found[bands.index(b)]:
+            if rank < below + n:
+                result[feature, rank] = _Band(feature, low, high, n, below)
+                break
+            below += n
     return result
 
 
-def _rank_bands(df: DataFrame, bands: list[_Band]) -> list[tuple]:
+def _rank_bands(df: DataFrame, ready: dict[tuple[str, int], _Band]) -> dict[tuple[str, int], float]:
+    bands = list(dict.fromkeys(ready.values()))
     entries = F.array(*[
         F.struct(F.lit(i).alias("band"), b.inside_value().alias("value")) for i, b in enumerate(bands)
     ])
@@ -204,17 +213,13 @@ def _rank_bands(df: DataFrame, bands: list[_Band]) -> list[tuple]:
     )
     ranked = running_sums(counted, ["band"], "value", ["n"], ranged=False)
     hit = F.lit(False)
-    for i, b in enumerate(bands):
-        last, first = F.col("cum_n") + b.below, F.col("cum_n") - F.col("n") + b.below
-        hit = hit | ((F.col("band") == i) & (last > math.floor(b.position)) & (first <= math.ceil(b.position)))
+    for (_, rank), b in ready.items():
+        at = rank - b.below
+        hit = hit | ((F.col("band") == bands.index(b)) & (F.col("cum_n") > at) & (F.col("cum_n") - F.col("n") <= at))
     found: dict[int, list] = {}
-    for row in ranked.where(hit).select("band", "cum_n", "value").collect():
-        found.setdefault(row["band"], []).append((row["cum_n"] + bands[row["band"]].below, row["value"]))
-    rows = []
-    for i, b in enumerate(bands):
-        values = sorted(found[i])
-        fraction = b.position - math.floor(b.position)
-        lower = next(v for last, v in values if last > math.floor(b.position))
-        upper = next(v for last, v in values if last > math.ceil(b.position))
-        rows.append((b.feature, b.q, (1 - fraction) * lower + fraction * upper))
-    return rows
+    for row in ranked.where(hit).select("band", "cum_n", "value").collect():  # a row for each rank at most
+        found.setdefault(row["band"], []).append((row["cum_n"], row["value"]))
+    return {
+        (feature, rank): next(v for last, v in sorted(found[bands.index(b)]) if last > rank - b.below)
+        for (feature, rank), b in ready.items()
+    }

@@ -22,31 +22,40 @@ def rows(spark):
     return spark.createDataFrame(data, "value double, score double, y int, is_current int, grp int").repartition(5).cache()
 
 
-@pytest.mark.parametrize("band_rows", [10, 5_000_000])
-def test_banded_quantiles_equal_percentile(rows, band_rows, monkeypatch):
+@pytest.mark.parametrize("band_rows,bins", [(10, 4), (10, 1024), (500_000, 1024)])
+def test_quantiles_equal_percentile(rows, band_rows, bins, monkeypatch):
     monkeypatch.setattr(R, "BAND_ROWS", band_rows)
+    monkeypatch.setattr(R._bin, "__defaults__", (bins,))
     probs = [0.0, 0.05, 0.25, 0.5, 0.8, 0.95, 1.0]
-    get = lambda df: {(r["feature"], r["q"]): r["value"] for r in df.collect()}
-    small = get(R.exact_quantiles(rows, ["value", "score"], probs))
-    large = get(R.exact_quantiles(rows, ["value", "score"], probs, force=True))
-    assert small.keys() == large.keys()
-    for key in small:
-        assert large[key] == pytest.approx(small[key], abs=1e-12)
+    wide = rows.agg(*[F.percentile(c, probs).alias(c) for c in ("value", "score")]).first()
+    got = {(r["feature"], r["q"]): r["value"] for r in R.exact_quantiles(rows, ["value", "score"], probs).collect()}
+    assert len(got) == 14
+    for i, q in enumerate(probs):
+        for c in ("value", "score"):
+            assert got[c, q] == pytest.approx(wide[c][i], abs=1e-12)
+
+
+def test_quantiles_of_extreme_values(spark, monkeypatch):
+    monkeypatch.setattr(R, "BAND_ROWS", 1)
+    values = [-1e300, -5e-324, 0.0, 5e-324, 1.0, 1.0 + 2**-52, 1.7e9, 1.7e9 + 1, 1e308, 1e308]
+    df = spark.createDataFrame([(v,) for v in values], "a double")
+    got = {r["q"]: r["value"] for r in R.exact_quantiles(df, ["a"], [i / 9 for i in range(10)]).collect()}
+    assert [got[i / 9] for i in range(10)] == values
 
 
 def test_quantiles_of_empty_and_single(spark):
     df = spark.createDataFrame([(None, 4.0)], "a double, b double")
-    got = {r["feature"]: r["value"] for r in R.exact_quantiles(df, ["a", "b"], [0.5], force=True).collect()}
+    got = {r["feature"]: r["value"] for r in R.exact_quantiles(df, ["a", "b"], [0.5]).collect()}
     assert got == {"a": None, "b": 4.0}
 
 
 def test_cuts_are_bounded_and_sorted(rows):
-    cuts = R.range_cuts(rows, ["value", "score"], rows_per_range=500, force=True)
-    assert all(0 < len(c) < 12 and c == sorted(set(c)) for c in cuts.values())
+    cuts = R.range_cuts(rows, ["value", "score"], rows_per_range=500)
+    assert all(0 < len(c) <= 24 and c == sorted(set(c)) for c in cuts.values())
 
 
 def test_auc_does_not_depend_on_ranges(rows):
-    cuts = R.range_cuts(rows, ["score"], rows_per_range=400, force=True)["score"]
+    cuts = R.range_cuts(rows, ["score"], rows_per_range=400)["score"]
     for by in ([], ["grp"]):
         one = sorted(map(tuple, M.auc_roc(rows, "y", "score", by, cuts=[]).collect()))
         many = sorted(map(tuple, M.auc_roc(rows, "y", "score", by, cuts=cuts).collect()))
@@ -56,7 +65,7 @@ def test_auc_does_not_depend_on_ranges(rows):
 
 
 def test_curves_do_not_depend_on_ranges(rows):
-    cuts = R.range_cuts(rows, ["score"], rows_per_range=400, force=True)["score"]
+    cuts = R.range_cuts(rows, ["score"], rows_per_range=400)["score"]
     for curve in (M.roc_curve, M.pr_curve):
         a = sorted(map(tuple, curve(rows, "y", "score", cuts=[]).na.fill(-1.0).collect()))
         b = sorted(map(tuple, curve(rows, "y", "score", cuts=cuts).na.fill(-1.0).collect()))
@@ -65,7 +74,7 @@ def test_curves_do_not_depend_on_ranges(rows):
 
 def test_ks_does_not_depend_on_ranges(rows):
     columns = ["value", "score"]
-    cuts = R.range_cuts(rows, columns, rows_per_range=700, force=True)
+    cuts = R.range_cuts(rows, columns, rows_per_range=700)
     get = lambda c: sorted(map(tuple, D.ks_between(rows, columns, cuts=c).collect()))
     one, many = get({c: [] for c in columns}), get(cuts)
     for a, b in zip(one, many):
