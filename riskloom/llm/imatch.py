@@ -50,9 +50,11 @@ def lexicon(texts: DataFrame, text_col: str = "text") -> DataFrame:
 def subset_hashes(codes: Column, fallback: Column) -> Column:
     """array<string>: for each subset the hash of its sorted codes, empty where it keeps none; without codes ``fallback`` everywhere."""
     has = lambda j: lambda c: F.shiftright(c, j).bitwiseAND(F.lit(1)) == 1
-    kept = [F.filter(codes, has(j)) for j in range(SUBSETS)]
-    hashes = [F.when(F.size(k) > 0, F.substring(F.md5(F.array_join(k.cast("array<string>"), ",")), 1, HEX)).otherwise("") for k in kept]
-    return F.when(F.size(codes) > 0, F.array(*hashes)).otherwise(F.array(*[F.substring(fallback, 1 + j % (33 - HEX), HEX) for j in range(SUBSETS)]))
+    # As a variable of transform() the array is made once, not for every subset.
+    lists = lambda own: F.array(*[F.array_join(F.filter(own, has(j)).cast("array<string>"), ",") for j in range(SUBSETS)])
+    hashes = F.transform(F.transform(F.array(codes), lists)[0], lambda s: F.when(s == "", "").otherwise(F.substring(F.md5(s), 1, HEX)))
+    spares = F.array(*[F.substring(fallback, 1 + j % (33 - HEX), HEX) for j in range(SUBSETS)])
+    return F.when(F.size(codes) > 0, hashes).otherwise(spares)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -110,7 +112,7 @@ def fingerprint_and_edit(docs: DataFrame, id_col: str = "doc_id", text_col: str
     rows = told.select("id", "hash", "which", "sha", "spare", F.explode(F.concat(F.array(F.lit(MARK)), terms(F.col("text")))).alias("term"))
     # The mark keeps a document whose terms are all outside the band.
     sets = rows.join(known, "term").groupBy("id", "hash", "which").agg(F.first("sha").alias("sha"), F.first("spare").alias("spare"), F.collect_set("code").alias("codes"))
-    codes = F.array_sort(F.filter("codes", lambda c: c >= 0))
+    codes = F.sort_array(F.filter("codes", lambda c: c >= 0))
     prints = sets.select("id", "hash", "which", "sha", subset_hashes(codes, F.col("spare")).alias("print"))
     wide = prints.groupBy("id", "hash").agg(
         F.max("sha").alias("edited_sha256"), F.max(F.when(F.col("which") == 0, F.col("print"))).alias("print"),
