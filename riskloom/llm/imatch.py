@@ -105,11 +105,12 @@ def fingerprint_and_edit(docs: DataFrame, id_col: str = "doc_id", text_col: str
     n = F.length("text")
     edited = F.concat(F.substring("text", F.lit(1), n - F.floor(n / 2).cast("int")), F.col("head"))
     both = one.join(heads, ["id", "hash"]).select("id", "hash", "text", edited.alias("edited"))
-    both = both.select("id", "hash", F.explode(F.array(F.struct(F.lit(0).alias("which"), "text"), F.struct(F.lit(1).alias("which"), F.col("edited").alias("text")))).alias("t"))
-    digest, spare = F.when(F.col("t.which") == 1, F.sha2(F.col("t.text"), 256)), F.md5(F.lower(F.col("t.text")))
-    # Digests in a step of their own: beside the explode they would be computed once for every term.
-    told = both.select("id", "hash", F.col("t.which").alias("which"), digest.alias("sha"), spare.alias("spare"), F.col("t.text").alias("text"))
-    rows = told.select("id", "hash", "which", "sha", "spare", F.explode(F.concat(F.array(F.lit(MARK)), terms(F.col("text")))).alias("term"))
+    # The digests are part of the exploded structs: as columns beside a later explode they would be computed once for every term.
+    kinds = [(0, F.col("text"), F.lit(None).cast("string")), (1, F.col("edited"), F.sha2("edited", 256))]
+    structs = [F.struct(F.lit(k).alias("which"), t.alias("text"), sha.alias("sha"), F.md5(F.lower(t)).alias("spare")) for k, t, sha in kinds]
+    told = both.select("id", "hash", F.explode(F.array(*structs)).alias("t"))
+    rows = told.select("id", "hash", F.col("t.which").alias("which"), F.col("t.sha").alias("sha"), F.col("t.spare").alias("spare"),
+                       F.explode(F.concat(F.array(F.lit(MARK)), terms(F.col("t.text")))).alias("term"))
     # The mark keeps a document whose terms are all outside the band.
     sets = rows.join(known, "term").groupBy("id", "hash", "which").agg(F.first("sha").alias("sha"), F.first("spare").alias("spare"), F.collect_set("code").alias("codes"))
     codes = F.sort_array(F.filter("codes", lambda c: c >= 0))
