@@ -10,7 +10,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-EXACT_LIMIT = 10_000  # fixed value: sample size up to which the p-value is exact
 TERMS = 100
 
 
@@ -54,11 +53,11 @@ def _band_probability(d: float, n: int, m: int) -> float:
 
 @F.pandas_udf(DoubleType())
 def exact(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
-    """Exact two-sided p-value for small samples, one per feature; null where a sample is too large."""
+    """Exact two-sided p-value, one per feature, in n * m steps; null where a sample is empty."""
     out = []
     for x, a, b in zip(d, n, m):
-        small = pd.notna(x) and pd.notna(a) and 0 < max(a, b) <= EXACT_LIMIT
-        out.append(_band_probability(float(x), int(a), int(b)) if small else None)
+        known = pd.notna(x) and pd.notna(a) and pd.notna(b) and min(a, b) > 0
+        out.append(_band_probability(float(x), int(a), int(b)) if known else None)
     return pd.Series(out, dtype="float64")
 
 
@@ -82,9 +81,8 @@ def equal_sizes(d: Column, n: Column) -> Column:
     return F.when(h <= 0, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2.0 * total)))
 
 
-def ks_pvalue(d: Column, n: Column, m: Column, method: str = "auto") -> Column:
-    """Two-sided p-value. 'auto' is exact up to ``EXACT_LIMIT`` rows per sample and asymptotic above."""
-    if method == "asymptotic":
-        return asymptotic(d, n, m)
-    small = F.greatest(n, m) <= EXACT_LIMIT
-    return F.when(small, exact(d, n.cast("bigint"), m.cast("bigint"))).otherwise(asymptotic(d, n, m))
+def ks_pvalue(d: Column, n: Column, m: Column, method: str = "asymptotic") -> Column:
+    """Two-sided p-value, 'asymptotic' or 'exact'. The method is the caller's choice at every sample size."""
+    if method not in ("asymptotic", "exact"):
+        raise ValueError(f"unknown method {method}")
+    return asymptotic(d, n, m) if method == "asymptotic" else exact(d, n.cast("bigint"), m.cast("bigint"))

@@ -32,3 +32,9 @@ def ratio(numerator: Column, denominator: Column, default: float | None = 0.0) -
     """Division that yields ``default`` on a zero or missing denominator."""
     quotient = numerator.cast("double") / F.nullif(denominator.cast("double"), F.lit(0.0))
     return quotient if default is None else F.coalesce(quotient, F.lit(float(default)))
+
+
+def keyed_hash(column: str | Column, seed: int) -> Column:
+    """A number below 2**60 from seed and value: the first 15 hex digits of an MD5, which other engines have as well."""
+    value = F.col(column) if isinstance(column, str) else column
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(value.cast("string"), F.lit("")))), 1, 15), 16, 10).cast("bigint")

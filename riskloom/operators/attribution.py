@@ -19,6 +19,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.functions.shape import keyed_hash
 from riskloom.operators.learn import importance_table, probability, vectorized
 from riskloom.operators.metrics import auc_roc
 from riskloom.operators.neighbours import hash_rank
@@ -129,7 +130,7 @@ def topk_attribution(attribution: DataFrame, k: int = 20) -> DataFrame:
 
 def seeded_sample(df: DataFrame, id_col: str, n: int = 1000, seed: int = 42) -> DataFrame:
     """The ``n`` rows with the smallest hash of id and seed: fixed for any partitioning."""
-    return df.orderBy(F.xxhash64(F.lit(seed), F.col(id_col)), id_col).limit(n)
+    return df.orderBy(keyed_hash(id_col, seed), id_col).limit(n)
 
 
 def selected_names(model: PipelineModel, names: Sequence[str]) -> list[str]:

@@ -84,7 +84,7 @@ def ks_two_sample(reference: DataFrame, current: DataFrame, columns: Sequence[st
     return ks_between(both, shared, CURRENT, min_n, cuts)
 
 
-def feature_scores(ks: DataFrame, alpha: float = 0.05, method: str = "auto") -> DataFrame:
+def feature_scores(ks: DataFrame, alpha: float = 0.05, method: str = "asymptotic") -> DataFrame:
     """P-value and verdict per feature."""
     scored = ks.withColumn("p_value", ks_pvalue(F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur"), method))
     return scored.select(
@@ -94,20 +94,20 @@ def feature_scores(ks: DataFrame, alpha: float = 0.05, method: str = "auto") ->
     )
 
 
-def drift_summary(scores: DataFrame, shown: int = 10) -> DataFrame:
-    """One row: features checked and drifted, the first drifted names, largest statistic and the flag."""
+def drift_summary(scores: DataFrame) -> DataFrame:
+    """One row: features checked and drifted, all drifted names in order, largest statistic and the flag."""
     drifted = F.sort_array(F.collect_list(F.when(F.col("drifted"), F.col("feature"))))
     return scores.agg(
         F.count(F.lit(1)).alias("n_features_checked"),
         F.count_if("drifted").alias("n_drifted_features"),
-        F.slice(drifted, 1, shown).alias("drifted_features"),
+        drifted.alias("drifted_features"),
         F.coalesce(F.max("ks_statistic"), F.lit(0.0)).alias("max_ks_statistic"),
         F.coalesce(F.bool_or("drifted"), F.lit(False)).alias("drift_detected"),
     )
 
 
 def drift_report(reference: DataFrame, current: DataFrame, columns: Sequence[str], alpha: float = 0.05,
-                 min_n: int = 10, method: str = "auto") -> DataFrame:
+                 min_n: int = 10, method: str = "asymptotic") -> DataFrame:
     return drift_summary(feature_scores(ks_two_sample(reference, current, columns, min_n), alpha, method))
 
 
@@ -128,9 +128,7 @@ def profile_match(profile: DataFrame, current: DataFrame, columns: Sequence[str]
 def recommendation(summary: DataFrame, critical: float = 0.25) -> DataFrame:
     return summary.withColumn(
         "recommendation",
-        F.when(F.col("max_ks_statistic") > critical, "Retrain model immediately.")
-        .when(F.col("drift_detected"), "Monitor closely – drift detected.")
-        .otherwise("No significant drift. Continue monitoring."),
+        F.when(F.col("max_ks_statistic") > critical, "retrain").when(F.col("drift_detected"), "watch").otherwise("none"),
     )
 
 

@@ -22,18 +22,19 @@ from riskloom.functions.shape import ratio
 from riskloom.operators import metrics
 from riskloom.operators.drift import importance_join, topk_shift
 from riskloom.operators.running import exact_quantiles
-from riskloom.session import cut_lineage, spread_small
-from riskloom.sources.requests import confidence_band
+from riskloom.session import cut_lineage
+from riskloom.sources.requests import confidence_band, explode_batch, feature_value
 
 WEIGHT = "class_weight"
 VALIDATION = "is_validation"
 FEATURES = "features"
+TRAINING_ROWS = 200_000  # rows in a partition of the learners
 NO_MODEL_PROBABILITY = 0.1  # fixed value: answer without any model
 
 
 @dataclass(frozen=True)
 class TreeConfig:
-    """Boosting settings; the defaults are the reference ones."""
+    """Boosting settings. The numbers are fixed values, but for the tolerance."""
 
     rounds: int = 500
     depth: int = 6
@@ -42,7 +43,7 @@ class TreeConfig:
     columns: str = "0.8"
     min_rows: int = 10
     bins: int = 32
-    tolerance: float = 0.01
+    tolerance: float = 0.0  # any fall of the validation loss goes on; 0.01 would end slow learning after a few rounds
     seed: int = 42
 
 
@@ -83,11 +84,12 @@ def validation_tail(df: DataFrame, time_col: str = S.TIME, fraction: float = 0.1
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Long boosting runs cut their lineage there; a cluster sets ``spark.checkpoint.dir``, a local run may not."""
+    """Long boosting runs cut their lineage there; a cluster must set ``spark.checkpoint.dir``, a local run may not."""
     if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
         return
-    if spark.sparkContext.master.startswith("local"):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="riskloom-checkpoint-"))
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="riskloom-checkpoint-"))
 
 
 def vectorized(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -126,7 +128,11 @@ def _gbt(label: str, cfg: TreeConfig, weight: str | None, validation: str | None
 
 def _training_columns(df: DataFrame, features: Sequence[str], label: str, *extra: str | None) -> DataFrame:
     named = [c for c in extra if c]
-    return spread_small(vectorized(df, features).select(*features, F.col(label).cast("double").alias(label), *named))
+    rows = df.select(*features, F.col(label).cast("double").alias(label), *named)
+    # The learners sample by partition. Partitions from the number of rows, and a fixed order in them, give one model on any cores.
+    parts = max(8, -(-rows.count() // TRAINING_ROWS))
+    dealt = rows.repartition(parts, F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])).sortWithinPartitions(*rows.columns)
+    return vectorized(dealt, features)
 
 
 def train_gbt(df: DataFrame, features: Sequence[str], label: str = S.LABEL, cfg: TreeConfig = TreeConfig(),
@@ -235,6 +241,17 @@ def score_batch(model: PipelineModel | None, df: DataFrame, features: Sequence[s
     return decide(probability(model, df, features, keep=[id_col]), threshold=threshold, keep=[id_col])
 
 
+def score_requests(model: PipelineModel | None, requests: DataFrame, json_col: str, features: Sequence[str], keep: Sequence[str] = (),
+                   threshold: float = 0.5) -> DataFrame:
+    """``(*keep, index, fraud_probability, is_fraud, confidence)`` for every object of JSON arrays of feature maps.
+
+    Features are taken by name; an absent, null or non-numeric one is 0.
+    """
+    objects = explode_batch(requests, json_col, keep)
+    typed = objects.select(*keep, "index", *[feature_value(F.col("features"), n).alias(n) for n in features])
+    return decide(probability(model, typed, features, keep=[*keep, "index"]), threshold=threshold, keep=[*keep, "index"])
+
+
 # -- comparisons -----------------------------------------------------------------------------------------------
 
 

@@ -132,20 +132,18 @@ def bucket_quantile(arrays: DataFrame, edges: Sequence[float], phi: float, by: S
 # -- conditions over time --------------------------------------------------------------------------------------
 
 
-def sustained(df: DataFrame, time_col: str, condition: Column, hold: int | Column, keys: Sequence[str] = (),
-              step: int | None = None) -> DataFrame:
+def sustained(df: DataFrame, time_col: str, condition: Column, hold: int | Column, step: int,
+              keys: Sequence[str] = ()) -> DataFrame:
     """Stretches in which ``condition`` holds at every evaluation for at least ``hold`` seconds.
 
     ``hold`` is a number, or one of the ``keys`` where it differs between them.
 
     ``df`` has one row per evaluation step and key, so a key has as many rows as there were steps, whatever the
-    traffic behind them. With ``step``, a missing evaluation also ends a stretch.
+    traffic behind them. Evaluations more than ``step`` seconds apart do not belong to one stretch: a missing one ends it.
     """
     marked = df.select(*keys, F.col(time_col).alias("__t"), F.coalesce(condition, F.lit(False)).alias("__on"))
     order = Window.partitionBy(*keys).orderBy("__t")
-    broken = ~F.coalesce(F.lag("__on").over(order), F.lit(False))
-    if step is not None:
-        broken = broken | (F.col("__t") - F.lag("__t").over(order) > step)
+    broken = ~F.coalesce(F.lag("__on").over(order), F.lit(False)) | (F.col("__t") - F.lag("__t").over(order) > step)
     starts = marked.withColumn("__new", (F.col("__on") & broken).cast("int"))
     island = F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0))
     spans = (
@@ -156,7 +154,7 @@ def sustained(df: DataFrame, time_col: str, condition: Column, hold: int | Colum
     return held.select(*keys, "active_since", (F.col("active_since") + hold).alias("fired_at"), "last_true", "steps")
 
 
-def evaluate_rules(series: DataFrame, rules: Sequence[tuple] = ALERT_RULES, step: int | None = None) -> DataFrame:
+def evaluate_rules(series: DataFrame, step: int, rules: Sequence[tuple] = ALERT_RULES) -> DataFrame:
     """Firing alerts from ``(metric, labels, t, value)``; ``labels`` is a string naming the series.
 
     Every sample meets the few rules of its metric in one pass, so the series is computed once for all rules.
@@ -171,7 +169,7 @@ def evaluate_rules(series: DataFrame, rules: Sequence[tuple] = ALERT_RULES, step
         F.when(F.col("op") == "<", value < threshold).when(F.col("op") == ">", value > threshold).otherwise(value == threshold)
     )
     keys = ["alertname", "severity", "category", "hold", "labels"]
-    return sustained(judged, "t", condition, F.col("hold"), keys, step).drop("hold")
+    return sustained(judged, "t", condition, F.col("hold"), step, keys).drop("hold")
 
 
 def source_silence(df: DataFrame, ts: str, keys: Sequence[str], gap: int) -> DataFrame:
@@ -196,13 +194,25 @@ def source_silence(df: DataFrame, ts: str, keys: Sequence[str], gap: int) -> Dat
 
 def alert_groups(alerts: DataFrame, time_col: str, keys: Sequence[str] = ("alertname", "category"),
                  repeat: int = 3 * 3600) -> DataFrame:
-    """Notifications: alerts of a group within one repeat interval, counted from its first alert, are one."""
-    first = alerts.groupBy(*keys).agg(F.min(time_col).alias("__first"))
-    slot = F.floor((F.col(time_col) - F.col("__first")) / repeat)
-    return (
-        alerts.join(first, list(keys)).groupBy(*keys, slot.alias("slot"))
-        .agg(F.min(time_col).alias("notified_at"), F.count(F.lit(1)).alias("n_alerts"))
-    )
+    """``(*keys, slot, notified_at, n_alerts)``: one notification for the alerts of a group within ``repeat`` seconds.
+
+    The interval starts at the notification, and the next one is due at the first alert after it has run out; ``slot`` counts them
+    from 0. Times are counted first, so a group is folded over its different times only.
+    """
+    times = alerts.where(F.col(time_col).isNotNull()).groupBy(*keys, F.col(time_col).alias("t")).agg(F.count(F.lit(1)).alias("n"))
+    group = times.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("t", "n"))).alias("alerts"))
+    fresh = lambda x: F.array(F.struct(x["t"].alias("notified_at"), x["n"].alias("n_alerts")))
+
+    def fold(told: Column, x: Column) -> Column:
+        last = F.element_at(told, -1)
+        joined = F.struct(last["notified_at"].alias("notified_at"), (last["n_alerts"] + x["n"]).alias("n_alerts"))
+        older = F.slice(told, F.lit(1), F.greatest(F.size(told) - 1, F.lit(0)))
+        return F.when(F.size(told) == 0, fresh(x)).when(x["t"] - last["notified_at"] >= repeat, F.concat(told, fresh(x))).otherwise(
+            F.concat(older, F.array(joined)))
+
+    start = F.array().cast(f"array<struct<notified_at:{times.schema['t'].dataType.simpleString()},n_alerts:bigint>>")
+    told = group.select(*keys, F.posexplode(F.aggregate("alerts", start, fold)).alias("slot", "told"))
+    return told.select(*keys, F.col("slot").cast("bigint").alias("slot"), "told.notified_at", "told.n_alerts")
 
 
 def retrain_events(alerts: DataFrame, mapping: dict[str, str] = RETRAIN_EVENTS) -> DataFrame:

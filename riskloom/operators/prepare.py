@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom import schema as S
-from riskloom.functions.shape import melt, ratio
+from riskloom.functions.shape import keyed_hash, melt, ratio
 from riskloom.operators.running import exact_quantiles
 from riskloom.session import cut_lineage
 
@@ -140,9 +140,11 @@ def freq_fit(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def freq_encode(df: DataFrame, fitted: DataFrame, columns: Sequence[str], train_rows: Column | int) -> DataFrame:
     """Replace values by their training share; unseen and missing ones become ``1 / train_rows``.
 
-    No hint: the map may be large. AQE broadcasts it when its measured size allows, and splits hot values of
-    the row side otherwise (map keys are unique, so nothing is multiplied).
+    The map is written first: its size is then known before the rows are planned, and a map below the broadcast threshold never
+    makes them move. A larger one is joined by key; missing values, which match nothing, do not take part, and adaptive execution
+    splits hot values (map keys are unique, so nothing is multiplied).
     """
+    fitted = cut_lineage(fitted, "map")
     default = F.lit(1.0) / (F.lit(train_rows) if isinstance(train_rows, int) else train_rows)
     for c in columns:
         lookup = fitted.where(F.col("feature") == c).select(
@@ -170,7 +172,8 @@ def target_fit(df: DataFrame, columns: Sequence[str], label: str = S.LABEL, k: f
 
 
 def target_encode(df: DataFrame, fitted: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Replace categories by their smoothed rate; unseen ones get the global rate."""
+    """Replace categories by their smoothed rate; unseen ones get the global rate. The map is written first, as above."""
+    fitted = cut_lineage(fitted, "map")
     overall = fitted.agg(F.first("global_rate").alias("g")).scalar()
     for c in columns:
         lookup = fitted.where(F.col("feature") == c).select(
@@ -189,7 +192,7 @@ def target_encode_out_of_fold(df: DataFrame, columns: Sequence[str], id_col: str
 
     One grouped pass per column: the other folds' sums are the totals less the row's own fold.
     """
-    fold = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(folds)).alias("__fold")
+    fold = F.pmod(keyed_hash(id_col, seed), F.lit(folds)).alias("__fold")
     df = df.select("*", fold)
     fold_totals = df.groupBy("__fold").agg(F.sum(F.col(label).cast("double")).alias("__fp"), F.count(label).alias("__fn"))
     grand = fold_totals.agg(F.struct(F.sum("__fp").alias("p"), F.sum("__fn").alias("n")).alias("s")).scalar()
@@ -232,13 +235,15 @@ def _flag_name(column: str, value: str) -> str:
     return re.sub(r"[.`]", "_", f"{column}_{value}")
 
 
-def one_hot_fit(df: DataFrame, columns: Sequence[str], max_categories: int = 1000) -> DataFrame:
-    """``(feature, value)``: the categories seen, missing values being 'unknown'."""
+def one_hot_fit(df: DataFrame, columns: Sequence[str], max_categories: int | None = None) -> DataFrame:
+    """``(feature, value)``: the categories seen, missing values being 'unknown'. A limit may be set, and is an error beyond it."""
     types = {f.name: f.dataType for f in df.schema.fields}
     entries = F.array(*[
         F.struct(F.lit(c).alias("feature"), _category(c, types[c]).alias("value")) for c in columns
     ])
     fitted = df.select(F.inline(entries)).distinct()
+    if max_categories is None:
+        return fitted
     counts = fitted.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_categories)
     wide = [r["feature"] for r in counts.collect()]
     if wide:
@@ -247,7 +252,10 @@ def one_hot_fit(df: DataFrame, columns: Sequence[str], max_categories: int = 100
 
 
 def one_hot(df: DataFrame, fitted: DataFrame) -> DataFrame:
-    """Replace each fitted column by 0/1 columns ``<column>_<value>`` in sorted order; unseen values set none."""
+    """Replace each fitted column by 0/1 columns ``<column>_<value>`` in sorted order; unseen values set none.
+
+    Values whose names clash once dots are replaced keep columns of their own: the later ones get ``__2``, ``__3``, ... added.
+    """
     types = {f.name: f.dataType for f in df.schema.fields}
     seen: dict[str, list[str]] = {}
     for row in fitted.orderBy("feature", "value").collect():
@@ -255,10 +263,12 @@ def one_hot(df: DataFrame, fitted: DataFrame) -> DataFrame:
     kept = [F.col(c) for c in df.columns if c not in seen]
     flags = []
     for c in df.columns:
-        named: dict[str, list[str]] = {}
+        taken: dict[str, int] = {}
         for value in seen.get(c, []):
-            named.setdefault(_flag_name(c, value), []).append(value)
-        flags += [_category(c, types[c]).isin(values).cast("int").alias(name) for name, values in named.items()]
+            name = _flag_name(c, value)
+            taken[name] = taken.get(name, 0) + 1
+            name += f"__{taken[name]}" if taken[name] > 1 else ""
+            flags.append((_category(c, types[c]) == value).cast("int").alias(name))
     return df.select(*kept, *flags)
 
 

@@ -29,6 +29,15 @@ def _(spark, sf):
     ])
 
 
+@query("scan_csv", "select o_orderkey, o_custkey, o_orderstatus, o_totalprice from orders")
+def _(spark, sf):
+    """Header CSV with a declared schema: no pass over the file to infer one."""
+    folder = scratch(spark, "csv")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    orders.write.csv(folder, header=True)
+    return tables.read_transactions(spark, folder, "csv", orders.schema)
+
+
 @query("normalize_nulls", """
 select o_orderkey as tid, case when o_orderkey % 5 = 0 then null else o_totalprice end as amt,
        case o_orderstatus when 'P' then null when 'O' then null else 'F' end as status
@@ -139,7 +148,10 @@ def rounded(df):
     return df.withColumn("observed", F.round("observed", 6))
 
 
-@query("dq_required_columns", check_sql("required_columns", "issue", "true", "0", "0", "(select 1)"))
+EMPTY_SQL = " + ".join(f"(case when count(*) > 0 and count({c}) = 0 then 1 else 0 end)" for c in CFG.required)
+
+
+@query("dq_required_columns", TX_SQL + check_sql("required_columns", "issue", f"{EMPTY_SQL} = 0", EMPTY_SQL, EMPTY_SQL))
 def _(spark, sf):
     return quality.required_columns(tx(spark, sf), CFG.required)
 

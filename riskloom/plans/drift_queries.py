@@ -107,9 +107,9 @@ def _(spark, sf):
 
 @query("recommendation", LINE_LONG_SQL + KS_TAIL_SQL + """
 select max(ks_statistic) as max_ks_statistic, bool_or(p_value < 0.05) as drift_detected,
-       case when max(ks_statistic) > 0.25 then 'Retrain model immediately.'
-            when bool_or(p_value < 0.05) then 'Monitor closely – drift detected.'
-            else 'No significant drift. Continue monitoring.' end as recommendation from scores""")
+       case when max(ks_statistic) > 0.25 then 'retrain'
+            when bool_or(p_value < 0.05) then 'watch'
+            else 'none' end as recommendation from scores""")
 def _(spark, sf):
     shipped = F.unix_seconds(F.col("l_shipdate").cast("timestamp")).cast("double").alias("shipped")
     early, late = prepare.temporal_split(table(spark, sf, "lineitem").select(*LINE_FEATURES, shipped), "shipped", 0.3)

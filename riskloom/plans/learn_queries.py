@@ -7,16 +7,18 @@ from __future__ import annotations
 
 from dataclasses import replace
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from riskloom.functions.shape import ratio
 from riskloom.operators import attribution, learn, neighbours, prepare, registry
 from riskloom.plans import stages
 from riskloom.plans.data_queries import wide_names
 from riskloom.plans.fixtures import TX_SQL, identity, scratch, table, tx
 from riskloom.plans.prepare_queries import halves
-from riskloom.plans.registry import query
+from riskloom.plans.registry import QUERIES, query
 from riskloom.session import cut_lineage
-from riskloom.sources import models
+from riskloom.sources import models, requests
 
 QUICK = learn.TreeConfig(rounds=8, depth=4, step=0.3)
 TX_FEATURES = ("amt", "card2", "d1", "d15", "addr2", "urgent", "open")
@@ -44,6 +46,11 @@ def embedding_rows(spark, sf):
     )
 
 
+def embedding_split(spark, sf):
+    """Training rows, and every fifth row, which is only scored."""
+    rows = embedding_rows(spark, sf)
+    return rows.where(F.col("id") % 5 != 0), rows.where(F.col("id") % 5 == 0)
+
 
 @query("train_gbt")
 def _(spark, sf):
@@ -63,9 +70,10 @@ def _(spark, sf):
 
 @query("train_rf_hybrid")
 def _(spark, sf):
-    rows = learn.class_weight(embedding_rows(spark, sf), "y")
+    train, test = embedding_split(spark, sf)
+    rows = learn.class_weight(train, "y")
     model = learn.train_rf_hybrid(rows, EMBEDDING, "y", 30, QUICK, learn.WEIGHT, trees=20, forest_depth=6)
-    return learn.compare({"rf_hybrid": model}, embedding_rows(spark, sf), EMBEDDING, "y")
+    return learn.compare({"rf_hybrid": model}, test, EMBEDDING, "y")
 
 
 @query("rf_importance")
@@ -118,6 +126,73 @@ def _(spark, sf):
     return learn.score_batch(model, test, TX_FEATURES, "tid")
 
 
+@query("score_batch_holds", TX_SQL + """
+select count(*) as n, count(distinct tid) as ids, true as decided, true as banded, true as in_range from test""")
+def _(spark, sf):
+    model, _, test = trained(spark, sf)
+    p = F.col("fraud_probability")
+    return learn.score_batch(model, test, TX_FEATURES, "tid").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("tid").alias("ids"),
+        # The decision is taken before rounding, so a score that rounds to the threshold may go either way.
+        F.bool_and((F.col("is_fraud") == (p >= 0.5)) | (p == 0.5)).alias("decided"),
+        F.bool_and((F.col("confidence") == requests.confidence_band(p)) | p.isin(0.5, 0.8)).alias("banded"),
+        F.bool_and(p.between(0, 1)).alias("in_range"),
+    )
+
+
+@query("model_comparison_holds", TX_SQL + " union all ".join(f"""
+select '{m}' as model, count(*) as n, cast(sum(y) as bigint) as positives, true as cost_agrees, true as in_range from test"""
+    for m in ("gbt", "gbt_leafwise", "rf_hybrid")))
+def _(spark, sf):
+    """The confusion counts of all held-out rows, and metrics that follow from them."""
+    results = cut_lineage(QUERIES["model_comparison"](spark, sf), "results")
+    recall = F.round(ratio(F.col("tp"), F.col("tp") + F.col("fn")), 4)
+    return results.select(
+        "model", (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("n"), (F.col("tp") + F.col("fn")).alias("positives"),
+        ((F.col("business_cost") == 10 * F.col("fn") + F.col("fp")) & (F.col("recall") == recall)).alias("cost_agrees"),
+        (F.col("auc_roc").between(0, 1) & F.col("precision").between(0, 1)).alias("in_range"),
+    )
+
+
+@query("model_io_holds", TX_SQL + """
+select count(*) as n, true as same_scores, 'gbt' as kind, 'amt,card2,d1,d15,addr2,urgent,open' as features from test""")
+def _(spark, sf):
+    """A loaded model scores as the saved one, and says what it is."""
+    model, _, test = trained(spark, sf)
+    path = f"{scratch(spark, 'saved')}/model"
+    models.save_model(model, path, "gbt", TX_FEATURES, {"rounds": float(QUICK.rounds)})
+    about = models.model_info(spark, path)
+    before = learn.score_batch(model, test, TX_FEATURES, "tid").select("tid", F.col("fraud_probability").alias("saved"))
+    after = learn.score_batch(PipelineModel.load(path), test, about["features"], "tid")
+    return before.join(after, "tid").agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and(F.col("saved") == F.col("fraud_probability")).alias("same_scores"),
+    ).select("*", F.lit(about["kind"]).alias("kind"), F.lit(",".join(about["features"])).alias("features"))
+
+
+@query("rf_importance_holds", TX_SQL + """
+select 7 as n, count(*) > 0 as sums_to_one, true as positive, 'addr2,amt,card2,d1,d15,open,urgent' as features from train""")
+def _(spark, sf):
+    table_ = QUERIES["rf_importance"](spark, sf)
+    return table_.agg(
+        F.count(F.lit(1)).alias("n"), (F.abs(F.sum("importance") - 1) < 1e-9).alias("sums_to_one"),
+        F.bool_and(F.col("importance") >= 0).alias("positive"), F.array_join(F.sort_array(F.collect_list("feature")), ",").alias("features"),
+    )
+
+
+@query("score_requests", """
+with b as (select event_id // 7 as batch, event_id from events)
+select batch, row_number() over (partition by batch order by event_id) - 1 as index, 0.1::double as fraud_probability,
+       false as is_fraud, 'low' as confidence, 0.0::double as batch_rate from b""")
+def _(spark, sf):
+    """Requests of up to seven feature maps each, answered while no model is loaded, with the share of positives per request."""
+    events = table(spark, sf, "events").select(F.floor(F.col("event_id") / 7).alias("batch"), "event_id", "props")
+    ordered = F.array_sort(F.collect_list(F.struct("event_id", "props")))
+    bodies = events.groupBy("batch").agg(F.concat(F.lit("["), F.array_join(F.transform(ordered, lambda x: x["props"]), ","), F.lit("]")).alias("body"))
+    scored = learn.score_requests(None, bodies, "body", ["k"], ["batch"])
+    rate = scored.groupBy("batch").agg(F.avg(F.col("is_fraud").cast("double")).alias("batch_rate"))
+    return scored.join(rate, "batch")
+
+
 @query("score_without_model", TX_SQL + """
 select tid, 0.1::double as fraud_probability, false as is_fraud, 'low' as confidence from tx""")
 def _(spark, sf):
@@ -148,7 +223,8 @@ def _(spark, sf):
     return attribution.permutation_importance(model, test, TX_FEATURES, "y", "tid")
 
 
-@query("seeded_sample")
+@query("seeded_sample", TX_SQL + """
+select tid, amt from tx order by ('0x' || substr(md5('42:' || tid::varchar), 1, 15))::bigint, tid limit 1000""")
 def _(spark, sf):
     return attribution.seeded_sample(tx(spark, sf, "tid", "amt"), "tid", 1000)
 
@@ -167,7 +243,7 @@ def _(spark, sf):
 
 @query("imbalance_comparison")
 def _(spark, sf):
-    rows = embedding_rows(spark, sf)
+    rows, test = embedding_split(spark, sf)
     weighted = learn.class_weight(rows, "y")
     balanced = cut_lineage(neighbours.smote(rows, "embedding", "y", "id"), "smote").select(
         F.col("vec").alias("embedding"), F.col("label").alias("y")
@@ -175,7 +251,7 @@ def _(spark, sf):
     return learn.compare({
         "class_weight": learn.train_gbt(weighted, EMBEDDING, "y", QUICK, learn.WEIGHT),
         "smote": learn.train_gbt(balanced, EMBEDDING, "y", QUICK),
-    }, rows, EMBEDDING, "y")
+    }, test, EMBEDDING, "y")
 
 
 @query("cost_comparison")

@@ -65,12 +65,11 @@ def _(spark, sf):
 
 @query("auc_roc_by_segment", TX_SQL + """
 , h as (select pemail, score, sum(tx.y)::double as pos, sum(1 - tx.y)::double as neg
-        from scored join tx using (tid) where pemail is not null group by 1, 2),
+        from scored join tx using (tid) group by 1, 2),
 up as (select *, sum(neg) over (partition by pemail order by score) as cum_neg from h)
 select pemail, round(sum(pos * (cum_neg - 0.5::double * neg)) / (sum(pos) * sum(neg)), 6) as auc_roc from up group by pemail""")
 def _(spark, sf):
-    rows = scored(spark, sf, "pemail").where(F.col("pemail").isNotNull())
-    return metrics.auc_roc(rows, "y", "score", ["pemail"]).withColumn("auc_roc", F.round("auc_roc", 6))
+    return metrics.auc_roc(scored(spark, sf, "pemail"), "y", "score", ["pemail"]).withColumn("auc_roc", F.round("auc_roc", 6))
 
 
 @query("avg_precision", GROUPED_SQL + "select round(sum(pos * tp / (tp + fp)) / sum(pos), 6) as avg_precision from down")

@@ -132,8 +132,7 @@ def _(spark, sf):
 
 HOURLY_SQL = EVENTS_SQL + f"""
 , hourly as (select {pane_sql(HOUR)} as t, count(*) filter (status = '500') / count(*) as ratio from ev group by 1),
-num as (select t, ratio > 0.25 as on_, row_number() over (order by t) as i from hourly),
-isl as (select t, i - row_number() over (order by t) as g from num where on_),
+isl as (select t, t // {HOUR} - row_number() over (order by t) as g from hourly where ratio > 0.25),
 spans as (select min(t) as active_since, max(t) as last_true, count(*) as steps from isl group by g)
 """
 
@@ -149,7 +148,7 @@ def hourly_ratio(spark, sf):
 select active_since, active_since + {2 * HOUR} as fired_at, last_true, steps from spans
 where last_true - active_since >= {2 * HOUR}""")
 def _(spark, sf):
-    return monitor.sustained(hourly_ratio(spark, sf), "t", F.col("ratio") > 0.25, 2 * HOUR)
+    return monitor.sustained(hourly_ratio(spark, sf), "t", F.col("ratio") > 0.25, 2 * HOUR, HOUR)
 
 
 RULES = (
@@ -171,16 +170,15 @@ def alert_series(spark, sf):
 
 
 def fired_alerts(spark, sf):
-    return monitor.evaluate_rules(alert_series(spark, sf), RULES)
+    return monitor.evaluate_rules(alert_series(spark, sf), HOUR, RULES)
 
 
 def rule_sql(name, metric, op, threshold, hold, severity, category):
     return f"""
 select '{name}' as alertname, '{severity}' as severity, '{category}' as category, labels, min(t) as active_since,
        min(t) + {hold} as fired_at, max(t) as last_true, count(*) as steps
-from (select *, i - row_number() over (partition by labels order by t) as g
-      from (select *, row_number() over (partition by labels order by t) as i from series where metric = '{metric}')
-      where "value" {op} {threshold})
+from (select *, t // {HOUR} - row_number() over (partition by labels order by t) as g
+      from series where metric = '{metric}' and "value" {op} {threshold})
 group by labels, g having max(t) - min(t) >= {hold}"""
 
 
@@ -197,10 +195,16 @@ def _(spark, sf):
     return fired_alerts(spark, sf)
 
 
-@query("alert_groups", ALERTS_SQL + f"""
-, f as (select *, min(fired_at) over (partition by alertname, category) as first_ from alerts)
-select alertname, category, (fired_at - first_) // {3 * HOUR} as slot, min(fired_at) as notified_at, count(*) as n_alerts
-from f group by 1, 2, 3""")
+@query("alert_groups", ALERTS_SQL.replace("with ev", "with recursive ev", 1) + f"""
+, told as (
+  select alertname, category, min(fired_at) as notified_at from alerts group by 1, 2
+  union all
+  select a.alertname, a.category, min(a.fired_at) from told join alerts a on a.alertname = told.alertname and a.category = told.category
+         and a.fired_at >= told.notified_at + {3 * HOUR} group by 1, 2)
+select alertname, category, row_number() over (partition by alertname, category order by notified_at) - 1 as slot, notified_at,
+       (select count(*) from alerts a where a.alertname = told.alertname and a.category = told.category
+               and a.fired_at >= told.notified_at and a.fired_at < told.notified_at + {3 * HOUR}) as n_alerts
+from told""")
 def _(spark, sf):
     return monitor.alert_groups(fired_alerts(spark, sf), "fired_at")
 

@@ -152,10 +152,17 @@ def _(spark, sf):
     return out.select("tid", F.round("pemail", 8).alias("pemail"))
 
 
-@query("target_encode_out_of_fold")
+@query("target_encode_out_of_fold", TX_SQL + """
+, f as (select tid, y, coalesce(pemail, '_unknown_') as k, ('0x' || substr(md5('42:' || tid::varchar), 1, 15))::bigint % 5 as fold from train),
+g as (select fold, ((select sum(y) from f) - sum(y)) / ((select count(*) from f) - count(*)) as rate from f group by 1),
+own as (select k, fold, sum(y) as p, count(*) as n from f group by 1, 2),
+every as (select k, sum(y) as p, count(*) as n from f group by 1)
+select f.tid, round((every.p - own.p + 10 * g.rate) / (every.n - own.n + 10), 8) as pemail
+from f join own on f.k = own.k and f.fold = own.fold join every on f.k = every.k join g on f.fold = g.fold""")
 def _(spark, sf):
     train, _ = halves(spark, sf, "tid", "y", "pemail")
-    return prepare.target_encode_out_of_fold(train, ["pemail"], "tid", "y").select("tid", "pemail")
+    out = prepare.target_encode_out_of_fold(train, ["pemail"], "tid", "y")
+    return out.select("tid", F.round("pemail", 8).alias("pemail"))
 
 
 @query("one_hot", TX_SQL + """

@@ -1,4 +1,4 @@
-"""Streams over the events table: each runs over all of it, with the oracle on windows the watermark closed."""
+"""Streams over the events table: each runs over all of it and is closed, so the oracles are those of the batch queries."""
 
 from __future__ import annotations
 
@@ -13,27 +13,30 @@ from riskloom.plans.registry import query
 from riskloom.streaming import streams
 
 DELAY = "1 hour"
-# The watermark after the last batch, in whole seconds.
-CLOSED_SQL = f"(select floor((epoch_us(max(ts)) - {HOUR} * 1000000::bigint) / 1000000.0::double) from events)"
 
 
 def events_stream(spark, sf):
-    schema = table(spark, sf, "events").schema
-    stream = streams.file_stream(spark, sf, "events.parquet", schema, "ts")
+    stream = streams.table_stream(spark, f"{sf}/events.parquet", table(spark, sf, "events").schema)
     return stream.select(
-        "event_id", "ts", F.col("event_type").alias("endpoint"), "user_id",
+        "event_id", F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("endpoint"), "user_id",
         F.when(F.col("event_type") == "error", "500").otherwise("200").alias("status"),
         (F.col("value") / (F.col("value") + 50.0)).alias("score"),
     )
 
 
+def closed_events(spark, sf):
+    """The events and what closes them; the closing row has an event time and nothing else."""
+    return streams.closed_stream(events_stream(spark, sf), "ts", "closing")
+
+
 @query("stream_counts", EVENTS_SQL + f"""
 select sec - sec % {HOUR} as window_start, endpoint, count(*) as n, count(*) filter (score >= 0.5) as detected from ev
-group by 1, 2 having window_start + {HOUR} <= {CLOSED_SQL}""")
+group by 1, 2""")
 def _(spark, sf):
     detected = F.count_if(F.col("score") >= 0.5)
+    events, close = closed_events(spark, sf)
     return streams.run_available(
-        streams.windowed_counts(events_stream(spark, sf), "ts", "1 hour", DELAY, ["endpoint"], detected=detected), "counts"
+        streams.windowed_counts(events, "ts", "1 hour", DELAY, ["endpoint"], detected=detected), "counts", close=close
     )
 
 
@@ -42,15 +45,22 @@ select sec - sec % 86400 as window_start, count(*) filter (score >= 0.5 and stat
        count(*) filter (score >= 0.5 and status <> '500') as fp, count(*) filter (score < 0.5 and status = '500') as fn,
        count(*) filter (score < 0.5 and status <> '500') as tn,
        round(tp / nullif(tp + fn, 0), 6) as recall, round(fp / nullif(fp + tn, 0), 6) as fpr
-from ev group by 1 having window_start + 86400 <= {CLOSED_SQL} - {HOUR}""")
+from ev group by 1""")
 def _(spark, sf):
-    events = events_stream(spark, sf)
-    scores = events.select("event_id", F.col("ts").alias("scored_at"), F.col("score").alias("probability"))
-    later = F.col("ts") + F.make_dt_interval(mins=(F.col("event_id") % 50).cast("int"))
-    labels = events_stream(spark, sf).select(
-        "event_id", later.alias("labelled_at"), (F.col("status") == "500").cast("int").alias("y")
+    events, close_scores = closed_events(spark, sf)
+    closing_id = F.coalesce("event_id", F.lit(-1))
+    scores = events.select(closing_id.alias("event_id"), F.col("ts").alias("scored_at"), F.col("score").alias("probability"))
+    later = F.col("ts") + F.make_dt_interval(mins=(F.coalesce("event_id", F.lit(0)) % 50).cast("int"))
+    events, close_labels = closed_events(spark, sf)
+    labels = events.select(
+        closing_id.alias("event_id"), later.alias("labelled_at"), (F.col("status") == "500").cast("int").alias("y")
     )
-    out = streams.run_available(streams.live_recall(scores, labels, "event_id", "1 day", DELAY), "recall")
+
+    def close():
+        close_scores()
+        close_labels()
+
+    out = streams.run_available(streams.live_recall(scores, labels, "event_id", "1 day", DELAY), "recall", close=close)
     return out.withColumns({c: F.round(c, 6) for c in ("recall", "fpr")})
 
 
@@ -77,17 +87,18 @@ def _(spark, sf):
     return scores.drop("batch")
 
 
-@query("alert_stream", HOURLY_SQL.replace("group by 1)", f"group by 1 having t + {HOUR} <= {CLOSED_SQL})", 1) + f"""
+@query("alert_stream", HOURLY_SQL + f"""
 select 'error_ratio' as metric, active_since, active_since + {2 * HOUR} as fired_at from spans
 where last_true - active_since >= {2 * HOUR}""")
 def _(spark, sf):
     errors = F.count_if(F.col("status") == "500")
-    hourly = streams.windowed_counts(events_stream(spark, sf), "ts", "1 hour", DELAY, errors=errors)
+    events, close = closed_events(spark, sf)
+    hourly = streams.windowed_counts(events, "ts", "1 hour", DELAY, errors=errors)
     steps = hourly.select(
         F.lit("error_ratio").alias("metric"), F.col("window_start").alias("t"),
         (F.col("errors") / F.col("n") > 0.25).alias("on"),
     )
-    return streams.run_available(streams.alert_stream(steps, ["metric"], 2 * HOUR, "metric string"), "alerts")
+    return streams.run_available(streams.alert_stream(steps, ["metric"], 2 * HOUR, HOUR, "metric string"), "alerts", close=close)
 
 
 @query("silence_stream", """
@@ -100,12 +111,24 @@ def _(spark, sf):
     )
 
 
-@query("first_alert_stream")
+@query("first_alert_stream", f"""
+with recursive alerts as (
+  select 'HighErrorRate' as alertname, 'user' || (user_id % 10) as category, cast(floor(epoch_us(ts) / 1000000) as bigint) as t
+  from events where event_type = 'error'),
+told as (
+  select alertname, category, min(t) as notified_at from alerts group by 1, 2
+  union all
+  select a.alertname, a.category, min(a.t) from told join alerts a on a.alertname = told.alertname and a.category = told.category
+         and a.t >= told.notified_at + {3 * HOUR} group by 1, 2)
+select * from told""")
 def _(spark, sf):
-    alerts = events_stream(spark, sf).where(F.col("status") == "500").select(
+    events, close = closed_events(spark, sf)
+    # The closing row passes the filter, so that it moves the watermark; its own time is never reached.
+    alerts = events.where((F.col("status") == "500") | F.col("event_id").isNull()).select(
         F.lit("HighErrorRate").alias("alertname"), F.concat(F.lit("user"), F.col("user_id") % 10).alias("category"), "ts"
     )
-    return streams.run_available(streams.first_alerts(alerts, "ts"), "first")
+    first = streams.first_alerts(alerts, "ts", DELAY, "alertname string, category string")
+    return streams.run_available(first, "first", close=close)
 
 
 @query("retrain_stream", DAILY_SQL + fold_sql("hybrid", False) + "select model_id, day, retrained from fold")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -10,9 +11,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.operators.registry import REGISTRY_FIELDS, champion
 
+ABOUT = "about"
 
-def save_model(model: PipelineModel, path: str) -> None:
+
+def save_model(model: PipelineModel, path: str, kind: str = "", features: Sequence[str] = (), metrics: dict[str, float] | None = None,
+               weights: dict[str, float] | None = None) -> None:
+    """The model, and beside it what one has to know to use it: kind, features in order, class weights and metrics."""
     model.write().overwrite().save(path)
+    about = {"kind": kind, "features": list(features), "weights": weights or {}, "metrics": metrics or {}}
+    spark = SparkSession.active()
+    spark.createDataFrame([(json.dumps(about, sort_keys=True),)], "value string").coalesce(1).write.text(f"{path}/{ABOUT}")
+
+
+def model_info(spark: SparkSession, path: str) -> dict:
+    """Kind, features in order, weights and metrics as they were saved with the model; one line is read."""
+    return json.loads(spark.read.text(f"{path}/{ABOUT}").first()["value"])
 
 
 def append_decision(decision: DataFrame, registry_path: str) -> None:

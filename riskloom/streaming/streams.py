@@ -1,7 +1,8 @@
 """Streaming twins of the batch queries.
 
 Event time needs a ``timestamp`` (not ``timestamp_ntz``) and every stateful step a watermark: rows later than the
-delay are dropped and counted by Spark. Results match the batch queries on windows the watermark has closed.
+delay are dropped and counted by Spark. A bounded replay is closed by a row far in the future (:func:`closed_stream`), so that
+its last windows and stretches come out as well and the results are those of the batch queries.
 """
 
 from __future__ import annotations
@@ -31,13 +32,45 @@ def file_stream(spark: SparkSession, folder: str, name: str, schema: T.StructTyp
     return stream if ts is None else stream.withColumn(ts, F.col(ts).cast("timestamp"))
 
 
+def table_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 100) -> DataFrame:
+    """A Parquet table as a stream: one file, or a folder of part files. A path without a file is an error, not an empty stream."""
+    if not spark.read.schema(schema).parquet(path).inputFiles():
+        raise ValueError(f"no files at {path}")
+    # As a pattern that matches nothing else: a plain path must be a folder.
+    path = path.rstrip("/")
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(f"{path[:-1]}[{path[-1]}]")
+
+
+FAR = "2200-01-01"
+
+
+def closed_stream(stream: DataFrame, ts: str, tag: str) -> tuple[DataFrame, Callable[[], None]]:
+    """``stream`` with a second source of one row, and what writes that row: nulls, and ``ts`` far in the future.
+
+    Once everything else has been processed, the row moves the watermark past all windows. It lies in no window that is emitted.
+    It must pass the filters in front of the watermark; join keys, which are filtered for nulls there, need a value for it.
+    """
+    spark = stream.sparkSession
+    folder = work_dir(spark, tag)
+    spark.createDataFrame([], stream.schema).write.parquet(folder)
+
+    def close() -> None:
+        row = {f.name: F.lit(None).cast(f.dataType) for f in stream.schema} | {ts: F.lit(FAR).cast("timestamp")}
+        spark.range(1).select(*[c.alias(n) for n, c in row.items()]).write.mode("append").parquet(folder)
+
+    return stream.unionByName(spark.readStream.schema(stream.schema).parquet(folder)), close
+
+
 def use_rocksdb(spark: SparkSession) -> None:
     """Arbitrary state and large windows live in RocksDB rather than on the heap."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
 
 
-def run_available(stream: DataFrame, tag: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Process what is there, then stop; the sink is a Parquet folder with exactly-once commits."""
+def run_available(stream: DataFrame, tag: str, partition_by: Sequence[str] = (), close: Callable[[], None] | None = None) -> DataFrame:
+    """Process what is there, then stop; the sink is a Parquet folder with exactly-once commits.
+
+    With ``close``, the query goes on from its checkpoint once the closing row is written.
+    """
     spark = stream.sparkSession
     base = work_dir(spark, tag)
     writer = (
@@ -47,6 +80,9 @@ def run_available(stream: DataFrame, tag: str, partition_by: Sequence[str] = ())
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.start().awaitTermination()
+    if close is not None:
+        close()
+        writer.start().awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{base}/data")
 
 
@@ -101,7 +137,7 @@ def live_recall(scores: DataFrame, labels: DataFrame, id_col: str, window: str,
 
 
 def drift_stream(stream: DataFrame, reference: DataFrame, columns: Sequence[str], path: str,
-                 method: str = "auto", min_n: int = 10) -> DataFrame:
+                 method: str = "asymptotic", min_n: int = 10) -> DataFrame:
     """Scores of every micro-batch against a fixed reference, one folder per batch.
 
     A batch that is run again after a failure overwrites its own folder.
@@ -114,12 +150,6 @@ def drift_stream(stream: DataFrame, reference: DataFrame, columns: Sequence[str]
     return stream.sparkSession.read.parquet(path)
 
 
-def first_alerts(stream: DataFrame, ts: str, keys: Sequence[str] = ("alertname", "category"),
-                 repeat: str = "3 hours") -> DataFrame:
-    """At most one alert per group while the group's earlier alert is inside the watermark."""
-    return stream.withWatermark(ts, repeat).dropDuplicatesWithinWatermark(list(keys))
-
-
 # -- arbitrary state -------------------------------------------------------------------------------------------
 
 
@@ -128,22 +158,26 @@ def _key_row(names: Sequence[str], key: tuple, **values) -> dict:
 
 
 class SustainedProcessor(StatefulProcessor):
-    """Per key: since when the condition has held, and whether that was reported.
+    """Per key: since when the condition has held, the last evaluation, and whether that was reported.
 
-    Evaluations of one key are few (one per step), so a batch of them is sorted in place.
+    Evaluations of one key are few (one per step), so a batch of them is sorted in place. They must not come in a later batch than
+    a later step, as is so for closed windows.
     """
 
-    def __init__(self, names: list[str], hold: int):
-        self.names, self.hold = names, hold
+    def __init__(self, names: list[str], hold: int, step: int):
+        self.names, self.hold, self.step = names, hold, step
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.since = handle.getValueState("since", "since bigint, fired boolean")
+        self.since = handle.getValueState("since", "since bigint, fired boolean, last bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         steps = sorted((int(t), bool(on)) for chunk in rows for t, on in zip(chunk["t"], chunk["on"]))
-        since, fired = self.since.get() if self.since.exists() else (None, False)
+        since, fired, last = self.since.get() if self.since.exists() else (None, False, None)
         out = []
         for t, on in steps:
+            if last is not None and t - last > self.step:
+                since, fired = None, False
+            last = t
             if not on:
                 since, fired = None, False
                 continue
@@ -154,7 +188,7 @@ class SustainedProcessor(StatefulProcessor):
         if since is None:
             self.since.clear()
         else:
-            self.since.update((since, fired))
+            self.since.update((since, fired, last))
         if out:
             yield pd.DataFrame(out)
 
@@ -162,15 +196,62 @@ class SustainedProcessor(StatefulProcessor):
         pass
 
 
-def alert_stream(steps: DataFrame, keys: Sequence[str], hold: int, key_types: str) -> DataFrame:
-    """``steps`` has ``(*keys, t, on)``; emits ``(*keys, active_since, fired_at)`` once per stretch that lasts."""
+def alert_stream(steps: DataFrame, keys: Sequence[str], hold: int, step: int, key_types: str) -> DataFrame:
+    """``steps`` has ``(*keys, t, on)``; emits ``(*keys, active_since, fired_at)`` once per stretch that lasts.
+
+    Evaluations more than ``step`` seconds apart do not belong to one stretch.
+    """
     use_rocksdb(steps.sparkSession)
     return steps.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=SustainedProcessor(list(keys), hold),
+        statefulProcessor=SustainedProcessor(list(keys), hold, step),
         outputStructType=f"{key_types}, active_since bigint, fired_at bigint", outputMode="Append", timeMode="None",
     )
 
 
+class NotifyProcessor(StatefulProcessor):
+    """Per group: when it was last notified. Alerts wait until the watermark has passed them, so they are judged in event time."""
+
+    def __init__(self, names: list[str], repeat: int):
+        self.names, self.repeat = names, repeat
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "last bigint")
+        self.waiting = handle.getMapState("waiting", "t bigint", "n bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        # Counts per second, so what waits is bounded by the watermark's delay.
+        for chunk in rows:
+            for t, n in chunk["us"].floordiv(1_000_000).value_counts().items():
+                held = self.waiting.getValue((int(t),))[0] if self.waiting.containsKey((int(t),)) else 0
+                self.waiting.updateValue((int(t),), (held + int(n),))
+                self.handle.registerTimer((int(t) + 1) * 1000)
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        t = expiredTimerInfo.getExpiryTimeInMs() // 1000 - 1
+        if self.waiting.containsKey((t,)):
+            self.waiting.removeKey((t,))
+            last = self.last.get()[0] if self.last.exists() else None
+            if last is None or t - last >= self.repeat:
+                self.last.update((t,))
+                yield pd.DataFrame([_key_row(self.names, key, notified_at=t)])
+
+    def close(self) -> None:
+        pass
+
+
+def first_alerts(alerts: DataFrame, ts: str, delay: str, key_types: str, keys: Sequence[str] = ("alertname", "category"),
+                 repeat: int = 3 * 3600) -> DataFrame:
+    """``(*keys, notified_at)``: the first alert of a group, and again the first one ``repeat`` seconds or more after the last."""
+    use_rocksdb(alerts.sparkSession)
+    rows = alerts.withWatermark(ts, delay).select(*keys, ts, F.unix_micros(ts).alias("us"))
+    return rows.groupBy(*keys).transformWithStateInPandas(
+        statefulProcessor=NotifyProcessor(list(keys), repeat), outputStructType=f"{key_types}, notified_at bigint",
+        outputMode="Append", timeMode="EventTime",
+    )
+
+
 class SilenceProcessor(StatefulProcessor):
     """Per source: the last time seen. Rows are folded into spans while they are read, never held."""
 

@@ -1,5 +1,7 @@
 """Rates, buckets, sustained conditions, silence, routing, retraining and streams."""
 
+import glob
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -35,13 +37,13 @@ def test_bucket_quantile(spark, values, phi, want):
 def test_sustained_needs_the_whole_span(spark):
     on = [1, 1, 1, 0, 1, 1, 1, 1, 0, 1]
     df = spark.createDataFrame([(60 * i, bool(v)) for i, v in enumerate(on)], "t long, v boolean")
-    out = M.sustained(df, "t", F.col("v"), 180).collect()
+    out = M.sustained(df, "t", F.col("v"), 180, 60).collect()
     assert [(r["active_since"], r["fired_at"], r["steps"]) for r in out] == [(240, 420, 4)]
 
 
 def test_gap_in_evaluations_ends_a_stretch(spark):
     df = spark.createDataFrame([(0, True), (60, True), (600, True)], "t long, v boolean")
-    assert M.sustained(df, "t", F.col("v"), 120).count() == 1
+    assert M.sustained(df, "t", F.col("v"), 120, step=540).count() == 1
     assert M.sustained(df, "t", F.col("v"), 120, step=60).count() == 0
 
 
@@ -49,7 +51,7 @@ def test_default_rules(spark):
     rows = [("fraud_recall_current", "m", 60 * i, 0.79) for i in range(12)]
     rows += [("feature_drift_score", "V1", 60 * i, 0.3) for i in range(3)] + [("up", "api", 0, 0.0), ("up", "api", 60, 0.0)]
     series = spark.createDataFrame(rows, "metric string, labels string, t long, value double")
-    fired = {r["alertname"] for r in M.evaluate_rules(series).collect()}
+    fired = {r["alertname"] for r in M.evaluate_rules(series, 60).collect()}
     assert fired == {"FraudRecallDrop", "FraudRecallWarning", "FeatureDriftDetected", "SevereFeatureDrift", "FraudAPIDown"}
 
 
@@ -64,6 +66,11 @@ def test_one_notification_per_repeat_interval(spark):
     df = spark.createDataFrame([("A", "c", int(h * 3600)) for h in hours], "alertname string, category string, t long")
     out = sorted((r["slot"], r["n_alerts"]) for r in M.alert_groups(df, "t").collect())
     assert out == [(0, 3), (1, 1), (2, 1)]
+    # Two alerts a minute apart belong together wherever they fall, and silence before does not matter.
+    times = [0, 10_790, 10_800 + 9000, 10_800 + 9060, 500_000, 510_799, 510_800]
+    df = spark.createDataFrame([("A", "c", t) for t in times], "alertname string, category string, t long")
+    out = sorted((r["notified_at"], r["n_alerts"]) for r in M.alert_groups(df, "t").collect())
+    assert out == [(0, 2), (19_800, 2), (500_000, 2), (510_800, 1)]
 
 
 def test_retrain_events_ignore_the_rest(spark):
@@ -128,8 +135,8 @@ def test_alert_stream_spans_batches(spark, tmp_path):
     steps = spark.range(20).select(F.lit("k").alias("key"), (F.col("id") * 60).alias("t"), (F.col("id") % 9 != 8).alias("on"))
     write_parts(steps, str(tmp_path), "t", [F.col("t") < 300, F.col("t").between(300, 700), F.col("t") > 700])
     source = S.file_stream(spark, f"{tmp_path}/*", "*.parquet", steps.schema, files_per_trigger=1)
-    out = S.run_available(S.alert_stream(source, ["key"], 300, "key string"), "alerts")
-    batch = M.sustained(steps, "t", F.col("on"), 300, ["key"]).select("key", "active_since", "fired_at")
+    out = S.run_available(S.alert_stream(source, ["key"], 300, 60, "key string"), "alerts")
+    batch = M.sustained(steps, "t", F.col("on"), 300, 60, ["key"]).select("key", "active_since", "fired_at")
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, batch.collect()))
     assert out.count() == 2
 
@@ -151,3 +158,26 @@ def test_drift_stream_scores_every_batch(spark, tmp_path):
     source = S.file_stream(spark, f"{tmp_path}/in/*", "*.parquet", ref.schema, files_per_trigger=1)
     out = S.drift_stream(source, ref, ["x"], f"{tmp_path}/out")
     assert sorted((r["ks_statistic"], r["drifted"]) for r in out.collect()) == [(0.0, False), (0.6, True)]
+
+
+@pytest.mark.parametrize("parts,per_trigger", [(1, 1), (6, 1), (6, 100)])
+def test_streams_are_complete_on_files_and_folders(spark, tmp_path, parts, per_trigger):
+    rows = at(spark.range(0, 40_000, 37).select((F.col("id") + 5).alias("sec"), (F.col("id") % 3).alias("k")))
+    path = f"{tmp_path}/events.parquet"
+    rows.repartitionByRange(parts, "sec").write.parquet(path)
+    if parts == 1:
+        path = next(p for p in glob.glob(f"{path}/*.parquet"))
+    stream, close = S.closed_stream(S.table_stream(spark, path, rows.schema, per_trigger), "ts", "closing")
+    counts = S.run_available(S.windowed_counts(stream, "ts", "10 minutes", "6 hours"), "counts", close=close)
+    want = rows.groupBy((F.col("sec") - F.col("sec") % 600).alias("w")).count()
+    assert sorted((r["window_start"], r["n"]) for r in counts.collect()) == sorted(map(tuple, want.collect()))
+    stream, close = S.closed_stream(S.table_stream(spark, path, rows.schema, per_trigger), "ts", "closing")
+    told = S.run_available(S.first_alerts(stream, "ts", "6 hours", "k long", ["k"], 3600), "first", close=close)
+    batch = M.alert_groups(rows, "sec", ["k"], 3600).select("k", "notified_at")
+    assert sorted(map(tuple, told.collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_a_stream_without_files_is_an_error(spark, tmp_path):
+    (tmp_path / "none").mkdir()
+    with pytest.raises(Exception):
+        S.table_stream(spark, f"{tmp_path}/none", spark.range(1).schema)
