@@ -195,7 +195,9 @@ def test_gate_registry_and_champion(spark, model, data, tmp_path):
     decided = G.deploy_gate(runs)
     states = {r["version"]: r["state"] for r in G.registry_state(decided).collect()}
     assert states == {1: "archived", 2: "rejected", 3: "champion"}
-    models.save_model(model, str(tmp_path / "m"))
+    models.save_model(model, str(tmp_path / "m"), "gbt", FEATURES, {"auc_roc": 0.9}, {"1": 4.0})
+    assert models.model_info(spark, str(tmp_path / "m")) == {
+        "kind": "gbt", "features": list(FEATURES), "metrics": {"auc_roc": 0.9}, "weights": {"1": 4.0}}
     models.append_decision(decided, str(tmp_path / "decisions"))
     loaded = models.load_champion(spark, str(tmp_path / "decisions"))
     a = L.score_batch(model, data, FEATURES, "id").orderBy("id").collect()
@@ -228,3 +230,9 @@ def test_batches_and_padding(spark):
     arrays = spark.createDataFrame([([1.0, 2.0, 3.0],), ([5.0],)], "x array<double>")
     picked = [r[0] for r in arrays.select(requests.pad_select(F.col("x"), [2, 0])).collect()]
     assert picked == [[3.0, 1.0], [5.0, 0.0]]
+
+
+def test_requests_from_json_arrays(spark):
+    bodies = [(1, '[{"a": 1, "b": "2.5"}, {"b": null, "c": 9}]'), (2, "[]"), (3, None), (4, "no json")]
+    rows = L.score_requests(None, spark.createDataFrame(bodies, "id long, body string"), "body", ["a", "b"], ["id"]).collect()
+    assert sorted((r["id"], r["index"], r["fraud_probability"], r["is_fraud"]) for r in rows) == [(1, 0, 0.1, False), (1, 1, 0.1, False)]

@@ -109,8 +109,8 @@ def test_one_hot_names_unknown_and_unseen(spark):
 def test_one_hot_names_are_free_of_dots(spark):
     df = spark.createDataFrame([("a.b", 1.5), ("a_b", 2.0)], "c string, n double")
     out = P.one_hot(df, P.one_hot_fit(df, ["c", "n"]))
-    assert out.columns == ["c_a_b", "n_1_5", "n_2"]
-    assert [tuple(r) for r in out.collect()] == [(1, 1, 0), (1, 0, 1)]
+    assert out.columns == ["c_a_b", "c_a_b__2", "n_1_5", "n_2"]
+    assert [tuple(r) for r in out.collect()] == [(1, 0, 1, 0), (0, 1, 0, 1)]
 
 
 def test_one_hot_refuses_too_many_categories(spark):
@@ -201,3 +201,12 @@ def test_add_features_takes_what_is_there(spark):
     row = FE.add_features(df).first()
     assert row["card1_card2_interact"] == 6.0 and row["total_v_missing"] == 1
     assert math.isclose(row["D1_D15_ratio"], 1.0 / (1.0 + 1e-6))
+
+
+def test_one_hot_keeps_clashing_names_apart(spark):
+    df = spark.createDataFrame([("a.b",), ("a_b",), ("c",), (None,)], "k string")
+    rows = [r.asDict() for r in P.one_hot(df, P.one_hot_fit(df, ["k"])).collect()]
+    assert list(rows[0]) == ["k_a_b", "k_a_b__2", "k_c", "k_unknown"]
+    assert [sum(r.values()) for r in rows] == [1] * 4 and len({tuple(r.values()) for r in rows}) == 4
+    many = spark.range(3000).select(F.col("id").cast("string").alias("k"))
+    assert P.one_hot_fit(many, ["k"]).count() == 3000
