@@ -59,7 +59,11 @@ def ks_between(df: DataFrame, columns: Sequence[str], flag: str = CURRENT, min_n
     counted = long.groupBy("feature", RANGE, "value").agg(
         F.count_if(F.col(flag) == 0).alias("ref"), F.count_if(F.col(flag) == 1).alias("cur")
     )
-    cum = running_sums(counted, ["feature"], "value", ["ref", "cur"], any(cuts.values()))
+    return _ks_of_counts(counted, columns, any(cuts.values()), min_n)
+
+
+def _ks_of_counts(counted: DataFrame, columns: Sequence[str], ranged: bool, min_n: int) -> DataFrame:
+    cum = running_sums(counted, ["feature"], "value", ["ref", "cur"], ranged)
     # Counts and means come from the counted values, so the input is read once.
     totals = counted.groupBy("feature").agg(
         F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur"),
@@ -84,6 +88,30 @@ def ks_two_sample(reference: DataFrame, current: DataFrame, columns: Sequence[st
     return ks_between(both, shared, CURRENT, min_n, cuts)
 
 
+def save_reference(reference: DataFrame, columns: Sequence[str], path: str) -> None:
+    """Write the reference as counts per column, value range and value, with the ranges; it is ranked once, however often it is used."""
+    cuts = range_cuts(reference, columns)
+    counts = melt_ranged(reference, cuts).groupBy("feature", RANGE, "value").agg(F.count(F.lit(1)).alias("n"))
+    counts.write.mode("overwrite").parquet(f"{path}/counts")
+    ranges = [(i, c, cuts[c]) for i, c in enumerate(columns)]
+    reference.sparkSession.createDataFrame(ranges, "position int, feature string, cuts array<double>").write.mode("overwrite").parquet(f"{path}/ranges")
+
+
+def ks_saved(path: str, current: DataFrame, min_n: int = 1) -> DataFrame:
+    """As :func:`ks_between`, against a saved reference. Columns that ``current`` lacks, and an empty ``current``, give no rows."""
+    spark = current.sparkSession
+    ranges = spark.read.parquet(f"{path}/ranges").orderBy("position").collect()  # one row for each column
+    cuts = {r["feature"]: list(r["cuts"]) for r in ranges}
+    wide = current.select(*[as_double(c).alias(c) if c in current.columns else F.lit(None).cast("double").alias(c) for c in cuts])
+    keys = ["feature", RANGE, "value"]
+    batch = melt_ranged(wide, cuts).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    saved = spark.read.parquet(f"{path}/counts")
+    zero = F.lit(0).cast("bigint")
+    both = saved.select(*keys, F.col("n").alias("ref"), zero.alias("cur")).unionByName(batch.select(*keys, zero.alias("ref"), F.col("n").alias("cur")))
+    counted = both.groupBy(*keys).agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
+    return _ks_of_counts(counted, list(cuts), any(cuts.values()), max(1, min_n))
+
+
 def feature_scores(ks: DataFrame, alpha: float = 0.05, method: str = "asymptotic") -> DataFrame:
     """P-value and verdict per feature."""
     scored = ks.withColumn("p_value", ks_pvalue(F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur"), method))

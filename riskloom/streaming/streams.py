@@ -140,10 +140,13 @@ def drift_stream(stream: DataFrame, reference: DataFrame, columns: Sequence[str]
                  method: str = "asymptotic", min_n: int = 10) -> DataFrame:
     """Scores of every micro-batch against a fixed reference, one folder per batch.
 
-    A batch that is run again after a failure overwrites its own folder.
+    The reference is counted and saved once. A batch that is run again after a failure overwrites its own folder.
     """
+    saved = work_dir(stream.sparkSession, "reference")
+    drift.save_reference(reference, columns, saved)
+
     def check(batch: DataFrame, number: int) -> None:
-        scores = drift.feature_scores(drift.ks_two_sample(reference, batch, columns, min_n), method=method)
+        scores = drift.feature_scores(drift.ks_saved(saved, batch, min_n), method=method)
         scores.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     run_batches(stream, check, "drift")

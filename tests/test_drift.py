@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import ks
 from riskloom.operators import drift as D
+from riskloom.operators import running
 
 
 @pytest.mark.parametrize("d, p", [(0.096, 0.019894), (0.06, 0.329358), (0.044, 0.718919)])
@@ -80,3 +81,15 @@ def test_performance_drop_needs_two_windows(spark):
     assert D.performance_drop(one).first()["performance_drop"] is False
     assert D.performance_drop(two).first()["performance_drop"] is True
     assert D.performance_drop(one.limit(0)).first()["performance_drop"] is False
+
+
+@pytest.mark.parametrize("rows", [1_000_000, 40])
+def test_saved_reference_gives_the_same_scores(spark, tmp_path, monkeypatch, rows):
+    monkeypatch.setattr(running.range_cuts, "__defaults__", (rows,))
+    ref = spark.range(300).select((F.col("id") % 50).cast("double").alias("x"), F.sqrt("id").alias("y"), F.lit(1.0).alias("only"))
+    cur = spark.range(200).select((F.col("id") % 70).cast("double").alias("x"), F.sqrt(F.col("id") + 9).alias("y"))
+    D.save_reference(ref, ["x", "y", "only"], str(tmp_path / "ref"))
+    get = lambda df: sorted(map(tuple, D.feature_scores(df).collect()))
+    assert get(D.ks_saved(str(tmp_path / "ref"), cur)) == get(D.ks_two_sample(ref, cur, ["x", "y"]))
+    nothing = D.drift_summary(D.feature_scores(D.ks_saved(str(tmp_path / "ref"), cur.limit(0)))).first()
+    assert (nothing["n_features_checked"], nothing["drift_detected"]) == (0, False)
