@@ -22,10 +22,10 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame
 
-from riskloom.llm.texts import Shipped, in_chunks, map_documents, worker_state
+from riskloom.llm.texts import Shipped, in_chunks, map_documents, worker_cache
 
 #: Pre-tokens a worker remembers with their ids before it starts afresh.
-MEMO = 500_000
+MEMO = 200_000
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -154,10 +154,7 @@ class Coder(dict):
 
 def coder_of(shared: Shipped) -> Coder:
     """The worker's coder for a vocabulary; it keeps its memory from task to task."""
-    held = worker_state()
-    if held.get("coder of") != shared.key:
-        held["coder of"], held["coder"] = shared.key, Coder(shared.value)
-    return held["coder"]
+    return worker_cache("words", f"coder {shared.key}", lambda: Coder(shared.value))
 
 
 def encode_documents(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text",

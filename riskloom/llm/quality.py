@@ -17,11 +17,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.texts import MIX_A, MIX_B, Shipped, map_documents, worker_state
+from riskloom.llm.texts import MIX_A, MIX_B, Shipped, map_documents, worker_cache
 
 BITS = 18
 ALPHA, BETA, L1, L2, EPOCHS = 0.3, 1.0, 1e-4, 1e-3, 4
-MEMO = 400_000
+MEMO = 200_000
 
 _RUN = re.compile(r"[^\W_]+")
 
@@ -47,10 +47,7 @@ class _Words(dict):
 
 
 def words_of() -> _Words:
-    held = worker_state()
-    if "quality words" not in held:
-        held["quality words"] = _Words()
-    return held["quality words"]
+    return worker_cache("words", "quality", _Words)
 
 
 def _slot(h: np.ndarray) -> np.ndarray:

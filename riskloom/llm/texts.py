@@ -73,10 +73,17 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def worker_state() -> dict:
-    """What a Python worker keeps from task to task. Code travels by value, so a module of this package would start anew."""
+def worker_cache(kind: str, key: str, make: Callable[[], object]) -> object:
+    """What a Python worker keeps from task to task: of each kind only the entry last asked for, so that memory stays bounded.
+
+    Code travels by value, so a variable of this module would start anew in each task.
+    """
     name = "riskloom_worker_state"
-    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+    held = sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+    if kind not in held or held[kind][0] != key:
+        held.pop(kind, None)
+        held[kind] = (key, make())
+    return held[kind][1]
 
 
 class Shipped:
@@ -91,7 +98,4 @@ class Shipped:
 
     @property
     def value(self):
-        held = worker_state()
-        if self.key not in held:
-            held[self.key] = pickle.loads(self.broadcast.value)
-        return held[self.key]
+        return worker_cache("shipped", self.key, lambda: pickle.loads(self.broadcast.value))
