@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.graph import components
 from riskloom.llm.texts import in_chunks, map_documents, write_once
-from riskloom.llm.vptree import near_links
+from riskloom.llm.vptree import near_links, open_pairs
 
 SEED = 42
 PART = 1 << 15
@@ -20,6 +20,8 @@ PART = 1 << 15
 NEAR_WIDTH, NEAR_SIMILARITY = 5, 0.8
 #: Two words of fingerprint over distinct pairs of words: near documents differ in about 12 of 128 bits, unrelated ones in about 60.
 NEAR_BITS, NEAR_BLOCKS = 26, 5
+#: Candidates of each document in the first pass over groups that are not yet joined, and how the number grows from pass to pass.
+OPEN_FIRST, OPEN_GROWTH = 8, 8
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -88,8 +90,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """group_id and ``id_col`` of every document that isn't the first (smallest id) of its group of near duplicates.
 
     Two documents are near if their sets of five-word shingles have a Jaccard similarity of 0.8 or more; groups are what such pairs
-    connect. Candidates come from SimHash fingerprints through vantage-point trees and are then compared exactly. The trees link each
-    document to nearest ones by fingerprint, so of a group of n candidates n - 1 pairs are compared, not all.
+    connect. Candidates come from SimHash fingerprints through vantage-point trees and are then compared exactly. A spanning forest of
+    the nearest by fingerprint comes first, so a group of n that it joins costs n - 1 comparisons. Where it leaves parts of a group of
+    candidates unjoined, all candidates between the parts follow, nearest first, in passes that grow until no pair is left.
 
     Texts with the same words are copies and meet by a digest. Null texts and texts without words are copies of each other. Rows
     without an id are left out; rows that repeat an id are one document.
@@ -109,9 +112,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     own = write_once(map_documents(known, ["doc", "text"], "doc long, copy binary, fp long, fp2 long", prints), "prints")
     texts = write_once(own.groupBy("copy").agg(F.min("doc").alias("first"), F.first("fp").alias("fp"), F.first("fp2").alias("fp2")), "texts")
     items = write_once(texts.groupBy("fp", "fp2").agg(F.min("first").alias("id")), "items")
+    size = items.count()
     same = texts.join(items, ["fp", "fp2"]).filter("first <> id").select(F.col("first").alias("a"), F.col("id").alias("b"))
-    links = near_links(items.select("id", "fp", "fp2"), NEAR_BITS, NEAR_BLOCKS, 1, items.count()).select("a", "b")
-    pairs = write_once(links.unionByName(same).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "pairs")
+    links = near_links(items.select("id", "fp", "fp2"), NEAR_BITS, NEAR_BLOCKS, 1, size).select("a", "b")
+    ordered = (F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    pairs = write_once(links.unionByName(same).select(*ordered).distinct(), "pairs")
 
     def compare(rows: Iterator[tuple]):
         for a, b, left, right in rows:
@@ -120,10 +125,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             if both and both >= NEAR_SIMILARITY * (len(x) + len(y) - both):
                 yield {"a": [a], "b": [b]}
 
-    left = pairs.join(known.withColumnRenamed("doc", "a").withColumnRenamed("text", "left"), "a")
-    both = left.join(known.withColumnRenamed("doc", "b").withColumnRenamed("text", "right"), "b")
-    near = map_documents(both, ["a", "b", "left", "right"], "a long, b long", compare)
+    def compared(pairs: DataFrame) -> DataFrame:
+        left = pairs.join(known.withColumnRenamed("doc", "a").withColumnRenamed("text", "left"), "a")
+        both = left.join(known.withColumnRenamed("doc", "b").withColumnRenamed("text", "right"), "b")
+        return write_once(map_documents(both, ["a", "b", "left", "right"], "a long, b long", compare), "near")
+
+    near = compared(pairs)
     grown = components(near)
+    # Any document with a candidate has one in the forest, so what the forest connects are all groups of candidates.
+    linked = components(pairs).select(F.col("node").alias("first"), F.col("root").alias("linked"))
+    linked = linked.unionByName(linked.select(F.col("linked").alias("first"), "linked").distinct())
+    nodes = write_once(texts.join(linked, "first").select(F.col("first").alias("id"), "fp", "fp2", "linked"), "nodes")
+    lo, hi = 0, OPEN_FIRST
+    while True:
+        parts = nodes.join(grown.withColumnRenamed("node", "id"), "id", "left").withColumn("part", F.coalesce("root", "id")).drop("root")
+        torn = parts.groupBy("linked").agg(F.min("part").alias("least"), F.max("part").alias("most")).filter("least < most").select("linked")
+        left = write_once(parts.join(torn, "linked", "left_semi").select("id", "fp", "fp2", "part"), "unjoined")
+        found = write_once(open_pairs(left, NEAR_BITS, NEAR_BLOCKS, 1, size, lo, hi), "open")
+        more = not found.filter("b is null").isEmpty()
+        new = write_once(found.filter("b is not null").select(*ordered).distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
+        if not new.isEmpty():
+            pairs = pairs.unionByName(new)
+            near = near.unionByName(compared(new))
+            grown = components(near)
+        if not more:
+            break
+        lo, hi = hi, hi * OPEN_GROWTH
     # Copies follow their first document.
     named = texts.join(grown.withColumnRenamed("node", "first"), "first", "left").select("copy", F.coalesce("root", "first").alias("group_id"))
     return own.join(named, "copy").filter("doc <> group_id").select("group_id", F.col("doc").alias(id_col)).distinct()

@@ -27,6 +27,7 @@ from riskloom.llm.texts import write_once
 #: A leaf should hold about so many fingerprints; one with more than LEAF_MOST is split into chunks, each compared with every query.
 LEAF_GOAL, LEAF_MOST = 400, 16_384
 ROWS, COLUMNS = 512, 8192
+RANK_ROWS = 128
 HOME, QUERY = 1, 0
 
 
@@ -144,14 +145,8 @@ class Leaf:
         return [pa.array(self.known[self.edges[0]]), pa.array(self.known[self.edges[1]]), pa.array(self.edges[2].astype(np.int32))]
 
 
-def near_links(items: DataFrame, within: int, blocks: int, radius: int, n: int) -> DataFrame:
-    """a, b, distance: links between the ids of items that differ in at most ``within`` bits.
-
-    ``items`` has the columns id (long, unique), fp (long) and any number of further fingerprint words (long); the trees look at fp,
-    and the distance counts all words. The links connect those items that all such pairs would connect, through nearest ones first.
-    Pairs whose fp differs in more than ``blocks * (radius + 1) - 1`` bits may be missed. ``n`` is the number of items, which are
-    evaluated more than once.
-    """
+def _dealt(items: DataFrame, blocks: int, radius: int, n: int) -> DataFrame:
+    """leaf, chunk, role and the columns of ``items``: every item at home and where it queries, sorted, homes first."""
     words = [c for c in items.columns if c != "id"]
     forest = Forest.for_size(n, blocks, radius)
     kinds = "".join(f", {w} long" for w in words)
@@ -174,7 +169,18 @@ def near_links(items: DataFrame, within: int, blocks: int, radius: int, n: int)
     chunks = F.sequence(F.lit(0), F.col("chunks") - 1)
     rows = rows.withColumn("chunk", F.explode(F.when(F.col("role") == HOME, F.filter(chunks, lambda c: c >= own)).otherwise(chunks)))
     role = F.when((F.col("role") == HOME) & (F.col("chunk") == own), HOME).otherwise(QUERY).cast("tinyint").alias("role")
-    dealt = rows.select("leaf", "chunk", role, "id", *words).repartition("leaf", "chunk").sortWithinPartitions("leaf", "chunk", F.col("role").desc())
+    return rows.select("leaf", "chunk", role, "id", *words).repartition("leaf", "chunk").sortWithinPartitions("leaf", "chunk", F.col("role").desc())
+
+
+def near_links(items: DataFrame, within: int, blocks: int, radius: int, n: int) -> DataFrame:
+    """a, b, distance: links between the ids of items that differ in at most ``within`` bits.
+
+    ``items`` has the columns id (long, unique), fp (long) and any number of further fingerprint words (long); the trees look at fp,
+    and the distance counts all words. The links connect those items that all such pairs would connect, through nearest ones first.
+    Pairs whose fp differs in more than ``blocks * (radius + 1) - 1`` bits may be missed. ``n`` is the number of items, which are
+    evaluated more than once.
+    """
+    words = [c for c in items.columns if c != "id"]
 
     def search(batches):
         current, leaf = None, Leaf(within, len(words))
@@ -196,4 +202,59 @@ def near_links(items: DataFrame, within: int, blocks: int, radius: int, n: int)
         if leaf.edges.size:
             yield done()
 
-    return dealt.mapInArrow(search, "a long, b long, distance int")
+    return _dealt(items, blocks, radius, n).mapInArrow(search, "a long, b long, distance int")
+
+
+def open_pairs(items: DataFrame, within: int, blocks: int, radius: int, n: int, lo: int, hi: int) -> DataFrame:
+    """a, b: pairs that :func:`near_links` would compare, of two parts, from places ``lo`` to ``hi`` of what is near to each item.
+
+    ``items`` has a further column part (long, the last). What is near to an item in a leaf is listed by distance, then id, whatever the
+    parts, so that windows from 0 on cover all pairs. A row without b says that an item has others of another part from ``hi`` on.
+    """
+    def ranked(ids, held, home_ids, homes):
+        for at in range(0, len(ids), RANK_ROWS):
+            own, own_ids = held[at:at + RANK_ROWS], ids[at:at + RANK_ROWS]
+            d = sum(np.bitwise_count(own[:, None, w] ^ homes[None, :, w]).astype(np.int16) for w in range(own.shape[1] - 1))
+            i, j = np.nonzero((d <= within) & (own_ids[:, None] != home_ids[None, :]))
+            order = np.lexsort((home_ids[j], d[i, j], i))
+            i, j = i[order], j[order]
+            rank = np.arange(len(i)) - np.searchsorted(i, i)
+            apart = own[i, -1] != homes[j, -1]
+            now = apart & (rank >= lo) & (rank < hi)
+            later = np.unique(i[apart & (rank >= hi)])
+            if now.any() or len(later):
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.concatenate([own_ids[i[now]], own_ids[later]])),
+                    pa.concat_arrays([pa.array(home_ids[j[now]]), pa.nulls(len(later), pa.int64())])], names=["a", "b"])
+
+    def search(batches):
+        current, complete, home_ids, homes = None, False, [], []
+        for batch in batches:
+            keys = np.stack([batch.column(c).to_numpy() for c in range(3)], axis=1)
+            ids = batch.column(3).to_numpy()
+            held = np.stack([batch.column(c).to_numpy().view(np.uint64) for c in range(4, batch.num_columns)], axis=1)
+            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+            for start, end in zip([0, *cuts], [*cuts, len(ids)]):
+                if start == end:
+                    continue
+                key, role = (keys[start][0], keys[start][1]), keys[start][2]
+                if current is not None and not complete and (key != current or role == QUERY):
+                    home_ids, homes = (np.concatenate(c) if c else None for c in (home_ids, homes))
+                    complete = True
+                    if homes is not None:
+                        yield from ranked(home_ids, homes, home_ids, homes)
+                if key != current:
+                    current, complete, home_ids, homes = key, False, [], []
+                if role == HOME:
+                    home_ids.append(ids[start:end])
+                    homes.append(held[start:end])
+                elif complete and homes is not None:
+                    yield from ranked(ids[start:end], held[start:end], home_ids, homes)
+                else:
+                    # A leaf that no item calls its home.
+                    complete, homes = True, None
+        if current is not None and not complete:
+            home_ids, homes = np.concatenate(home_ids), np.concatenate(homes)
+            yield from ranked(home_ids, homes, home_ids, homes)
+
+    return _dealt(items, blocks, radius, n).mapInArrow(search, "a long, b long")

@@ -93,3 +93,35 @@ def test_near_duplicates_like_all_pairs(spark):
     want = groups(range(key), near)
     got = {r["doc_id"]: r["group_id"] for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {k: r for k, r in want.items() if k != r}
+
+
+def shingles_of(text):
+    return {tuple(text.split()[i:i + 5]) for i in range(max(1, len(text.split()) - 4))}
+
+
+def five_near(rows):
+    own = {k: shingles_of(t) for k, t in rows}
+    return groups(sorted(own), lambda a, b: len(own[a] & own[b]) >= 0.8 * len(own[a] | own[b]))
+
+
+def test_variants_of_an_original_that_are_not_near_to_one_another(spark, monkeypatch):
+    rng = random.Random(5)
+    rows, key = [], 0
+    for _ in range(6):
+        base = [f"w{rng.randrange(5000)}" for _ in range(300)]
+        rows.append((key, " ".join(base)))
+        key += 1
+        for _ in range(30):
+            copy = list(base)
+            for at in rng.sample(range(5, 295), 6):
+                copy[at] = f"w{rng.randrange(5000)}"
+            rows.append((key, " ".join(copy)))
+            key += 1
+    want = {k: r for k, r in five_near(rows).items() if k != r}
+    assert len(want) > 150
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["group_id"] for r in simhash.near_duplicates(df).collect()} == want
+    # Several passes give the same.
+    monkeypatch.setattr(simhash, "OPEN_FIRST", 1)
+    monkeypatch.setattr(simhash, "OPEN_GROWTH", 3)
+    assert {r["doc_id"]: r["group_id"] for r in simhash.near_duplicates(df).collect()} == want
