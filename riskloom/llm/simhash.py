@@ -18,8 +18,9 @@ PART = 1 << 15
 
 #: Fixed values for near duplicates: words in a shingle and the Jaccard similarity from which documents are near.
 NEAR_WIDTH, NEAR_SIMILARITY = 5, 0.8
-#: Two words of fingerprint over distinct pairs of words: near documents differ in about 12 of 128 bits, unrelated ones in about 60.
-NEAR_BITS, NEAR_BLOCKS = 26, 5
+#: Three words of fingerprint over distinct pairs of words, each with trees: documents at the similarity that differ in one connected
+#: stretch differ in about 28 of 192 bits, unrelated ones in about 90.
+NEAR_WORDS, NEAR_BITS, NEAR_BLOCKS = ("fp", "fp2", "fp3"), 50, 5
 #: Candidates of each document in the first pass over groups that are not yet joined, and how the number grows from pass to pass.
 OPEN_FIRST, OPEN_GROWTH = 8, 8
 
@@ -99,22 +100,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     def prints(rows: Iterator[tuple]):
         for part in in_chunks(rows, 1):
-            out: dict[str, list] = {"doc": [], "copy": [], "fp": [], "fp2": []}
+            out: dict[str, list] = {"doc": [], "copy": [], **{name: [] for name in NEAR_WORDS}}
             for key, text in part:
                 words = words_of(text)
                 out["doc"].append(key)
                 out["copy"].append(xxhash.xxh3_128_digest(b" ".join(words)))
-                for name, seed in (("fp", SEED), ("fp2", SEED + 1)):
-                    out[name].append(fingerprint(list(set(shingle_hashes(words, 2, seed)))))
+                for k, name in enumerate(NEAR_WORDS):
+                    out[name].append(fingerprint(list(set(shingle_hashes(words, 2, SEED + k)))))
             yield out
 
     known = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    own = write_once(map_documents(known, ["doc", "text"], "doc long, copy binary, fp long, fp2 long", prints), "prints")
-    texts = write_once(own.groupBy("copy").agg(F.min("doc").alias("first"), F.first("fp").alias("fp"), F.first("fp2").alias("fp2")), "texts")
-    items = write_once(texts.groupBy("fp", "fp2").agg(F.min("first").alias("id")), "items")
+    own = write_once(map_documents(known, ["doc", "text"], "doc long, copy binary" + "".join(f", {w} long" for w in NEAR_WORDS), prints), "prints")
+    texts = write_once(own.groupBy("copy").agg(F.min("doc").alias("first"), *[F.first(w).alias(w) for w in NEAR_WORDS]), "texts")
+    items = write_once(texts.groupBy(*NEAR_WORDS).agg(F.min("first").alias("id")), "items")
     size = items.count()
-    same = texts.join(items, ["fp", "fp2"]).filter("first <> id").select(F.col("first").alias("a"), F.col("id").alias("b"))
-    links = near_links(items.select("id", "fp", "fp2"), NEAR_BITS, NEAR_BLOCKS, 1, size).select("a", "b")
+    same = texts.join(items, [*NEAR_WORDS]).filter("first <> id").select(F.col("first").alias("a"), F.col("id").alias("b"))
+    links = near_links(items.select("id", *NEAR_WORDS), NEAR_BITS, NEAR_BLOCKS, 1, size, len(NEAR_WORDS)).select("a", "b")
     ordered = (F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     pairs = write_once(links.unionByName(same).select(*ordered).distinct(), "pairs")
 
@@ -135,13 +136,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Any document with a candidate has one in the forest, so what the forest connects are all groups of candidates.
     linked = components(pairs).select(F.col("node").alias("first"), F.col("root").alias("linked"))
     linked = linked.unionByName(linked.select(F.col("linked").alias("first"), "linked").distinct())
-    nodes = write_once(texts.join(linked, "first").select(F.col("first").alias("id"), "fp", "fp2", "linked"), "nodes")
+    nodes = write_once(texts.join(linked, "first").select(F.col("first").alias("id"), *NEAR_WORDS, "linked"), "nodes")
     lo, hi = 0, OPEN_FIRST
     while True:
         parts = nodes.join(grown.withColumnRenamed("node", "id"), "id", "left").withColumn("part", F.coalesce("root", "id")).drop("root")
         torn = parts.groupBy("linked").agg(F.min("part").alias("least"), F.max("part").alias("most")).filter("least < most").select("linked")
-        left = write_once(parts.join(torn, "linked", "left_semi").select("id", "fp", "fp2", "part"), "unjoined")
-        found = write_once(open_pairs(left, NEAR_BITS, NEAR_BLOCKS, 1, size, lo, hi), "open")
+        left = write_once(parts.join(torn, "linked", "left_semi").select("id", *NEAR_WORDS, "part"), "unjoined")
+        found = write_once(open_pairs(left, NEAR_BITS, NEAR_BLOCKS, 1, size, lo, hi, len(NEAR_WORDS)), "open")
         more = not found.filter("b is null").isEmpty()
         new = write_once(found.filter("b is not null").select(*ordered).distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
         if not new.isEmpty():

@@ -51,14 +51,14 @@ class Forest:
         out = {s for t in range(self.radius + 1) for s in product(range(-t, t + 1, 2), repeat=self.depth)}
         return sorted(s for s in out if s > (0,) * self.depth)
 
-    def leaves(self, fps: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
-        """(positions in ``fps``, leaf, role) of the home leaf and of the leaves to query, block by block."""
+    def leaves(self, fps: np.ndarray, word: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        """(positions in ``fps``, leaf, role) of the home leaf and of the leaves to query, block by block of the fingerprint's ``word``."""
         every = np.arange(len(fps))
         powers = np.int64(128) ** np.arange(self.depth, dtype=np.int64)
         for i, (mask, points) in enumerate(zip(self.masks(), self.vantage_points())):
             far = np.bitwise_count((fps[:, None] ^ points[None, :]) & np.uint64(mask)).astype(np.int64)
             width = mask.bit_count()
-            tag = np.int64(i) << 56
+            tag = np.int64(word * self.blocks + i) << 56
             yield every, tag + far @ powers, HOME
             for change in self.changes():
                 moved = far + np.array(change)
@@ -145,7 +145,7 @@ class Leaf:
         return [pa.array(self.known[self.edges[0]]), pa.array(self.known[self.edges[1]]), pa.array(self.edges[2].astype(np.int32))]
 
 
-def _dealt(items: DataFrame, blocks: int, radius: int, n: int) -> DataFrame:
+def _dealt(items: DataFrame, blocks: int, radius: int, n: int, trees: int) -> DataFrame:
     """leaf, chunk, role and the columns of ``items``: every item at home and where it queries, sorted, homes first."""
     words = [c for c in items.columns if c != "id"]
     forest = Forest.for_size(n, blocks, radius)
@@ -154,10 +154,11 @@ def _dealt(items: DataFrame, blocks: int, radius: int, n: int) -> DataFrame:
     def place(batches):
         for batch in batches:
             ids, *held = (batch.column(i).to_numpy() for i in range(1 + len(words)))
-            for at, leaf, role in forest.leaves(held[0].view(np.uint64)):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(leaf), pa.array(np.full(len(at), role, np.int8)), pa.array(ids[at]), *[pa.array(w[at]) for w in held]],
-                    names=["leaf", "role", "id", *words])
+            for word in range(trees):
+                for at, leaf, role in forest.leaves(held[word].view(np.uint64), word):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(leaf), pa.array(np.full(len(at), role, np.int8)), pa.array(ids[at]), *[pa.array(w[at]) for w in held]],
+                        names=["leaf", "role", "id", *words])
 
     rows = items.select("id", *words).mapInArrow(place, "leaf long, role tinyint, id long" + kinds)
     # Only crowded leaves are listed; the list is usually empty, and its size is known once it is written.
@@ -172,12 +173,12 @@ def _dealt(items: DataFrame, blocks: int, radius: int, n: int) -> DataFrame:
     return rows.select("leaf", "chunk", role, "id", *words).repartition("leaf", "chunk").sortWithinPartitions("leaf", "chunk", F.col("role").desc())
 
 
-def near_links(items: DataFrame, within: int, blocks: int, radius: int, n: int) -> DataFrame:
+def near_links(items: DataFrame, within: int, blocks: int, radius: int, n: int, trees: int = 1) -> DataFrame:
     """a, b, distance: links between the ids of items that differ in at most ``within`` bits.
 
-    ``items`` has the columns id (long, unique), fp (long) and any number of further fingerprint words (long); the trees look at fp,
-    and the distance counts all words. The links connect those items that all such pairs would connect, through nearest ones first.
-    Pairs whose fp differs in more than ``blocks * (radius + 1) - 1`` bits may be missed. ``n`` is the number of items, which are
+    ``items`` has the columns id (long, unique), fp (long) and any number of further fingerprint words (long); each of the first
+    ``trees`` words has trees of its own, and the distance counts all words. The links connect those items that all such pairs would connect, through nearest ones first.
+    Pairs that differ in more than ``blocks * (radius + 1) - 1`` bits of each of these words may be missed. ``n`` is the number of items, which are
     evaluated more than once.
     """
     words = [c for c in items.columns if c != "id"]
@@ -202,10 +203,10 @@ def near_links(items: DataFrame, within: int, blocks: int, radius: int, n: int)
         if leaf.edges.size:
             yield done()
 
-    return _dealt(items, blocks, radius, n).mapInArrow(search, "a long, b long, distance int")
+    return _dealt(items, blocks, radius, n, trees).mapInArrow(search, "a long, b long, distance int")
 
 
-def open_pairs(items: DataFrame, within: int, blocks: int, radius: int, n: int, lo: int, hi: int) -> DataFrame:
+def open_pairs(items: DataFrame, within: int, blocks: int, radius: int, n: int, lo: int, hi: int, trees: int = 1) -> DataFrame:
     """a, b: pairs that :func:`near_links` would compare, of two parts, from places ``lo`` to ``hi`` of what is near to each item.
 
     ``items`` has a further column part (long, the last). What is near to an item in a leaf is listed by distance, then id, whatever the
@@ -257,4 +258,4 @@ def open_pairs(items: DataFrame, within: int, blocks: int, radius: int, n: int,
             home_ids, homes = np.concatenate(home_ids), np.concatenate(homes)
             yield from ranked(home_ids, homes, home_ids, homes)
 
-    return _dealt(items, blocks, radius, n).mapInArrow(search, "a long, b long")
+    return _dealt(items, blocks, radius, n, trees).mapInArrow(search, "a long, b long")

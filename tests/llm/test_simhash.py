@@ -125,3 +125,18 @@ def test_variants_of_an_original_that_are_not_near_to_one_another(spark, monkeyp
     monkeypatch.setattr(simhash, "OPEN_FIRST", 1)
     monkeypatch.setattr(simhash, "OPEN_GROWTH", 3)
     assert {r["doc_id"]: r["group_id"] for r in simhash.near_duplicates(df).collect()} == want
+
+
+def test_pairs_that_differ_in_one_stretch(spark):
+    rng = random.Random(21)
+    text = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    rows = []
+    for k in range(0, 800, 2):
+        base = text(400)
+        at = rng.randrange(20, 330)
+        changed = base + text(97) if k % 4 else base[:at] + text(38) + base[at + 38:]
+        assert 0.8 <= len(shingles_of(" ".join(base)) & shingles_of(" ".join(changed))) / len(shingles_of(" ".join(base)) | shingles_of(" ".join(changed))) < 0.82
+        rows += [(k, " ".join(base)), (k + 1, " ".join(changed))]
+    got = {r["doc_id"]: r["group_id"] for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    print("found", len(got))
+    assert set(got.items()) <= {(k + 1, k) for k in range(0, 800, 2)} and len(got) >= 398
