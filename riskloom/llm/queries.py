@@ -285,8 +285,8 @@ with c as (
 select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
        coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
        sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
-       sum({len("<|im_start|><|im_end|>") + 2} + length(text) + (length(text) - length(regexp_replace(text, '<(\\*\\|)', '\\1', 'g')))
-           + length(regexp_replace(replace(replace(role, '%', '%25'), chr(10), '%0A'), '<(\\*\\|)', '<.\\1', 'g')))::bigint as formatted_chars
+       sum({len("<|im_start|><|im_end|>") + 2} + length(text) + (length(text) - length(regexp_replace(text, '<(\\\\*\\|)', '\\1', 'g')))
+           + length(regexp_replace(replace(replace(role, '%', '%25'), chr(10), '%0A'), '<(\\\\*\\|)', '<.\\1', 'g')))::bigint as formatted_chars
 from c group by 1""")
 def op13(spark: SparkSession, sf: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", "role", "text")
