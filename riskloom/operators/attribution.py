@@ -1,95 +1,122 @@
 """Which features drive the scores: Shapley values of boosted trees, permutation and native importance.
 
-Shapley values follow the path-dependent tree algorithm. A leaf's contribution depends only on which of the
-features on its path (at most ``depth`` of them) the row agrees with, so all 2^depth answers are tabulated once
-per leaf; a task then only looks the agreement pattern up. The tables grow with trees and leaves, not with data.
+Shapley values follow the path-dependent tree algorithm. For a leaf with d features on its path, extending a polynomial by one feature
+after the other gives the weight of all subsets by size, and unwinding a feature takes it out again: O(d^2) for a row and leaf. Leaves
+with the same number of features are computed together, for a stretch of rows at a time.
 """
 
 from __future__ import annotations
 
-import itertools
 import math
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.shape import keyed_hash
+from riskloom.operators.boost import BoostedTrees
 from riskloom.operators.learn import importance_table, probability, vectorized
 from riskloom.operators.metrics import auc_roc
 from riskloom.operators.neighbours import hash_rank
-from riskloom.session import work_dir
 
 
-def gbt_stage(model: PipelineModel) -> GBTClassificationModel:
-    return next(s for s in model.stages if isinstance(s, GBTClassificationModel))
+#: Numbers in the arrays that a task works on at once.
+CELLS = 1 << 20
 
 
-def tree_nodes(model: GBTClassificationModel, df: DataFrame) -> DataFrame:
-    """``(tree, node, left, right, feature, threshold, prediction, cover)`` read from the saved form of the model."""
-    path = work_dir(df.sparkSession, "trees")
-    model.write().save(path)
-    node = F.col("nodeData")
-    return df.sparkSession.read.parquet(f"{path}/data").select(
-        F.col("treeID").alias("tree"), node["id"].alias("node"), node["leftChild"].alias("left"),
-        node["rightChild"].alias("right"), node["split"]["featureIndex"].alias("feature"),
-        F.get(node["split"]["leftCategoriesOrThreshold"], F.lit(0)).alias("threshold"),
-        node["prediction"].alias("prediction"), F.get(node["impurityStats"], F.lit(0)).alias("cover"),
-    )
+def gbt_stage(model: PipelineModel) -> BoostedTrees:
+    return next(s for s in model.stages if isinstance(s, BoostedTrees))
+
+
+@dataclass(frozen=True)
+class Leaves:
+    """Leaves whose paths have the same number of features: [leaf, place on the path], and the value of each leaf."""
+
+    feature: np.ndarray
+    low: np.ndarray  # a row agrees with a place if its value is above low and at most high
+    high: np.ndarray
+    missing: np.ndarray  # whether a missing value agrees
+    share: np.ndarray  # rows that take the same turns, as a share of those that come to them
+    value: np.ndarray
 
 
-def leaf_tables(nodes: pd.DataFrame, tree_weights: Sequence[float]) -> tuple[list[tuple], float]:
-    """Per leaf: its features, their value intervals, and contributions by agreement pattern; plus the base value."""
-    leaves, base = [], 0.0
-    for tree, weight in enumerate(tree_weights):
-        by_id = nodes[nodes["tree"] == tree].set_index("node").to_dict("index")
-        stack = [(0, {})]
+def leaves_by_length(trees: Sequence[dict[str, np.ndarray]]) -> tuple[list[Leaves], float]:
+    """The leaves of all trees by the number of features on their paths, and the expected sum of the trees."""
+    found: dict[int, list[tuple]] = {}
+    base = 0.0
+    for t in trees:
+        feature, left, right, threshold, cover, value, missing_left = (t[k].tolist() for k in (
+            "feature", "left", "right", "threshold", "cover", "value", "missing_left"))
+        stack: list[tuple[int, dict]] = [(0, {})]
         while stack:
-            number, path = stack.pop()
-            node = by_id[number]
-            if node["left"] < 0:
-                value = 2.0 * weight * node["prediction"]  # the log-odds are twice the margin
-                share = math.prod(z for _, _, z in path.values())
-                base += value * share
+            node, path = stack.pop()
+            if feature[node] < 0:
+                base += value[node] * math.prod(p[3] for p in path.values())
                 if path:
-                    leaves.append((list(path), [b[:2] for b in path.values()], _patterns(path, value)))
+                    found.setdefault(len(path), []).append((list(path), *zip(*path.values()), value[node]))
                 continue
-            for child, is_left in ((node["left"], True), (node["right"], False)):
-                low, high, z = path.get(node["feature"], (-math.inf, math.inf, 1.0))
-                at = node["threshold"]
-                low, high = (low, min(high, at)) if is_left else (max(low, at), high)
-                cover = by_id[child]["cover"] / node["cover"] if node["cover"] else 0.5
-                stack.append((child, {**path, node["feature"]: (low, high, z * cover)}))
-    return leaves, base
-
-
-def _patterns(path: dict, value: float) -> np.ndarray:
-    """``[pattern, j]``: contribution of the j-th path feature; bit i of the pattern is agreement with feature i."""
-    z = [entry[2] for entry in path.values()]
-    d = len(z)
-    weight = [math.factorial(s) * math.factorial(d - s - 1) / math.factorial(d) for s in range(d)]
-    out = np.zeros((2 ** d, d))
-    for pattern, agree in enumerate(itertools.product((0.0, 1.0), repeat=d)):
-        agree = agree[::-1]
-        for j in range(d):
-            poly = np.ones(1)
-            for i in range(d):
-                if i != j:
-                    poly = np.convolve(poly, [z[i], agree[i]])
-            out[pattern, j] = value * (agree[j] - z[j]) * float(np.dot(weight, poly))
-    return out
+            f, at = feature[node], threshold[node]
+            low, high, missing, share = path.get(f, (-math.inf, math.inf, True, 1.0))
+            for child, is_left in ((left[node], True), (right[node], False)):
+                bounds = (low, min(high, at)) if is_left else (max(low, at), high)
+                own = share * (cover[child] / cover[node] if cover[node] else 0.5)
+                stack.append((child, {**path, f: (*bounds, missing and missing_left[node] == is_left, own)}))
+    return [Leaves(*(np.array(c) for c in zip(*rows))) for _, rows in sorted(found.items())], base
+
+
+def contributions(leaves: Leaves, x: np.ndarray, width: int) -> np.ndarray:
+    """[row, feature]: what these leaves contribute to each feature's Shapley value."""
+    n, d = len(x), leaves.feature.shape[1]
+    weight = [math.factorial(k) * math.factorial(d - k - 1) / math.factorial(d) for k in range(d)]
+    agrees = []
+    for i in range(d):
+        v = x[:, leaves.feature[:, i]]
+        agrees.append(np.where(np.isnan(v), leaves.missing[:, i], (v > leaves.low[:, i]) & (v <= leaves.high[:, i])).astype(float))
+    # subsets[k]: over all ways to take k of the path's features as known, what is left of the others' shares.
+    subsets = [np.ones((n, len(leaves.value)))]
+    for i in range(d):
+        z = leaves.share[:, i]
+        longer = [subsets[0] * z]
+        longer += [subsets[k] * z + subsets[k - 1] * agrees[i] for k in range(1, i + 1)]
+        subsets = [*longer, subsets[i] * agrees[i]]
+    out = np.zeros(n * width)
+    row = np.arange(n)[:, None] * width
+    for i in range(d):
+        z = leaves.share[:, i]
+        # Without feature i: if the row agrees, from the largest subset down; if not, the feature was only ever a factor.
+        above, on = subsets[d], weight[d - 1] * subsets[d]
+        for k in range(d - 1, 0, -1):
+            above = subsets[k] - z * above
+            on = on + weight[k - 1] * above
+        off = sum(weight[k] * subsets[k] for k in range(d)) / z
+        phi = np.where(agrees[i] == 1, (1 - z) * on, -z * off) * leaves.value
+        out += np.bincount((row + leaves.feature[:, i]).ravel(), phi.ravel(), n * width)
+    return out.reshape(n, width)
+
+
+def explain_rows(groups: Sequence[Leaves], x: np.ndarray, width: int) -> np.ndarray:
+    """Shapley values of rows of features, in pieces of bounded size."""
+    phi = np.zeros((len(x), width))
+    for g in groups:
+        leaves_at_once = max(1, min(len(g.value), CELLS // 16))
+        rows_at_once = max(1, CELLS // leaves_at_once)
+        for a in range(0, len(g.value), leaves_at_once):
+            part = Leaves(*(getattr(g, f.name)[a:a + leaves_at_once] for f in fields(g)))
+            for lo in range(0, len(x), rows_at_once):
+                phi[lo:lo + rows_at_once] += contributions(part, x[lo:lo + rows_at_once], width)
+    return phi
 
 
 def shap_values(model: PipelineModel, df: DataFrame, features: Sequence[str], id_col: str) -> DataFrame:
     """``(id, base, phi)``: one array of contributions to the log-odds per row; base plus their sum is the score."""
     gbt = gbt_stage(model)
-    nodes = tree_nodes(gbt, df).toPandas()  # trees x nodes, independent of the data
-    leaves, base = leaf_tables(nodes, gbt.treeWeights)
+    groups, base = leaves_by_length(gbt.unpacked())
+    base += gbt.getOrDefault("base")
     width = gbt.numFeatures
     rows = PipelineModel(stages=[s for s in model.stages if s is not gbt]).transform(
         vectorized(df.select(*dict.fromkeys([id_col, *features])), features)
@@ -101,14 +128,7 @@ def shap_values(model: PipelineModel, df: DataFrame, features: Sequence[str], id
         for batch in batches:
             if batch.empty:
                 continue
-            x = np.stack(batch["x"].to_numpy())
-            phi = np.zeros((len(x), width))
-            for on_path, limits, table in leaves:
-                pattern = np.zeros(len(x), dtype="int64")
-                for bit, (feature, (low, high)) in enumerate(zip(on_path, limits)):
-                    agree = (x[:, feature] > low) & (x[:, feature] <= high)
-                    pattern |= agree.astype("int64") << bit
-                phi[:, on_path] += table[pattern]
+            phi = explain_rows(groups, np.stack(batch["x"].to_numpy()).astype(float), width)
             yield pd.DataFrame({"id": batch["id"], "base": base, "phi": list(phi)})
 
     return plain.mapInPandas(explain, "id bigint, base double, phi array<double>")

@@ -1,16 +1,12 @@
-"""Class weights, tree ensembles on MLlib, importances, scoring and model comparison.
-
-Boosting here is MLlib's: first-order, level-wise, with log loss on the validation rows for early stopping.
-"""
+"""Class weights, boosted trees, random forests, importances, scoring and model comparison."""
 
 from __future__ import annotations
 
 import tempfile
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler, VectorSizeHint, VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +15,8 @@ from pyspark.sql import types as T
 
 from riskloom import schema as S
 from riskloom.functions.shape import ratio
-from riskloom.operators import metrics
+from riskloom.operators import boost, metrics
+from riskloom.operators.boost import LEAFWISE, TreeConfig
 from riskloom.operators.drift import importance_join, topk_shift
 from riskloom.operators.running import exact_quantiles
 from riskloom.session import cut_lineage
@@ -32,25 +29,6 @@ TRAINING_ROWS = 200_000  # rows in a partition of the learners
 NO_MODEL_PROBABILITY = 0.1  # fixed value: answer without any model
 
 
-@dataclass(frozen=True)
-class TreeConfig:
-    """Boosting settings. The numbers are fixed values, but for the tolerance."""
-
-    rounds: int = 500
-    depth: int = 6
-    step: float = 0.05
-    subsample: float = 0.8
-    columns: str = "0.8"
-    min_rows: int = 10
-    bins: int = 32
-    tolerance: float = 0.0  # any fall of the validation loss goes on; 0.01 would end slow learning after a few rounds
-    seed: int = 42
-
-
-# The leaf-wise profile grows full rows and columns on finer bins; MLlib itself always grows level by level.
-LEAFWISE = TreeConfig(subsample=1.0, columns="all", min_rows=20, bins=64)
-
-
 # -- weights and validation rows -------------------------------------------------------------------------------
 
 
@@ -113,19 +91,6 @@ def _assembler(df: DataFrame, features: Sequence[str]) -> PipelineModel:
     return PipelineModel(stages=stages)
 
 
-def _gbt(label: str, cfg: TreeConfig, weight: str | None, validation: str | None, column: str = FEATURES):
-    gbt = GBTClassifier(
-        featuresCol=column, labelCol=label, maxIter=cfg.rounds, maxDepth=cfg.depth, stepSize=cfg.step,
-        subsamplingRate=cfg.subsample, featureSubsetStrategy=cfg.columns, minInstancesPerNode=cfg.min_rows,
-        maxBins=cfg.bins, validationTol=cfg.tolerance, seed=cfg.seed, cacheNodeIds=True, checkpointInterval=10,
-    )
-    if weight:
-        gbt.setWeightCol(weight)
-    if validation:
-        gbt.setValidationIndicatorCol(validation)
-    return gbt
-
-
 def _training_columns(df: DataFrame, features: Sequence[str], label: str, *extra: str | None) -> DataFrame:
     named = [c for c in extra if c]
     rows = df.select(*features, F.col(label).cast("double").alias(label), *named)
@@ -137,11 +102,11 @@ def _training_columns(df: DataFrame, features: Sequence[str], label: str, *extra
 
 def train_gbt(df: DataFrame, features: Sequence[str], label: str = S.LABEL, cfg: TreeConfig = TreeConfig(),
               weight: str | None = None, validation: str | None = None) -> PipelineModel:
-    """Boosted trees; with a validation column the rounds stop when its loss no longer falls."""
+    """Boosted trees; with a validation column, the prefix of the ensemble with the best average precision on its rows."""
     ensure_checkpoint_dir(df.sparkSession)
     rows = _training_columns(df, features, label, weight, validation)
     assembler = _assembler(df, features)
-    model = _gbt(label, cfg, weight, validation).fit(assembler.transform(rows))
+    model = boost.fit(assembler.transform(rows), FEATURES, label, cfg, weight, validation)
     return PipelineModel(stages=[*assembler.stages, model])
 
 
@@ -192,7 +157,7 @@ def train_rf_hybrid(df: DataFrame, features: Sequence[str], label: str = S.LABEL
     rows = _training_columns(df, features, label, weight, validation)
     assembler = _assembler(df, features)
     slicer = VectorSlicer(inputCol=FEATURES, outputCol="selected", indices=chosen)
-    model = _gbt(label, cfg, weight, validation, "selected").fit(slicer.transform(assembler.transform(rows)))
+    model = boost.fit(slicer.transform(assembler.transform(rows)), "selected", label, cfg, weight, validation)
     return PipelineModel(stages=[*assembler.stages, slicer, model])
 
 

@@ -1,12 +1,10 @@
-"""Training, scoring, comparison and attribution on the transaction view and on the embeddings.
+"""Training, scoring, comparison and attribution on the transaction view and on the embeddings, with the default settings.
 
-Rounds are fewer than the defaults so that a run takes seconds; the rows are always the whole tables.
+What trains can't be written in SQL. The ``*_holds`` queries check what must hold of the results whatever the model.
 """
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
@@ -20,7 +18,6 @@ from riskloom.plans.registry import QUERIES, query
 from riskloom.session import cut_lineage
 from riskloom.sources import models, requests
 
-QUICK = learn.TreeConfig(rounds=8, depth=4, step=0.3)
 TX_FEATURES = ("amt", "card2", "d1", "d15", "addr2", "urgent", "open")
 EMBEDDING = ("embedding",)
 
@@ -52,40 +49,100 @@ def embedding_split(spark, sf):
     return rows.where(F.col("id") % 5 != 0), rows.where(F.col("id") % 5 == 0)
 
 
+def gbt_on_tx(spark, sf, cfg=learn.TreeConfig(), ratio=10.0):
+    """A model of the transaction view, stopped on its latest training rows, and the rows it was trained on and those it was not."""
+    train, test = labelled_tx(spark, sf)
+    rows = learn.validation_tail(learn.class_weight(train, "y", ratio), "dt")
+    return learn.train_gbt(rows, TX_FEATURES, "y", cfg, learn.WEIGHT, learn.VALIDATION), train, test
+
+
+def embedding_validation(rows):
+    """Weights, and the rows with the largest ids for early stopping."""
+    return learn.validation_tail(learn.class_weight(rows, "y"), "id")
+
+
+def ensemble_holds(spark, model, cfg, n, positives):
+    """What the settings promise of an ensemble, and that the prefix kept is the best of those tried."""
+    gbt = attribution.gbt_stage(model)
+    run, kept, scores = gbt.getOrDefault("roundsRun"), gbt.getNumTrees, gbt.getOrDefault("precisions")
+    leaves = [int((t["feature"] < 0).sum()) for t in gbt.unpacked()]
+    return spark.createDataFrame([(
+        n, positives, len(scores) == run and kept == scores.index(max(scores)) + 1, run == cfg.rounds or run - kept >= cfg.patience,
+        1 <= max(leaves) <= (cfg.leaves or 2 ** cfg.depth),
+    )], "n long, positives long, best_prefix boolean, waited boolean, leaves_bounded boolean")
+
+
+HELD_OUT = "select count(*) as n, cast(sum(y) as bigint) as positives, true as best_prefix, true as waited, true as leaves_bounded from test"
+
+
 @query("train_gbt")
 def _(spark, sf):
-    train, test = labelled_tx(spark, sf)
-    weighted = learn.validation_tail(learn.class_weight(train, "y", 10.0), "dt")
-    model = learn.train_gbt(weighted, TX_FEATURES, "y", QUICK, learn.WEIGHT, learn.VALIDATION)
+    model, _, test = gbt_on_tx(spark, sf)
     return learn.compare({"gbt": model}, test, TX_FEATURES, "y")
 
 
+@query("train_gbt_holds", TX_SQL + HELD_OUT)
+def _(spark, sf):
+    model, _, test = gbt_on_tx(spark, sf)
+    row = learn.compare({"gbt": model}, test, TX_FEATURES, "y").first()
+    return ensemble_holds(spark, model, learn.TreeConfig(), row["tp"] + row["fp"] + row["fn"] + row["tn"], row["tp"] + row["fn"])
+
+
 @query("train_gbt_leafwise")
 def _(spark, sf):
-    train, test = labelled_tx(spark, sf)
-    cfg = replace(learn.LEAFWISE, rounds=8, step=0.3, depth=5)
-    model = learn.train_gbt(learn.balanced_weight(train, "y"), TX_FEATURES, "y", cfg, learn.WEIGHT)
+    model, _, test = gbt_on_tx(spark, sf, learn.LEAFWISE)
     return learn.compare({"gbt_leafwise": model}, test, TX_FEATURES, "y")
 
 
-@query("train_rf_hybrid")
+@query("train_gbt_leafwise_holds", TX_SQL + HELD_OUT)
 def _(spark, sf):
+    model, _, test = gbt_on_tx(spark, sf, learn.LEAFWISE)
+    row = learn.compare({"gbt_leafwise": model}, test, TX_FEATURES, "y").first()
+    return ensemble_holds(spark, model, learn.LEAFWISE, row["tp"] + row["fp"] + row["fn"] + row["tn"], row["tp"] + row["fn"])
+
+
+def rf_hybrid(spark, sf):
     train, test = embedding_split(spark, sf)
-    rows = learn.class_weight(train, "y")
-    model = learn.train_rf_hybrid(rows, EMBEDDING, "y", 30, QUICK, learn.WEIGHT, trees=20, forest_depth=6)
+    return learn.train_rf_hybrid(embedding_validation(train), EMBEDDING, "y", 50, weight=learn.WEIGHT, validation=learn.VALIDATION), test
+
+
+@query("train_rf_hybrid")
+def _(spark, sf):
+    model, test = rf_hybrid(spark, sf)
     return learn.compare({"rf_hybrid": model}, test, EMBEDDING, "y")
 
 
+@query("train_rf_hybrid_holds", """
+select count(*) as n, cast(sum((label = 0)::int) as bigint) as positives, true as best_prefix, true as waited, true as leaves_bounded, 50 as chosen
+from embeddings where vec_id % 5 = 0""")
+def _(spark, sf):
+    model, test = rf_hybrid(spark, sf)
+    row = learn.compare({"rf_hybrid": model}, test, EMBEDDING, "y").first()
+    holds = ensemble_holds(spark, model, learn.TreeConfig(), row["tp"] + row["fp"] + row["fn"] + row["tn"], row["tp"] + row["fn"])
+    return holds.withColumn("chosen", F.lit(len(set(attribution.selected_names(model, learn.feature_names(test, EMBEDDING))))))
+
+
 @query("rf_importance")
 def _(spark, sf):
     train, _ = labelled_tx(spark, sf)
-    return learn.rf_importance(train, TX_FEATURES, "y", trees=20, depth=6)
+    return learn.rf_importance(train, TX_FEATURES, "y")
 
 
 @query("importance_shift")
 def _(spark, sf):
     early, late = labelled_tx(spark, sf)
-    return learn.importance_shift(early, late, TX_FEATURES, "y", trees=10, depth=4)
+    return learn.importance_shift(early, late, TX_FEATURES, "y")
+
+
+@query("importance_shift_holds", TX_SQL + """
+select 7 as n, true as sums_to_zero, true as is_difference, true as in_order from train having count(*) > 0""")
+def _(spark, sf):
+    """Importances of either period sum to 1, so the moves sum to 0; the largest moves come first."""
+    moved = [abs(r["delta"]) for r in QUERIES["importance_shift"](spark, sf).collect()]  # k rows
+    return QUERIES["importance_shift"](spark, sf).agg(
+        F.count(F.lit(1)).cast("int").alias("n"), (F.abs(F.sum("delta")) < 1e-4).alias("sums_to_zero"),
+        F.bool_and(F.abs(F.col("late") - F.col("early") - F.col("delta")) < 1e-5).alias("is_difference"),
+    ).withColumn("in_order", F.lit(moved == sorted(moved, reverse=True)))
 
 
 @query("smote", TX_SQL + """
@@ -115,9 +172,7 @@ def _(spark, sf):
 
 
 def trained(spark, sf):
-    train, test = labelled_tx(spark, sf)
-    model = learn.train_gbt(learn.class_weight(train, "y"), TX_FEATURES, "y", QUICK, learn.WEIGHT)
-    return model, train, test
+    return gbt_on_tx(spark, sf, ratio=1.0)
 
 
 @query("score_batch")
@@ -144,14 +199,7 @@ def _(spark, sf):
 select '{m}' as model, count(*) as n, cast(sum(y) as bigint) as positives, true as cost_agrees, true as in_range from test"""
     for m in ("gbt", "gbt_leafwise", "rf_hybrid")))
 def _(spark, sf):
-    """The confusion counts of all held-out rows, and metrics that follow from them."""
-    results = cut_lineage(QUERIES["model_comparison"](spark, sf), "results")
-    recall = F.round(ratio(F.col("tp"), F.col("tp") + F.col("fn")), 4)
-    return results.select(
-        "model", (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("n"), (F.col("tp") + F.col("fn")).alias("positives"),
-        ((F.col("business_cost") == 10 * F.col("fn") + F.col("fp")) & (F.col("recall") == recall)).alias("cost_agrees"),
-        (F.col("auc_roc").between(0, 1) & F.col("precision").between(0, 1)).alias("in_range"),
-    )
+    return comparison_holds(cut_lineage(QUERIES["model_comparison"](spark, sf), "results"))
 
 
 @query("model_io_holds", TX_SQL + """
@@ -160,7 +208,7 @@ def _(spark, sf):
     """A loaded model scores as the saved one, and says what it is."""
     model, _, test = trained(spark, sf)
     path = f"{scratch(spark, 'saved')}/model"
-    models.save_model(model, path, "gbt", TX_FEATURES, {"rounds": float(QUICK.rounds)})
+    models.save_model(model, path, "gbt", TX_FEATURES, {"rounds": float(attribution.gbt_stage(model).getNumTrees)})
     about = models.model_info(spark, path)
     before = learn.score_batch(model, test, TX_FEATURES, "tid").select("tid", F.col("fraud_probability").alias("saved"))
     after = learn.score_batch(PipelineModel.load(path), test, about["features"], "tid")
@@ -170,12 +218,13 @@ def _(spark, sf):
 
 
 @query("rf_importance_holds", TX_SQL + """
-select 7 as n, count(*) > 0 as sums_to_one, true as positive, 'addr2,amt,card2,d1,d15,open,urgent' as features from train""")
+select 7 as n, count(*) > 0 as sums_to_one, true as positive, 'addr2,amt,card2,d1,d15,open,urgent' as features, 'urgent' as largest from train""")
 def _(spark, sf):
     table_ = QUERIES["rf_importance"](spark, sf)
     return table_.agg(
         F.count(F.lit(1)).alias("n"), (F.abs(F.sum("importance") - 1) < 1e-9).alias("sums_to_one"),
         F.bool_and(F.col("importance") >= 0).alias("positive"), F.array_join(F.sort_array(F.collect_list("feature")), ",").alias("features"),
+        F.max_by("feature", "importance").alias("largest"),
     )
 
 
@@ -217,6 +266,22 @@ def _(spark, sf):
     return attribution.attribution(model, train, TX_FEATURES, TX_FEATURES, "tid", method="native", k=5)
 
 
+@query("attribution_holds", TX_SQL + """
+select count(*) as n, true as adds_up, 7 as features, true as in_order, true as native_sums_to_one from test""")
+def _(spark, sf):
+    """Base and contributions of every row add up to its log-odds; the report is sorted, native importances are shares."""
+    model, _, test = trained(spark, sf)
+    values = cut_lineage(attribution.shap_values(model, test, TX_FEATURES, "tid"), "shap")
+    p = learn.probability(model, test, TX_FEATURES, "p", keep=["tid"])
+    total = F.col("base") + F.aggregate("phi", F.lit(0.0), lambda a, x: a + x)
+    report = [r["mean_abs_shap"] for r in attribution.topk_attribution(attribution.mean_abs_attribution(values, TX_FEATURES)).collect()]
+    native = attribution.native_importance(model, test, TX_FEATURES).agg(F.sum("mean_abs_shap").alias("s")).first()["s"]
+    return values.join(p.withColumnRenamed("tid", "id"), "id").agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and(F.abs(total - F.ln(F.col("p") / (1 - F.col("p")))) < 1e-6).alias("adds_up"),
+    ).select("*", F.lit(len(report)).alias("features"), F.lit(report == sorted(report, reverse=True)).alias("in_order"),
+             F.lit(abs(native - 1) < 1e-9).alias("native_sums_to_one"))
+
+
 @query("permutation_importance")
 def _(spark, sf):
     model, _, test = trained(spark, sf)
@@ -232,43 +297,78 @@ def _(spark, sf):
 @query("model_comparison")
 def _(spark, sf):
     train, test = labelled_tx(spark, sf)
-    train = cut_lineage(learn.class_weight(train, "y"), "weighted")
-    boosted = replace(learn.LEAFWISE, rounds=8, step=0.3, depth=4)
+    rows = cut_lineage(learn.validation_tail(learn.class_weight(train, "y"), "dt"), "weighted")
+    marks = learn.WEIGHT, learn.VALIDATION
     return learn.compare({
-        "gbt": learn.train_gbt(train, TX_FEATURES, "y", QUICK, learn.WEIGHT),
-        "gbt_leafwise": learn.train_gbt(train, TX_FEATURES, "y", boosted, learn.WEIGHT),
-        "rf_hybrid": learn.train_rf_hybrid(train, TX_FEATURES, "y", 5, QUICK, learn.WEIGHT, trees=10, forest_depth=5),
+        "gbt": learn.train_gbt(rows, TX_FEATURES, "y", learn.TreeConfig(), *marks),
+        "gbt_leafwise": learn.train_gbt(rows, TX_FEATURES, "y", learn.LEAFWISE, *marks),
+        "rf_hybrid": learn.train_rf_hybrid(rows, TX_FEATURES, "y", 5, learn.TreeConfig(), *marks),
     }, test, TX_FEATURES, "y")
 
 
 @query("imbalance_comparison")
 def _(spark, sf):
-    rows, test = embedding_split(spark, sf)
-    weighted = learn.class_weight(rows, "y")
-    balanced = cut_lineage(neighbours.smote(rows, "embedding", "y", "id"), "smote").select(
-        F.col("vec").alias("embedding"), F.col("label").alias("y")
-    )
+    train, test = embedding_split(spark, sf)
+    rows = cut_lineage(embedding_validation(train), "weighted")
+    made = neighbours.smote(rows.where(~F.col(learn.VALIDATION)), "embedding", "y", "id")
+    # The rows for early stopping stay as they are.
+    balanced = cut_lineage(made.select(F.col("vec").alias("embedding"), F.col("label").alias("y"), F.lit(False).alias(learn.VALIDATION)).unionByName(
+        rows.where(learn.VALIDATION).select(F.col("embedding").cast("array<double>"), "y", learn.VALIDATION)), "smote")
     return learn.compare({
-        "class_weight": learn.train_gbt(weighted, EMBEDDING, "y", QUICK, learn.WEIGHT),
-        "smote": learn.train_gbt(balanced, EMBEDDING, "y", QUICK),
+        "class_weight": learn.train_gbt(rows, EMBEDDING, "y", learn.TreeConfig(), learn.WEIGHT, learn.VALIDATION),
+        "smote": learn.train_gbt(balanced, EMBEDDING, "y", learn.TreeConfig(), None, learn.VALIDATION),
     }, test, EMBEDDING, "y")
 
 
-@query("cost_comparison")
+def comparison_holds(results):
+    """Confusion counts of all rows held out, and metrics that follow from them."""
+    recall = F.round(ratio(F.col("tp"), F.col("tp") + F.col("fn")), 4)
+    return results.select(
+        "model", (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("n"), (F.col("tp") + F.col("fn")).alias("positives"),
+        ((F.col("business_cost") == 10 * F.col("fn") + F.col("fp")) & (F.col("recall") == recall)).alias("cost_agrees"),
+        (F.col("auc_roc").between(0, 1) & F.col("precision").between(0, 1)).alias("in_range"),
+    )
+
+
+@query("imbalance_comparison_holds", " union all ".join(f"""
+select '{m}' as model, count(*) as n, cast(sum((label = 0)::int) as bigint) as positives, true as cost_agrees, true as in_range
+from embeddings where vec_id % 5 = 0""" for m in ("class_weight", "smote")))
 def _(spark, sf):
+    return comparison_holds(cut_lineage(QUERIES["imbalance_comparison"](spark, sf), "results"))
+
+
+def cost_results(spark, sf):
     train, test = labelled_tx(spark, sf)
-    results = learn.compare({
-        "standard": learn.train_gbt(learn.class_weight(train, "y"), TX_FEATURES, "y", QUICK, learn.WEIGHT),
-        "cost_sensitive": learn.train_gbt(learn.class_weight(train, "y", 10.0), TX_FEATURES, "y", QUICK, learn.WEIGHT),
-    }, test, TX_FEATURES, "y")
-    return learn.cost_comparison(cut_lineage(results, "results"), "standard", "cost_sensitive")
+    fit = lambda ratio: learn.train_gbt(
+        learn.validation_tail(learn.class_weight(train, "y", ratio), "dt"), TX_FEATURES, "y", learn.TreeConfig(), learn.WEIGHT, learn.VALIDATION)
+    return cut_lineage(learn.compare({"standard": fit(1.0), "cost_sensitive": fit(10.0)}, test, TX_FEATURES, "y"), "results")
+
+
+@query("cost_comparison")
+def _(spark, sf):
+    return learn.cost_comparison(cost_results(spark, sf), "standard", "cost_sensitive")
+
+
+@query("cost_comparison_holds", TX_SQL + """
+select count(*) as n, true as follows, true as net_follows from test""")
+def _(spark, sf):
+    """The comparison follows from the confusion counts of both models."""
+    results = cost_results(spark, sf)
+    rows = {r["model"]: r for r in results.collect()}  # two rows
+    a, b = rows["standard"], rows["cost_sensitive"]
+    net = lambda r: 500.0 * r["tp"] - 20.0 * r["fp"]
+    return learn.cost_comparison(results, "standard", "cost_sensitive").select(
+        F.lit(a["tp"] + a["fp"] + a["fn"] + a["tn"]).alias("n"),
+        ((F.abs(F.col("delta_recall") - (b["recall"] - a["recall"])) < 1e-4) & (F.col("delta_cost") == a["business_cost"] - b["business_cost"])).alias("follows"),
+        ((F.col("standard_net_value") == net(a)) & (F.col("sensitive_net_value") == net(b))).alias("net_follows"),
+    )
 
 
 @query("model_io")
 def _(spark, sf):
     model, _, test = trained(spark, sf)
     base = scratch(spark, "registry")
-    models.save_model(model, f"{base}/models/1")
+    models.save_model(model, f"{base}/models/1", "gbt", TX_FEATURES)
     recall = learn.compare({"gbt": model}, test, TX_FEATURES, "y").select(
         F.lit(1).cast("bigint").alias("version"), "model", F.lit(f"{base}/models/1").alias("path"),
         F.col("recall").alias("fraud_recall"), "auc_roc",
@@ -286,7 +386,7 @@ def _(spark, sf):
 
 @query("all_stages")
 def _(spark, sf):
-    cfg = stages.StageConfig(trees=QUICK, forest_trees=10, forest_depth=5, min_recall=0.5)
+    cfg = stages.StageConfig(min_recall=0.5)
     named = wide_names(tx(spark, sf)).withColumn("TransactionDT", F.col("TransactionDT").cast("bigint"))
     decision = stages.run_stages(named, wide_names(identity(spark, sf)), scratch(spark, "stages"), cfg=cfg)
     return decision.select("model", "fraud_recall", "auc_roc", "status")

@@ -37,7 +37,8 @@ class StageConfig:
 
 def prepared(transactions: DataFrame, identity: DataFrame, cfg: StageConfig) -> tuple[DataFrame, DataFrame, dict]:
     """Training and test rows with every feature; the latest training rows are marked for early stopping first."""
-    joined = tables.join_identity(tables.normalize_nulls(transactions), tables.normalize_nulls(identity))
+    # Written: the split, the validation cut, the medians and the maps each read it.
+    joined = cut_lineage(tables.join_identity(tables.normalize_nulls(transactions), tables.normalize_nulls(identity)), "joined")
     train, test = prepare.temporal_split(joined, test_size=cfg.test_size)
     train, test, fitted = prepare.prepare(learn.validation_tail(train), test, keep=(learn.VALIDATION,))
     return features.add_features(train), features.add_features(test), fitted
@@ -99,7 +100,9 @@ def run_stages(transactions: DataFrame, identity: DataFrame, path: str, run: int
     learn.topk_importance(importance, cfg.top_features).coalesce(1).write.mode("overwrite").json(f"{path}/{run_id}/importance")
 
     model = train_model(train, names, cfg)
-    models.save_model(model, f"{path}/{run_id}/model")
+    weights = {str(r[S.LABEL]): float(r["w"]) for r in learn.class_weight(train, S.LABEL, cfg.fn_cost / cfg.fp_cost if cfg.cost_sensitive else 1.0)
+               .groupBy(S.LABEL).agg(F.first(learn.WEIGHT).alias("w")).collect()} if cfg.imbalance != "smote" else {}
+    models.save_model(model, f"{path}/{run_id}/model", cfg.model_type, names, weights=weights)
     top = attribution.attribution(model, test.withColumn("row", F.monotonically_increasing_id()), names, names, "row")
     top.coalesce(1).write.mode("overwrite").json(f"{path}/{run_id}/attribution")
 

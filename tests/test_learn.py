@@ -13,7 +13,7 @@ from riskloom.operators import neighbours as N
 from riskloom.operators import registry as G
 from riskloom.sources import models, requests
 
-QUICK = L.TreeConfig(rounds=6, depth=3, step=0.3, min_rows=1)
+QUICK = L.TreeConfig(rounds=6, depth=3, step=0.3, min_hessian=1.0)
 FEATURES = [f"f{i}" for i in range(6)]
 
 
@@ -104,7 +104,7 @@ def test_shap_sums_to_the_log_odds(data, model):
 def test_shap_equals_the_definition(data, model):
     """Shapley values by enumerating all subsets, the tree value of a subset weighing unknown splits by cover."""
     gbt = A.gbt_stage(model)
-    nodes = A.tree_nodes(gbt, data).toPandas()
+    nodes = gbt.nodes()
     trees = [nodes[nodes.tree == t].set_index("node").to_dict("index") for t in range(gbt.getNumTrees)]
 
     def expected(tree, x, known, number=0):
@@ -117,7 +117,7 @@ def test_shap_equals_the_definition(data, model):
         return sum(tree[c]["cover"] / node["cover"] * expected(tree, x, known, c) for c in (node["left"], node["right"]))
 
     def value(x, known):
-        return sum(2 * w * expected(t, x, known) for t, w in zip(trees, gbt.treeWeights))
+        return sum(expected(t, x, known) for t in trees)
 
     got = {r["id"]: r["phi"] for r in A.shap_values(model, data.where("id in (0, 7)"), FEATURES, "id").collect()}
     for row in data.where("id in (0, 7)").collect():
