@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.ks import ks_pvalue
 from riskloom.functions.shape import as_double, ratio
+from riskloom.operators.digits import ks_distance, narrow, quantiles_of
 from riskloom.operators.metrics import auc_of_counts, recall, score_counts
-from riskloom.operators.running import RANGE, exact_quantiles, melt_ranged, range_cuts, running_sums
+from riskloom.operators.running import RANGE, melt_ranged, range_cuts, running_sums
 
 PROFILE_QUANTILES = {"p5": 0.05, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95}
 CURRENT = "is_current"
@@ -18,17 +19,16 @@ CURRENT = "is_current"
 
 def ref_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(feature, mean, std, p5, p25, p50, p75, p95, n)`` for every column with data."""
-    row = df.agg(*[
-        F.struct(
-            F.avg(as_double(c)).alias("mean"), F.stddev_pop(as_double(c)).alias("std"),
-            F.count(as_double(c)).alias("n"),
-        ).alias(c) for c in columns
+    rows = narrow(df, columns)
+    row = rows.agg(*[
+        F.struct(F.avg(f"c{i}").alias("mean"), F.stddev_pop(f"c{i}").alias("std"), F.count(f"c{i}").alias("n")).alias(f"c{i}")
+        for i in range(len(columns))
     ])
     entries = F.array(*[
-        F.struct(F.lit(c).alias("feature"), *[F.col(c)[f].alias(f) for f in ("mean", "std", "n")]) for c in columns
+        F.struct(F.lit(c).alias("feature"), *[F.col(f"c{i}")[f].alias(f) for f in ("mean", "std", "n")]) for i, c in enumerate(columns)
     ])
     moments = row.select(F.inline(entries)).where(F.col("n") > 0)
-    quantiles = exact_quantiles(df, columns, list(PROFILE_QUANTILES.values())).groupBy("feature").agg(*[
+    quantiles = quantiles_of(rows, columns, list(PROFILE_QUANTILES.values())).groupBy("feature").agg(*[
         F.max(F.when(F.col("q") == q, F.col("value"))).alias(name) for name, q in PROFILE_QUANTILES.items()
     ])
     return moments.join(quantiles, "feature").select(
@@ -45,21 +45,13 @@ def sides(reference: DataFrame, current: DataFrame, columns: Sequence[str], by:
     )
 
 
-def ks_between(df: DataFrame, columns: Sequence[str], flag: str = CURRENT, min_n: int = 1,
-               cuts: dict[str, list[float]] | None = None) -> DataFrame:
+def ks_between(df: DataFrame, columns: Sequence[str], flag: str = CURRENT, min_n: int = 1) -> DataFrame:
     """Largest distance between the distribution functions of rows with flag 0 and rows with flag 1.
 
-    Rows ``(feature, ks_statistic, n_ref, n_cur, ref_mean, cur_mean)``; features with fewer than ``min_n``
-    values on a side are left out. Repeated values are counted before the shuffle and every value range is
-    ranked on its own, so neither a hot value nor a single feature can fill one task.
+    Rows ``(feature, ks_statistic, n_ref, n_cur, ref_mean, cur_mean)``; features with fewer than ``min_n`` values on a side are left out.
+    Counters per stretch of values are shuffled, and only stretches that may hold the largest distance are counted any finer.
     """
-    columns = list(columns)
-    cuts = range_cuts(df, columns) if cuts is None else cuts
-    long = melt_ranged(df, {c: cuts.get(c, []) for c in columns}, keep=[flag])
-    counted = long.groupBy("feature", RANGE, "value").agg(
-        F.count_if(F.col(flag) == 0).alias("ref"), F.count_if(F.col(flag) == 1).alias("cur")
-    )
-    return _ks_of_counts(counted, columns, any(cuts.values()), min_n)
+    return ks_distance(df, columns, flag, min_n)
 
 
 def _ks_of_counts(counted: DataFrame, columns: Sequence[str], ranged: bool, min_n: int) -> DataFrame:
@@ -81,11 +73,9 @@ def _ks_of_counts(counted: DataFrame, columns: Sequence[str], ranged: bool, min_
     )
 
 
-def ks_two_sample(reference: DataFrame, current: DataFrame, columns: Sequence[str], min_n: int = 1,
-                  cuts: dict[str, list[float]] | None = None) -> DataFrame:
+def ks_two_sample(reference: DataFrame, current: DataFrame, columns: Sequence[str], min_n: int = 1) -> DataFrame:
     both = sides(reference, current, columns)
-    shared = [c for c in columns if c in both.columns]
-    return ks_between(both, shared, CURRENT, min_n, cuts)
+    return ks_between(both, [c for c in columns if c in both.columns], CURRENT, min_n)
 
 
 def save_reference(reference: DataFrame, columns: Sequence[str], path: str) -> None:

@@ -18,7 +18,7 @@ from riskloom.functions.shape import ratio
 from riskloom.operators import boost, metrics
 from riskloom.operators.boost import LEAFWISE, TreeConfig
 from riskloom.operators.drift import importance_join, topk_shift
-from riskloom.operators.running import exact_quantiles
+from riskloom.operators.digits import exact_quantiles
 from riskloom.session import cut_lineage
 from riskloom.sources.requests import confidence_band, explode_batch, feature_value
 

@@ -9,13 +9,14 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom import schema as S
 from riskloom.functions.shape import keyed_hash, melt, ratio
-from riskloom.operators.running import exact_quantiles
+from riskloom.operators.digits import exact_quantiles
 from riskloom.session import cut_lineage
 
 UNKNOWN_TARGET = "_unknown_"
@@ -254,22 +255,61 @@ def one_hot_fit(df: DataFrame, columns: Sequence[str], max_categories: int | Non
 def one_hot(df: DataFrame, fitted: DataFrame) -> DataFrame:
     """Replace each fitted column by 0/1 columns ``<column>_<value>`` in sorted order; unseen values set none.
 
-    Values whose names clash once dots are replaced keep columns of their own: the later ones get ``__2``, ``__3``, ... added.
+    Names that clash, with each other or with a column that stays, keep columns of their own: the later ones get ``__2``, ``__3``, ... added.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     seen: dict[str, list[str]] = {}
     for row in fitted.orderBy("feature", "value").collect():
         seen.setdefault(row["feature"], []).append(row["value"])
-    kept = [F.col(c) for c in df.columns if c not in seen]
+    kept = [c for c in df.columns if c not in seen]
+    taken = {c.lower() for c in kept}
     flags = []
     for c in df.columns:
-        taken: dict[str, int] = {}
         for value in seen.get(c, []):
-            name = _flag_name(c, value)
-            taken[name] = taken.get(name, 0) + 1
-            name += f"__{taken[name]}" if taken[name] > 1 else ""
+            base, n = _flag_name(c, value), 1
+            name = base
+            while name.lower() in taken:
+                n += 1
+                name = f"{base}__{n}"
+            taken.add(name.lower())
             flags.append((_category(c, types[c]) == value).cast("int").alias(name))
-    return df.select(*kept, *flags)
+    return df.select(*[F.col(f"`{c}`") for c in kept], *flags)
+
+
+def one_hot_index(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(feature, value, index)``: every category with its place in the vector of :func:`one_hot_vector`, a row each.
+
+    Places run by feature in the given order, then by value. They come from counts per range of values, so a column may have any number of
+    categories; nothing of them reaches the driver.
+    """
+    order = F.create_map(*[x for i, c in enumerate(columns) for x in (F.lit(c), F.lit(i))])
+    fitted = cut_lineage(one_hot_fit(df, columns).withColumn("place", order[F.col("feature")]), "categories")
+    # Sorted over the cluster; a partition's first place is the number of rows in those before it.
+    dealt = cut_lineage(fitted.repartitionByRange("place", "value").sortWithinPartitions("place", "value").withColumn("row", F.monotonically_increasing_id()), "sorted")
+    part, at = F.shiftright("row", 33), F.col("row").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = dealt.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    before = sizes.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("first"))
+    # One row for each partition.
+    return dealt.withColumn("part", part).join(F.broadcast(before), "part").select("feature", "value", (F.col("first") + at).alias("index"))
+
+
+def one_hot_vector(df: DataFrame, index: DataFrame, columns: Sequence[str], id_col: str, output: str = "flags") -> DataFrame:
+    """Add ``output``: a sparse vector with a 1 for the category of each column; values that ``index`` lacks set none.
+
+    Rows go long, one for each column, meet the dictionary by (feature, value), and come together again by ``id_col``, which must be unique.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    size = index.count()
+    entries = F.array(*[F.struct(F.lit(c).alias("feature"), _category(c, types[c]).alias("value")) for c in columns])
+    long = df.select(F.col(id_col).alias("__id"), F.inline(entries))
+    places = long.join(index, ["feature", "value"]).groupBy("__id").agg(F.sort_array(F.collect_list("index")).alias("__at"))  # one for each column at most
+    joined = df.join(places, F.col(id_col).eqNullSafe(F.col("__id")), "left").drop("__id")
+
+    @F.udf(VectorUDT())
+    def sparse(at):
+        return Vectors.sparse(size, at or [], [1.0] * len(at or []))
+
+    return joined.withColumn(output, sparse("__at")).drop("__at")
 
 
 # -- schema ----------------------------------------------------------------------------------------------------

@@ -1,9 +1,9 @@
-"""Running totals and exact quantiles that never put one feature, or one group, into one task.
+"""Running totals that never put one feature, or one group, into one task.
 
 A plain cumulative window sorts its whole partition in a single task. Here a value axis is first cut into ranges of similar row
 count; every range is summed up on its own, the range totals (a handful of rows) are accumulated, and each range adds the total of
-the ranges before it. Cut points and quantiles come from counts per bin of values, which every task combines before the shuffle: no
-sketch, no list of values, and one path for inputs of any size. Only the balance of the tasks depends on the cut points.
+the ranges before it. Cut points come from counts per bin of values, which every task combines before the shuffle: no sketch, no list of
+values, and one path for inputs of any size. Only the balance of the tasks depends on the cut points.
 """
 
 from __future__ import annotations
@@ -38,13 +38,12 @@ def _bin(x: Column, low: float, high: float, bins: int = BINS) -> Column:
 
 @dataclass(frozen=True)
 class _Band:
-    """An interval of values of one column, with the number of rows below and inside."""
+    """An interval of values of one column, with the number of rows inside."""
 
     feature: str
     low: float
     high: float
     inside: int
-    below: int = 0
 
     def inside_value(self) -> Column:
         x = as_double(self.feature)
@@ -151,75 +150,3 @@ def running_sums(counted: DataFrame, keys: Sequence[str], order: str, sums: Sequ
     return local.join(offsets, [*keys, RANGE]).select(
         *counted.columns, *[(F.col(f"loc_{s}") + F.col(f"off_{s}")).alias(f"cum_{s}") for s in sums]
     )
-
-
-# Values of one band are counted and ranked in one window up to this many rows; a wider band is narrowed first.
-BAND_ROWS = 500_000
-
-
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """Linear-interpolated quantiles, exact at any size: rows ``(feature, q, value)``.
-
-    A quantile lies between the values of two ranks. Each rank starts from the range of its column. While the band of values that
-    holds it has many rows, a pass counts the rows per bin, and the band shrinks to the rank's bin; then the values inside are
-    counted and ranked.
-    """
-    wanted = {}
-    for b in _extents(df, columns):
-        for q in map(float, probs):
-            wanted[b.feature, q] = (b, q * (b.inside - 1) if b.inside else None)
-    pending = {(b.feature, rank): b for b, at in wanted.values() if at is not None for rank in (math.floor(at), math.ceil(at))}
-    values: dict[tuple[str, int], float] = {}
-    while pending:
-        ready = {k: b for k, b in pending.items() if b.inside <= BAND_ROWS or b.low >= b.high}
-        if ready:
-            values |= _rank_bands(df, ready)
-        pending = _narrow(df, {k: b for k, b in pending.items() if k not in ready})
-    rows = []
-    for (feature, q), (_, at) in wanted.items():
-        if at is None:
-            rows.append((feature, q, None))
-        else:
-            share = at - math.floor(at)
-            rows.append((feature, q, (1 - share) * values[feature, math.floor(at)] + share * values[feature, math.ceil(at)]))
-    return df.sparkSession.createDataFrame(rows, "feature string, q double, value double")
-
-
-def _narrow(df: DataFrame, pending: dict[tuple[str, int], _Band]) -> dict[tuple[str, int], _Band]:
-    """Each band cut down to the bin of its rank. The smallest and the largest value have bins of their own, so it shrinks."""
-    if not pending:
-        return {}
-    bands = list(dict.fromkeys(pending.values()))  # the ranks of a column start from one band
-    found = _histograms(df, bands)
-    result = {}
-    for (feature, rank), b in pending.items():
-        below = b.below
-        for n, low, high in found[bands.index(b)]:
-            if rank < below + n:
-                result[feature, rank] = _Band(feature, low, high, n, below)
-                break
-            below += n
-    return result
-
-
-def _rank_bands(df: DataFrame, ready: dict[tuple[str, int], _Band]) -> dict[tuple[str, int], float]:
-    bands = list(dict.fromkeys(ready.values()))
-    entries = F.array(*[
-        F.struct(F.lit(i).alias("band"), b.inside_value().alias("value")) for i, b in enumerate(bands)
-    ])
-    counted = (
-        df.select(F.inline(entries)).where(F.col("value").isNotNull())
-        .groupBy("band", "value").agg(F.count(F.lit(1)).alias("n"))
-    )
-    ranked = running_sums(counted, ["band"], "value", ["n"], ranged=False)
-    hit = F.lit(False)
-    for (_, rank), b in ready.items():
-        at = rank - b.below
-        hit = hit | ((F.col("band") == bands.index(b)) & (F.col("cum_n") > at) & (F.col("cum_n") - F.col("n") <= at))
-    found: dict[int, list] = {}
-    for row in ranked.where(hit).select("band", "cum_n", "value").collect():  # a row for each rank at most
-        found.setdefault(row["band"], []).append((row["cum_n"], row["value"]))
-    return {
-        (feature, rank): next(v for last, v in sorted(found[bands.index(b)]) if last > rank - b.below)
-        for (feature, rank), b in ready.items()
-    }

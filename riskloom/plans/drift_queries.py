@@ -91,7 +91,7 @@ def _(spark, sf):
     step = F.round(F.col("ks_statistic") * 500) / 500
     return ks.select(
         "feature", F.round(equal_sizes(step, F.lit(500)), 6).alias("p_closed"),
-        F.round(ks_pvalue(step, F.lit(500), F.lit(500)), 6).alias("p_paths"),
+        F.round(ks_pvalue(step, F.lit(500), F.lit(500), "exact"), 6).alias("p_paths"),
     )
 
 

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from riskloom.functions.shape import melt
 from riskloom.operators import features, learn, prepare
 from riskloom.plans.fixtures import TX_SQL, identity, scored, table, tx
+from riskloom.plans.data_queries import wide_names
 from riskloom.plans.registry import query
+from riskloom.session import cut_lineage
 from riskloom.sources import requests, tables
-from riskloom.plans.data_queries import wide_names
 
 MEDIANS = ("v1", "v2", "v3", "v4", "v5", "c1", "d1", "d15", "addr1", "addr2")
 
@@ -182,6 +183,23 @@ def _(spark, sf):
     return prepare.one_hot(df, fitted).drop("dt")
 
 
+@query("one_hot_vector", TX_SQL + """
+, cats as (select distinct 0 as place, card1::bigint::varchar as value from train union select distinct 1, productcd from train),
+idx as (select *, row_number() over (order by place, value) - 1 as i from cats),
+long as (select tid, 0 as place, card1::bigint::varchar as value from tx union all select tid, 1, productcd from tx)
+select tid, coalesce(string_agg(i::varchar, ',' order by i), '') as at, (select count(*) from idx) as size
+from long left join idx using (place, value) group by tid""")
+def _(spark, sf):
+    """Customers and priorities as one sparse vector; customers that the training period lacks set nothing."""
+    df = tx(spark, sf, "tid", "dt", "card1", "productcd")
+    train, _ = prepare.temporal_split(df, "dt")
+    index = cut_lineage(prepare.one_hot_index(train, ["card1", "productcd"]), "index")
+    flags = F.col("flags")
+    told = F.udf(lambda v: [",".join(map(str, v.indices.tolist())), str(v.size)], "array<string>")
+    out = prepare.one_hot_vector(df, index, ["card1", "productcd"], "tid").select("tid", told(flags).alias("v"))
+    return out.select("tid", F.get("v", F.lit(0)).alias("at"), F.get("v", F.lit(1)).cast("bigint").alias("size"))
+
+
 @query("one_hot_documents", """
 select doc_id, (lang = 'de')::int as lang_de, (lang = 'en')::int as lang_en, (lang = 'es')::int as lang_es,
        (lang = 'fr')::int as lang_fr, quality, toxic

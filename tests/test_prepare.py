@@ -210,3 +210,25 @@ def test_one_hot_keeps_clashing_names_apart(spark):
     assert [sum(r.values()) for r in rows] == [1] * 4 and len({tuple(r.values()) for r in rows}) == 4
     many = spark.range(3000).select(F.col("id").cast("string").alias("k"))
     assert P.one_hot_fit(many, ["k"]).count() == 3000
+
+
+def test_one_hot_names_are_unique(spark):
+    rows = [("a.b", "x"), ("a_b", "y"), ("a_b__2", "z")]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "k string, m string, K_A_B int")
+    out = P.one_hot(df, P.one_hot_fit(df, ["k"]))
+    assert out.columns == ["m", "K_A_B", "k_a_b__2", "k_a_b__3", "k_a_b__2__2"] and len(out.collect()) == 3
+    both = spark.createDataFrame([("a_b", "b", 1)], "k string, k_a string, id int")
+    assert P.one_hot(both, P.one_hot_fit(both, ["k", "k_a"])).columns == ["id", "k_a_b", "k_a_b__2"]
+
+
+def test_one_hot_vector_of_a_wide_column(spark):
+    df = spark.range(100_000).select("id", F.concat(F.lit("v"), "id").alias("wide"), F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("few"))
+    index = P.one_hot_index(df, ["few", "wide"]).cache()
+    rows = index.orderBy("index").collect()
+    assert [r["index"] for r in rows] == list(range(100_003))
+    assert [(r["feature"], r["value"]) for r in rows] == [("few", v) for v in ("1", "2", "unknown")] + [("wide", v) for v in sorted(f"v{i}" for i in range(100_000))]
+    place = {(r["feature"], r["value"]): r["index"] for r in rows}
+    some = spark.createDataFrame([(5, "v7", 1), (6, "new", None), (7, "v99999", 9), (None, "v1", 2)], "id long, wide string, few long")
+    out = {r["id"]: (r["flags"].size, r["flags"].indices.tolist()) for r in P.one_hot_vector(some, index, ["few", "wide"], "id").collect()}
+    assert out == {5: (100_003, sorted([place["few", "1"], place["wide", "v7"]])), 6: (100_003, [place["few", "unknown"]]),
+                   7: (100_003, [place["wide", "v99999"]]), None: (100_003, sorted([place["few", "2"], place["wide", "v1"]]))}

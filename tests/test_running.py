@@ -1,9 +1,10 @@
-"""The range-split and banded paths give what the small-input paths give."""
+"""Ranges and digits of any size give what plain aggregates give."""
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from riskloom.operators import digits as Q
 from riskloom.operators import drift as D
 from riskloom.operators import metrics as M
 from riskloom.operators import running as R
@@ -22,13 +23,14 @@ def rows(spark):
     return spark.createDataFrame(data, "value double, score double, y int, is_current int, grp int").repartition(5).cache()
 
 
-@pytest.mark.parametrize("band_rows,bins", [(10, 4), (10, 1024), (500_000, 1024)])
-def test_quantiles_equal_percentile(rows, band_rows, bins, monkeypatch):
-    monkeypatch.setattr(R, "BAND_ROWS", band_rows)
-    monkeypatch.setattr(R._bin, "__defaults__", (bins,))
+@pytest.mark.parametrize("band_rows,digit,gathered", [(10, 11, 1 << 18), (10, 16, 50), (500_000, 16, 1 << 18), (3000, 5, 1 << 18)])
+def test_quantiles_equal_percentile(rows, band_rows, digit, gathered, monkeypatch):
+    monkeypatch.setattr(Q, "BAND_ROWS", band_rows)
+    monkeypatch.setattr(Q, "DIGIT", digit)
+    monkeypatch.setattr(Q, "GATHERED", gathered)
     probs = [0.0, 0.05, 0.25, 0.5, 0.8, 0.95, 1.0]
     wide = rows.agg(*[F.percentile(c, probs).alias(c) for c in ("value", "score")]).first()
-    got = {(r["feature"], r["q"]): r["value"] for r in R.exact_quantiles(rows, ["value", "score"], probs).collect()}
+    got = {(r["feature"], r["q"]): r["value"] for r in Q.exact_quantiles(rows, ["value", "score"], probs).collect()}
     assert len(got) == 14
     for i, q in enumerate(probs):
         for c in ("value", "score"):
@@ -36,16 +38,16 @@ def test_quantiles_equal_percentile(rows, band_rows, bins, monkeypatch):
 
 
 def test_quantiles_of_extreme_values(spark, monkeypatch):
-    monkeypatch.setattr(R, "BAND_ROWS", 1)
+    monkeypatch.setattr(Q, "BAND_ROWS", 1)
     values = [-1e300, -5e-324, 0.0, 5e-324, 1.0, 1.0 + 2**-52, 1.7e9, 1.7e9 + 1, 1e308, 1e308]
     df = spark.createDataFrame([(v,) for v in values], "a double")
-    got = {r["q"]: r["value"] for r in R.exact_quantiles(df, ["a"], [i / 9 for i in range(10)]).collect()}
+    got = {r["q"]: r["value"] for r in Q.exact_quantiles(df, ["a"], [i / 9 for i in range(10)]).collect()}
     assert [got[i / 9] for i in range(10)] == values
 
 
 def test_quantiles_of_empty_and_single(spark):
     df = spark.createDataFrame([(None, 4.0)], "a double, b double")
-    got = {r["feature"]: r["value"] for r in R.exact_quantiles(df, ["a", "b"], [0.5]).collect()}
+    got = {r["feature"]: r["value"] for r in Q.exact_quantiles(df, ["a", "b"], [0.5]).collect()}
     assert got == {"a": None, "b": 4.0}
 
 
@@ -72,22 +74,50 @@ def test_curves_do_not_depend_on_ranges(rows):
         assert np.allclose(a, b)
 
 
-def test_ks_does_not_depend_on_ranges(rows):
-    columns = ["value", "score"]
-    cuts = R.range_cuts(rows, columns, rows_per_range=700)
-    get = lambda c: sorted(map(tuple, D.ks_between(rows, columns, cuts=c).collect()))
-    one, many = get({c: [] for c in columns}), get(cuts)
-    for a, b in zip(one, many):
-        assert a[0] == b[0] and np.allclose(a[1:], b[1:])
-
-
-def test_ks_against_numpy(rows):
+@pytest.mark.parametrize("band_rows,digit", [(1, 4), (1, 16), (100, 11), (500_000, 16)])
+def test_ks_against_numpy(rows, band_rows, digit, monkeypatch):
+    monkeypatch.setattr(Q, "FINER_ROWS", band_rows)
+    monkeypatch.setattr(Q, "DIGIT", digit)
     pdf = rows.toPandas()
-    a, b = (np.sort(pdf.loc[pdf.is_current == s, "value"].to_numpy()) for s in (0, 1))
-    at = np.concatenate([a, b])
-    want = np.abs(np.searchsorted(a, at, "right") / len(a) - np.searchsorted(b, at, "right") / len(b)).max()
-    got = D.ks_between(rows, ["value"]).first()["ks_statistic"]
-    assert got == pytest.approx(want, abs=1e-12)
+    got = {r["feature"]: r for r in D.ks_between(rows, ["value", "score", "grp"]).collect()}
+    assert len(got) == 3
+    for c, r in got.items():
+        a, b = (np.sort(pdf.loc[pdf.is_current == s, c].to_numpy()) for s in (0, 1))
+        at = np.concatenate([a, b])
+        want = np.abs(np.searchsorted(a, at, "right") / len(a) - np.searchsorted(b, at, "right") / len(b)).max()
+        assert r["ks_statistic"] == pytest.approx(want, abs=1e-12)
+        assert (r["n_ref"], r["n_cur"]) == (len(a), len(b)) and r["ref_mean"] == pytest.approx(a.mean()) and r["cur_mean"] == pytest.approx(b.mean())
+
+
+def test_ks_counts_far_fewer_than_it_reads(spark, monkeypatch):
+    """Counters that leave the tasks, over all passes, for distinct values on both sides."""
+    monkeypatch.setattr(Q, "FINER_ROWS", 1000)
+    n = 40_000
+    df = spark.range(n).select(*[(F.rand(s) * 1000 + F.when(F.col("id") % 2 == 0, s * 40.0).otherwise(0.0)).alias(f"x{s}") for s in (1, 2, 3)], (F.col("id") % 2).cast("int").alias("f"))
+    df = df.cache()
+    passes = []
+    real = Q.count_digits
+
+    def counted(*args, **kwargs):
+        out = real(*args, **kwargs).cache()
+        passes.append(out)
+        return out
+
+    monkeypatch.setattr(Q, "count_digits", counted)
+    got = {r["feature"]: r["ks_statistic"] for r in D.ks_between(df, ["x1", "x2", "x3"], "f").collect()}
+    assert sum(p.count() for p in passes) < 3 * n / 10 and len(passes) > 1
+    pdf = df.toPandas()
+    for c, d in got.items():
+        a, b = (np.sort(pdf.loc[pdf.f == s, c].to_numpy()) for s in (0, 1))
+        at = np.concatenate([a, b])
+        assert d == pytest.approx(np.abs(np.searchsorted(a, at, "right") / len(a) - np.searchsorted(b, at, "right") / len(b)).max(), abs=1e-12)
+
+
+def test_keys_keep_the_order():
+    x = np.array([-np.inf, -1e300, -1.5, -5e-324, -0.0, 0.0, 5e-324, 1.0, 1.0 + 2**-52, 1e308, np.inf])
+    keys = Q.keys_of(x)
+    assert (np.diff(keys.astype(object)) >= 0).all() and len(set(keys.tolist())) == 10
+    assert [Q.value_of(int(k)) for k in keys] == x.tolist()
 
 
 def test_auc_against_ranks(rows):
