@@ -102,11 +102,40 @@ def ks_saved(path: str, current: DataFrame, min_n: int = 1) -> DataFrame:
     return _ks_of_counts(counted, list(cuts), any(cuts.values()), max(1, min_n))
 
 
-def feature_scores(ks: DataFrame, alpha: float = 0.05, method: str = "asymptotic") -> DataFrame:
-    """P-value and verdict per feature."""
+def ks_windows(path: str, counts: DataFrame, by: Sequence[str], min_n: int = 1) -> DataFrame:
+    """As :func:`ks_saved` for many samples at once: ``counts`` has ``(*by, feature, value, n)``, feature being the column's position.
+
+    The reference is ranked once for all samples, at its own values and theirs. Between two values of a sample only the reference rises, so
+    the distance is largest at a value of the sample or just before it.
+    """
+    spark, by = counts.sparkSession, list(by)
+    ranges = spark.read.parquet(f"{path}/ranges").orderBy("position").collect()  # one row for each column
+    cuts = F.get(F.array(*[F.array(*map(F.lit, r["cuts"])).cast("array<double>") for r in ranges]), F.col("feature"))
+    ranged = any(r["cuts"] for r in ranges)
+    cur = counts.withColumn(RANGE, F.size(F.filter(cuts, lambda c: c <= F.col("value"))))
+    keys = ["feature", RANGE, "value"]
+    saved = spark.read.parquet(f"{path}/counts").select(*keys, F.col("n").alias("ref"))
+    points = saved.unionByName(cur.select(*keys, F.lit(0).cast("bigint").alias("ref"))).groupBy(*keys).agg(F.sum("ref").alias("ref"))
+    below = running_sums(points, ["feature"], "value", ["ref"], ranged)
+    own = running_sums(cur, [*by, "feature"], "value", ["n"], ranged)
+    totals = saved.groupBy("feature").agg(F.sum("ref").alias("n_ref"), F.sum(F.col("value") * F.col("ref")).alias("sum_ref"))
+    sums = cur.groupBy(*by, "feature").agg(F.sum("n").alias("n_cur"), F.sum(F.col("value") * F.col("n")).alias("sum_cur"))
+    # One row per feature, and one per sample and feature.
+    sums = sums.join(F.broadcast(totals), "feature").where((F.col("n_ref") >= min_n) & (F.col("n_cur") >= min_n))
+    gap = lambda a, b: F.abs(ratio(a, F.col("n_ref")) - ratio(b, F.col("n_cur")))
+    widest = F.greatest(gap(F.col("cum_ref"), F.col("cum_n")), gap(F.col("cum_ref") - F.col("ref"), F.col("cum_n") - F.col("n")))
+    met = own.join(below, keys).join(sums, [*by, "feature"]).groupBy(*by, "feature").agg(
+        F.max(widest).alias("ks_statistic"), *[F.first(c).alias(c) for c in ("n_ref", "n_cur", "sum_ref", "sum_cur")])
+    name = F.get(F.array(*[F.lit(r["feature"]) for r in ranges]), F.col("feature"))
+    return met.select(*by, name.alias("feature"), "ks_statistic", "n_ref", "n_cur", ratio(F.col("sum_ref"), F.col("n_ref")).alias("ref_mean"),
+                      ratio(F.col("sum_cur"), F.col("n_cur")).alias("cur_mean"))
+
+
+def feature_scores(ks: DataFrame, alpha: float = 0.05, method: str = "asymptotic", by: Sequence[str] = ()) -> DataFrame:
+    """P-value and verdict per feature, and per sample where ``by`` tells them apart."""
     scored = ks.withColumn("p_value", ks_pvalue(F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur"), method))
     return scored.select(
-        "feature", F.round("ks_statistic", 4).alias("ks_statistic"), F.round("p_value", 6).alias("p_value"),
+        *by, "feature", F.round("ks_statistic", 4).alias("ks_statistic"), F.round("p_value", 6).alias("p_value"),
         (F.col("p_value") < alpha).alias("drifted"), F.round("ref_mean", 4).alias("ref_mean"),
         F.round("cur_mean", 4).alias("curr_mean"),
     )

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.shape import ratio
+from riskloom.session import cut_lineage
 
 # Upper bucket edges in seconds and in probability, and the alert rules
 # (name, metric, comparison, threshold, hold in seconds, severity, category).
@@ -197,22 +198,41 @@ def alert_groups(alerts: DataFrame, time_col: str, keys: Sequence[str] = ("alert
     """``(*keys, slot, notified_at, n_alerts)``: one notification for the alerts of a group within ``repeat`` seconds.
 
     The interval starts at the notification, and the next one is due at the first alert after it has run out; ``slot`` counts them
-    from 0. Times are counted first, so a group is folded over its different times only.
+    from 0. From every time there is a pointer to the first one ``repeat`` or more later. The notifications are what is reached from a
+    group's first time; pointers are doubled, so their number of rounds is the logarithm of the longest group. Nothing is sorted by more
+    than a stretch of ``repeat`` seconds.
     """
-    times = alerts.where(F.col(time_col).isNotNull()).groupBy(*keys, F.col(time_col).alias("t")).agg(F.count(F.lit(1)).alias("n"))
-    group = times.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("t", "n"))).alias("alerts"))
-    fresh = lambda x: F.array(F.struct(x["t"].alias("notified_at"), x["n"].alias("n_alerts")))
-
-    def fold(told: Column, x: Column) -> Column:
-        last = F.element_at(told, -1)
-        joined = F.struct(last["notified_at"].alias("notified_at"), (last["n_alerts"] + x["n"]).alias("n_alerts"))
-        older = F.slice(told, F.lit(1), F.greatest(F.size(told) - 1, F.lit(0)))
-        return F.when(F.size(told) == 0, fresh(x)).when(x["t"] - last["notified_at"] >= repeat, F.concat(told, fresh(x))).otherwise(
-            F.concat(older, F.array(joined)))
-
-    start = F.array().cast(f"array<struct<notified_at:{times.schema['t'].dataType.simpleString()},n_alerts:bigint>>")
-    told = group.select(*keys, F.posexplode(F.aggregate("alerts", start, fold)).alias("slot", "told"))
-    return told.select(*keys, F.col("slot").cast("bigint").alias("slot"), "told.notified_at", "told.n_alerts")
+    at = F.col(time_col).cast("bigint") if dict(alerts.dtypes)[time_col] in ("int", "smallint", "tinyint") else F.col(time_col)
+    group = F.struct(*[F.col(k).alias(k) for k in keys]).alias("k")
+    span = lambda t: F.floor(t / repeat)
+    times = cut_lineage(alerts.where(F.col(time_col).isNotNull()).groupBy(group, at.alias("t")).agg(F.count(F.lit(1)).alias("n")), "times")
+    # The first time at or after t + repeat lies in that moment's span, or is the first one of the next span that has any.
+    asked = times.select("k", "t", (F.col("t") + repeat).alias("at"), F.lit(True).alias("asks"))
+    known = times.select("k", "t", F.col("t").alias("at"), F.lit(False).alias("asks"))
+    later = Window.partitionBy("k", "s").orderBy(F.desc("at"), "asks").rowsBetween(Window.unboundedPreceding, 0)
+    both = asked.unionByName(known).withColumn("s", span(F.col("at"))).withColumn("same", F.min(F.when(~F.col("asks"), F.col("at"))).over(later))
+    firsts = times.groupBy("k", span(F.col("t")).alias("s")).agg(F.min("t").alias("first"))
+    probes = both.where("asks").select("k", "s").distinct().withColumn("first", F.lit(None).cast(times.schema["t"].dataType))
+    spans = firsts.unionByName(probes).groupBy("k", "s").agg(F.min("first").alias("first"))
+    after = Window.partitionBy("k").orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.select("k", "s", F.min("first").over(after).alias("beyond"))
+    pointers = both.where("asks").join(spans, ["k", "s"]).select("k", "t", F.coalesce("same", "beyond").alias("next")).where("next is not null")
+    pointers = cut_lineage(pointers, "pointers")
+    told = cut_lineage(times.groupBy("k").agg(F.min("t").alias("t")).withColumn("slot", F.lit(0).cast("bigint")), "told")
+    step = 1
+    while True:
+        more = cut_lineage(told.join(pointers, ["k", "t"]).select("k", F.col("next").alias("t"), (F.col("slot") + step).alias("slot")), "told")
+        if more.isEmpty():
+            break
+        told = cut_lineage(told.unionByName(more), "told")
+        far = pointers.select("k", F.col("t").alias("next"), F.col("next").alias("far"))
+        pointers = cut_lineage(pointers.join(far, ["k", "next"]).select("k", "t", F.col("far").alias("next")), "pointers")
+        step *= 2
+    # A notification's alerts lie in its own span and the next one.
+    wide = told.withColumnRenamed("t", "notified_at").withColumn("s", F.explode(F.array(span(F.col("notified_at")), span(F.col("notified_at")) + 1)))
+    own = wide.join(times.withColumn("s", span(F.col("t"))), ["k", "s"]).where((F.col("t") >= F.col("notified_at")) & (F.col("t") < F.col("notified_at") + repeat))
+    return own.groupBy("k", "slot", "notified_at").agg(F.sum("n").alias("n_alerts")).select(
+        *[F.col("k")[c].alias(c) for c in keys], "slot", "notified_at", "n_alerts")
 
 
 def retrain_events(alerts: DataFrame, mapping: dict[str, str] = RETRAIN_EVENTS) -> DataFrame:

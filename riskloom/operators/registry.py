@@ -10,18 +10,12 @@ REGISTRY_FIELDS = "version bigint, model string, path string, fraud_recall doubl
 
 
 def deploy_gate(metrics: DataFrame, min_recall: float = RECALL_GATE) -> DataFrame:
-    """``deployed`` where recall reaches the gate, ``rejected`` elsewhere, with the reason."""
-    passes = F.coalesce(F.col("fraud_recall"), F.lit(0.0)) >= min_recall
-    recall = F.coalesce(F.col("fraud_recall"), F.lit(0.0))
-    good = F.format_string(f"Model deployed: recall %.4f meets threshold {min_recall:.2f}", recall)
-    poor = F.format_string(
-        f"Recall %.4f is below the required {min_recall:.2f} threshold. Model rejected to maintain production quality.",
-        recall,
-    )
+    """``deployed`` where recall reaches the gate, ``rejected`` elsewhere; ``message`` is a code for why, beside the numbers."""
+    recall = F.col("fraud_recall")
+    passes = F.coalesce(recall, F.lit(0.0)) >= min_recall
+    code = F.when(recall.isNull(), "no_recall").when(passes, "recall_reached").otherwise("recall_too_low")
     return metrics.select(
-        "*", F.when(passes, "deployed").otherwise("rejected").alias("status"), F.lit(min_recall).alias("recall_threshold"),
-        F.when(passes, good).otherwise(poor).alias("message"),
-    )
+        "*", F.when(passes, "deployed").otherwise("rejected").alias("status"), F.lit(min_recall).alias("recall_threshold"), code.alias("message"))
 
 
 def registry_state(registry: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
@@ -29,7 +23,8 @@ def registry_state(registry: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame
 
     A registry has one row per decision, so ranking it in one window is fine.
     """
-    order = Window.partitionBy(*keys, F.col("status") == "deployed").orderBy(F.col("version").desc())
+    # Two decisions on one version: the better one counts, then the smaller path.
+    order = Window.partitionBy(*keys, F.col("status") == "deployed").orderBy(F.col("version").desc(), F.col("fraud_recall").desc(), "path")
     rank = F.row_number().over(order)
     state = F.when(F.col("status") != "deployed", "rejected").when(rank == 1, "champion").otherwise("archived")
     return registry.withColumn("state", state)

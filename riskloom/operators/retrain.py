@@ -17,27 +17,18 @@ STRATEGIES = ("threshold_only", "periodic_only", "hybrid")
 def retrain_policy(recall: Column, drift: Column, days: Column, name: str = "hybrid",
                    recall_threshold: float = RECALL_THRESHOLD, drift_threshold: float = DRIFT_THRESHOLD,
                    period_days: int = PERIOD_DAYS) -> Column:
-    """Struct ``(retrain, reasons, urgency)`` for one observation."""
+    """Struct ``(retrain, reasons, urgency)`` for one observation; reasons are codes: recall_low, drift_high, period_over."""
     low, drifted, due = recall < recall_threshold, drift > drift_threshold, days >= period_days
-    recall_text = lambda pattern: F.format_string(pattern, recall)
-    nothing = F.array().cast("array<string>")
+    codes = F.array(F.when(low, "recall_low"), F.when(drifted, "drift_high"), F.when(due, "period_over"))
     if name == "threshold_only":
-        reasons = F.array_compact(F.array(
-            F.when(low, F.format_string(f"recall %.4f < threshold {recall_threshold}", recall)),
-            F.when(drifted, F.format_string(f"drift %.4f > threshold {drift_threshold}", drift)),
-        ))
+        reasons = F.array_compact(F.slice(codes, 1, 2))
         urgency = F.when(low | drifted, "high").otherwise("none")
     elif name == "periodic_only":
-        text = F.format_string("periodic trigger: %d days since last retrain", days)
-        reasons = F.when(due, F.array(text)).otherwise(nothing)
+        reasons = F.array_compact(F.slice(codes, 3, 1))
         urgency = F.when(due, "scheduled").otherwise("none")
     else:
-        reasons = (
-            F.when(low, F.array(recall_text(f"recall drop: %.4f < {recall_threshold}")))
-            .when(drifted, F.array(F.format_string(f"drift exceeded: %.4f > {drift_threshold}", drift)))
-            .when(due, F.array(F.format_string("periodic: %dd since last retrain", days)))
-            .otherwise(nothing)
-        )
+        # The most urgent one alone.
+        reasons = F.slice(F.array_compact(codes), 1, 1)
         urgency = F.when(low, "high").when(drifted, "medium").when(due, "scheduled").otherwise("none")
     return F.struct((F.size(reasons) > 0).alias("retrain"), reasons.alias("reasons"), urgency.alias("urgency"))
 

@@ -238,9 +238,7 @@ def runs(spark, sf):
 @query("deploy_gate", RUNS_SQL + """
 select model, fraud_recall, case when fraud_recall >= 0.85 then 'deployed' else 'rejected' end as status,
        0.85::double as recall_threshold,
-       case when fraud_recall >= 0.85 then format('Model deployed: recall {:.4f} meets threshold 0.85', fraud_recall)
-       else format('Recall {:.4f} is below the required 0.85 threshold. Model rejected to maintain production quality.',
-                   fraud_recall) end as message
+       case when fraud_recall >= 0.85 then 'recall_reached' else 'recall_too_low' end as message
 from runs""")
 def _(spark, sf):
     out = registry.deploy_gate(runs(spark, sf))

@@ -41,18 +41,20 @@ def _(spark, sf):
 
 
 @query("live_recall_fpr", EVENTS_SQL + f"""
-select sec - sec % 86400 as window_start, count(*) filter (score >= 0.5 and status = '500') as tp,
-       count(*) filter (score >= 0.5 and status <> '500') as fp, count(*) filter (score < 0.5 and status = '500') as fn,
-       count(*) filter (score < 0.5 and status <> '500') as tn,
+, labelled as (select *, case when event_id % 7 <> 3 then status end as known from ev)
+select sec - sec % 86400 as window_start, count(*) filter (score >= 0.5 and known = '500') as tp,
+       count(*) filter (score >= 0.5 and known <> '500') as fp, count(*) filter (score < 0.5 and known = '500') as fn,
+       count(*) filter (score < 0.5 and known <> '500') as tn, count(*) filter (known is null) as unlabelled,
        round(tp / nullif(tp + fn, 0), 6) as recall, round(fp / nullif(fp + tn, 0), 6) as fpr
-from ev group by 1""")
+from labelled group by 1""")
 def _(spark, sf):
+    """One in seven events never gets a label."""
     events, close_scores = closed_events(spark, sf)
     closing_id = F.coalesce("event_id", F.lit(-1))
     scores = events.select(closing_id.alias("event_id"), F.col("ts").alias("scored_at"), F.col("score").alias("probability"))
     later = F.col("ts") + F.make_dt_interval(mins=(F.coalesce("event_id", F.lit(0)) % 50).cast("int"))
     events, close_labels = closed_events(spark, sf)
-    labels = events.select(
+    labels = events.where(F.col("event_id").isNull() | (F.col("event_id") % 7 != 3)).select(
         closing_id.alias("event_id"), later.alias("labelled_at"), (F.col("status") == "500").cast("int").alias("y")
     )
 
@@ -87,6 +89,22 @@ def _(spark, sf):
     return scores.drop("batch")
 
 
+@query("drift_window_stream", """
+with base as (select value / (value + 50.0::double) as score, user_id::double as user_id, ts,
+                     cast(floor(epoch_us(ts) / 1000000) as bigint) // 432000 * 432000 as w from events),
+cells as (select 'score' as f, score as value, w, ts from base union all select 'user_id', user_id, w, ts from base),
+long as (select f || ':' || w as feature, value, 1 as cur from cells
+  union all select c.f || ':' || x.w, c.value, 0 from cells c, (select distinct w from base) x where c.ts < timestamp '2024-01-11')
+""" + KS_TAIL_SQL + """
+select split_part(feature, ':', 1) as feature, split_part(feature, ':', 2)::bigint as window_start, ks_statistic, p_value, p_value < 0.05 as drifted,
+       ref_mean, curr_mean from scores""")
+def _(spark, sf):
+    """Five days at a time against the first ten days."""
+    reference = metric_events(spark, sf).where(F.col("ts") < F.lit("2024-01-11").cast("timestamp"))
+    events, close = closed_events(spark, sf)
+    return streams.window_drift_stream(events, "ts", "5 days", DELAY, reference, ["score", "user_id"], scratch(spark, "windows"), close=close)
+
+
 @query("alert_stream", HOURLY_SQL + f"""
 select 'error_ratio' as metric, active_since, active_since + {2 * HOUR} as fired_at from spans
 where last_true - active_since >= {2 * HOUR}""")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from riskloom.functions.shape import ratio
+from riskloom.functions.shape import as_double, ratio
 from riskloom.operators import drift, learn
 from riskloom.operators.metrics import recall
 from riskloom.session import STATE_STORE, work_dir
@@ -86,11 +86,14 @@ def run_available(stream: DataFrame, tag: str, partition_by: Sequence[str] = (),
     return spark.read.schema(stream.schema).parquet(f"{base}/data")
 
 
-def run_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], tag: str) -> None:
+def run_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], tag: str, close: Callable[[], None] | None = None) -> None:
+    """As :func:`run_available`, with a function of every micro-batch as the sink."""
     checkpoint = f"{work_dir(stream.sparkSession, tag)}/checkpoint"
-    stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(
-        availableNow=True
-    ).start().awaitTermination()
+    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    writer.start().awaitTermination()
+    if close is not None:
+        close()
+        writer.start().awaitTermination()
 
 
 # -- stateless and windowed ------------------------------------------------------------------------------------
@@ -116,7 +119,8 @@ def live_recall(scores: DataFrame, labels: DataFrame, id_col: str, window: str,
     """Recall and false-positive rate per window of scoring time, from labels that arrive up to ``label_delay`` later.
 
     ``scores`` has ``(id, scored_at, probability)``, ``labels`` has ``(id, labelled_at, y)``. Both sides carry a
-    watermark and the join is bounded in time, so neither side's state grows without limit.
+    watermark and the join is bounded in time, so neither side's state grows without limit. A score whose label has not come when the
+    watermark passes its time leaves the state as ``unlabelled`` and counts in no other cell.
     """
     left = scores.withWatermark("scored_at", label_delay).alias("s")
     right = labels.withColumnRenamed(id_col, "label_id").withWatermark("labelled_at", label_delay).alias("l")
@@ -124,14 +128,15 @@ def live_recall(scores: DataFrame, labels: DataFrame, id_col: str, window: str,
         right,
         (F.col(id_col) == F.col("label_id")) & (F.col("labelled_at") >= F.col("scored_at"))
         & (F.col("labelled_at") <= F.col("scored_at") + F.expr(f"interval {label_delay}")),
+        "left",
     )
     hit, real = F.col("probability") >= threshold, F.col("y") == 1
     cells = joined.groupBy(F.window("scored_at", window).alias("w")).agg(
         F.count_if(hit & real).alias("tp"), F.count_if(hit & ~real).alias("fp"),
-        F.count_if(~hit & real).alias("fn"), F.count_if(~hit & ~real).alias("tn"),
+        F.count_if(~hit & real).alias("fn"), F.count_if(~hit & ~real).alias("tn"), F.count_if(F.col("label_id").isNull()).alias("unlabelled"),
     )
     return cells.select(
-        F.unix_seconds("w.start").alias("window_start"), "tp", "fp", "fn", "tn",
+        F.unix_seconds("w.start").alias("window_start"), "tp", "fp", "fn", "tn", "unlabelled",
         recall(F.col("tp"), F.col("fn")).alias("recall"), ratio(F.col("fp"), F.col("fp") + F.col("tn")).alias("fpr"),
     )
 
@@ -153,6 +158,29 @@ def drift_stream(stream: DataFrame, reference: DataFrame, columns: Sequence[str]
     return stream.sparkSession.read.parquet(path)
 
 
+def window_drift_stream(stream: DataFrame, ts: str, window: str, delay: str, reference: DataFrame, columns: Sequence[str], path: str,
+                        method: str = "asymptotic", min_n: int = 1, close: Callable[[], None] | None = None) -> DataFrame:
+    """Scores of every event-time window against a fixed reference: ``window_start`` and the columns of the drift scores.
+
+    The state holds counts per (window, feature, value). A window is judged when the watermark has passed it, as a whole, so the rows
+    don't depend on how they came in files and micro-batches. A batch that is run again overwrites its own folder.
+    """
+    saved = work_dir(stream.sparkSession, "reference")
+    drift.save_reference(reference, columns, saved)
+    entries = F.array(*[F.struct(F.lit(i).alias("feature"), as_double(c).alias("value")) for i, c in enumerate(columns)])
+    # Missing values go behind the watermark, so that the closing row still moves it.
+    long = stream.withWatermark(ts, delay).select(ts, F.inline(entries)).where(F.col("value").isNotNull())
+    counts = long.groupBy(F.window(ts, window).alias("w"), "feature", "value").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.select(F.unix_seconds("w.start").alias("window_start"), "feature", "value", "n")
+
+    def check(batch: DataFrame, number: int) -> None:
+        ks = drift.ks_windows(saved, batch, ["window_start"], min_n)
+        drift.feature_scores(ks, method=method, by=["window_start"]).write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    run_batches(counts, check, "drift", close)
+    return stream.sparkSession.read.parquet(path).drop("batch")
+
+
 # -- arbitrary state -------------------------------------------------------------------------------------------
 
 

@@ -1,10 +1,12 @@
 """Rates, buckets, sustained conditions, silence, routing, retraining and streams."""
 
 import glob
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from riskloom.operators import drift as D
 from riskloom.operators import monitor as M
 from riskloom.operators import retrain as R
 from riskloom.streaming import streams as S
@@ -73,6 +75,22 @@ def test_one_notification_per_repeat_interval(spark):
     assert out == [(0, 2), (19_800, 2), (500_000, 2), (510_800, 1)]
 
 
+def test_notifications_equal_a_plain_loop(spark):
+    rng = random.Random(6)
+    rows = [(f"g{g}", rng.randrange(0, 4_000_000 if g else 300_000)) for g in range(6) for _ in range([800, 1, 5, 60, 300, 2][g])] + [("g1", None)]
+    rows += [("hot", 20 * i) for i in range(3000)] + [(None, 7)]
+    out = {(r["k"], r["slot"]): (r["notified_at"], r["n_alerts"]) for r in M.alert_groups(spark.createDataFrame(rows, "k string, t long"), "t", ["k"], 10_800).collect()}
+    want = {}
+    for g in {r[0] for r in rows}:
+        slot = -1
+        for t in sorted(t for k, t in rows if k == g and t is not None):
+            if slot < 0 or t - want[g, slot][0] >= 10_800:
+                slot += 1
+                want[g, slot] = t, 0
+            want[g, slot] = want[g, slot][0], want[g, slot][1] + 1
+    assert {k: v for k, v in out.items() if k[0] is not None} == {k: v for k, v in want.items() if k[0] is not None}
+
+
 def test_retrain_events_ignore_the_rest(spark):
     rows = [("FraudRecallDrop", "firing"), ("FeatureDriftDetected", None), ("HighErrorRate", "firing"), ("FraudRecallDrop", "resolved")]
     df = spark.createDataFrame(rows, "alertname string, status string")
@@ -81,14 +99,14 @@ def test_retrain_events_ignore_the_rest(spark):
 
 
 @pytest.mark.parametrize("name, recall, drift, days, want", [
-    ("hybrid", 0.79, 0.5, 9, (True, ["recall drop: 0.7900 < 0.8"], "high")),
-    ("hybrid", 0.80, 0.16, 9, (True, ["drift exceeded: 0.1600 > 0.15"], "medium")),
-    ("hybrid", 0.80, 0.15, 7, (True, ["periodic: 7d since last retrain"], "scheduled")),
+    ("hybrid", 0.79, 0.5, 9, (True, ["recall_low"], "high")),
+    ("hybrid", 0.80, 0.16, 9, (True, ["drift_high"], "medium")),
+    ("hybrid", 0.80, 0.15, 7, (True, ["period_over"], "scheduled")),
     ("hybrid", 0.80, 0.15, 6, (False, [], "none")),
-    ("threshold_only", 0.7, 0.2, 99, (True, ["recall 0.7000 < threshold 0.8", "drift 0.2000 > threshold 0.15"], "high")),
+    ("threshold_only", 0.7, 0.2, 99, (True, ["recall_low", "drift_high"], "high")),
     ("threshold_only", 0.9, 0.1, 99, (False, [], "none")),
     ("periodic_only", 0.1, 0.9, 6, (False, [], "none")),
-    ("periodic_only", 0.9, 0.0, 7, (True, ["periodic trigger: 7 days since last retrain"], "scheduled")),
+    ("periodic_only", 0.9, 0.0, 7, (True, ["period_over"], "scheduled")),
 ])
 def test_policy(spark, name, recall, drift, days, want):
     df = spark.createDataFrame([(recall, drift, days)], "r double, k double, d int")
@@ -160,6 +178,41 @@ def test_drift_stream_scores_every_batch(spark, tmp_path):
     assert sorted((r["ks_statistic"], r["drifted"]) for r in out.collect()) == [(0.0, False), (0.6, True)]
 
 
+@pytest.mark.parametrize("parts,per_trigger", [(1, 1), (10, 1), (10, 10)])
+def test_window_drift_does_not_depend_on_files(spark, tmp_path, parts, per_trigger):
+    rows = at(spark.range(0, 4000).select((F.col("id") * 10).alias("sec"), F.when(F.col("id") < 2000, F.col("id") % 97).otherwise(F.col("id") % 61).cast("double").alias("x"),
+                                          F.when(F.col("id") % 5 > 0, F.sqrt("id")).alias("y")))
+    ref = spark.range(700).select((F.col("id") % 80).cast("double").alias("x"), F.sqrt(F.col("id") * 3).alias("y"))
+    path = f"{tmp_path}/events.parquet"
+    rows.repartitionByRange(parts, "sec").write.parquet(path)
+    stream, close = S.closed_stream(S.table_stream(spark, path, rows.schema, per_trigger), "ts", "closing")
+    out = S.window_drift_stream(stream, "ts", "10000 seconds", "12 hours", ref, ["x", "y"], f"{tmp_path}/out", close=close)
+    got = {(r["window_start"], r["feature"]): tuple(r[c] for c in ("ks_statistic", "p_value", "ref_mean", "curr_mean")) for r in out.collect()}
+    want = {}
+    for w in range(4):
+        part = rows.where((F.col("sec") >= w * 10_000) & (F.col("sec") < (w + 1) * 10_000))
+        for r in D.feature_scores(D.ks_two_sample(ref, part, ["x", "y"])).collect():
+            want[w * 10_000, r["feature"]] = tuple(r[c] for c in ("ks_statistic", "p_value", "ref_mean", "curr_mean"))
+    assert got == want and len(got) == 8
+
+
+def test_scores_without_a_label_are_counted(spark, tmp_path):
+    scores = at(spark.range(0, 7200, 10).select(F.col("id").alias("sec"), F.col("id").alias("event_id"), (F.col("id") % 100 / 100).alias("probability")))
+    scores.select("event_id", "probability", "ts").repartitionByRange(3, "event_id").write.parquet(f"{tmp_path}/scores.parquet")
+    labels = scores.where("event_id % 30 <> 0").select("event_id", (F.col("event_id") % 7 == 0).cast("int").alias("y"), "ts")
+    labels.repartitionByRange(3, "event_id").write.parquet(f"{tmp_path}/labels.parquet")
+
+    def source(name, schema, time):
+        stream, close = S.closed_stream(S.table_stream(spark, f"{tmp_path}/{name}.parquet", schema, 1), "ts", name)
+        return stream.withColumn("event_id", F.coalesce("event_id", F.lit(-1))).withColumnRenamed("ts", time), close
+
+    left, close_left = source("scores", scores.select("event_id", "probability", "ts").schema, "scored_at")
+    right, close_right = source("labels", labels.schema, "labelled_at")
+    out = S.run_available(S.live_recall(left, right, "event_id", "1 hour", "10 minutes"), "recall", close=lambda: (close_left(), close_right()))
+    got = {r["window_start"]: (r["tp"] + r["fp"] + r["fn"] + r["tn"], r["unlabelled"]) for r in out.collect()}
+    assert got == {0: (240, 120), 3600: (240, 120)}
+
+
 @pytest.mark.parametrize("parts,per_trigger", [(1, 1), (6, 1), (6, 100)])
 def test_streams_are_complete_on_files_and_folders(spark, tmp_path, parts, per_trigger):
     rows = at(spark.range(0, 40_000, 37).select((F.col("id") + 5).alias("sec"), (F.col("id") % 3).alias("k")))
