@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 
 from riskloom.llm.texts import Shipped, in_chunks, map_documents, worker_cache
 
-#: Pre-tokens a worker remembers with their ids before it starts afresh.
+#: Pre-tokens a worker remembers with their ids, in each of two generations.
 MEMO = 200_000
 
 
@@ -128,23 +128,32 @@ def merge_bytes(piece: bytes, rank_of: dict[bytes, int]) -> list[int]:
 
 
 class Coder(dict):
-    """Pre-token -> its ids as little-endian 32-bit integers, filled on demand."""
+    """Pre-token -> its ids as little-endian 32-bit integers, filled on demand.
+
+    Two generations: when the young one is full it becomes the old one, and what is looked up moves back into the young one. So frequent
+    pre-tokens stay, and those that come once are gone after a generation.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.vocabulary = vocabulary
         self.rank_of = {t: i for i, t in enumerate(vocabulary.tokens)}
         self.split = regex.compile(vocabulary.pattern).findall
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        piece = word.encode()
-        i = self.vocabulary.whole.find(piece)
-        ids = [i] if self.vocabulary.tokens[i] == piece else merge_bytes(piece, self.rank_of)
-        self[word] = packed = struct.pack(f"<{len(ids)}I", *ids)
+        packed = self.old.get(word)
+        if packed is None:
+            piece = word.encode()
+            i = self.vocabulary.whole.find(piece)
+            ids = [i] if self.vocabulary.tokens[i] == piece else merge_bytes(piece, self.rank_of)
+            packed = struct.pack(f"<{len(ids)}I", *ids)
+        self[word] = packed
         return packed
 
     def encode(self, text: str) -> bytes:
         if len(self) > MEMO:
+            self.old = dict(self)
             self.clear()
         return b"".join(map(self.__getitem__, self.split(text)))
 
