@@ -360,7 +360,7 @@ def prepare(train: DataFrame, test: DataFrame, label: str = S.LABEL, key: str =
     if groups["one_hot"]:
         fitted["one_hot"] = one_hot_fit(train, groups["one_hot"])
         train, test = (one_hot(x, fitted["one_hot"]) for x in (train, test))
-    train = drop_columns(train, (key, time_col))
+    train = drop_columns(train, [c for c in (key, time_col) if c not in keep])
     test = align_schema(test, train.columns)
     if scaled:
         train = cut_lineage(train, "encoded")

@@ -40,7 +40,7 @@ def prepared(transactions: DataFrame, identity: DataFrame, cfg: StageConfig) ->
     # Written: the split, the validation cut, the medians and the maps each read it.
     joined = cut_lineage(tables.join_identity(tables.normalize_nulls(transactions), tables.normalize_nulls(identity)), "joined")
     train, test = prepare.temporal_split(joined, test_size=cfg.test_size)
-    train, test, fitted = prepare.prepare(learn.validation_tail(train), test, keep=(learn.VALIDATION,))
+    train, test, fitted = prepare.prepare(learn.validation_tail(train), test, keep=(learn.VALIDATION, S.KEY))
     return features.add_features(train), features.add_features(test), fitted
 
 
@@ -51,7 +51,7 @@ def balanced(train: DataFrame, names: list[str], cfg: StageConfig) -> DataFrame:
         return learn.class_weight(train, S.LABEL, ratio)
     # Validation rows stay as they are: only the rows trained on are resampled.
     fit_rows = train.where(~F.col(learn.VALIDATION)).select(
-        F.monotonically_increasing_id().alias("row"), F.array(*[F.col(c).cast("double") for c in names]).alias("vec"), S.LABEL
+        F.col(S.KEY).cast("bigint").alias("row"), F.array(*[F.col(c).cast("double") for c in names]).alias("vec"), S.LABEL
     )
     made = neighbours.smote(cut_lineage(fit_rows, "minority"), "vec", S.LABEL, "row")
     resampled = made.select(
@@ -87,7 +87,7 @@ def run_stages(transactions: DataFrame, identity: DataFrame, path: str, run: int
     train, test, fitted = prepared(transactions, identity, cfg)
     train = cut_lineage(train, "train")
     tables.FitTables.save(fitted, f"{path}/{run_id}/fitted")
-    candidates = [c for c in train.columns if c not in (S.LABEL, learn.VALIDATION)]
+    candidates = [c for c in train.columns if c not in (S.LABEL, S.KEY, learn.VALIDATION)]
     names = features.variance_filter(train, candidates)
     columns = [*names, S.LABEL]
     tables.write_dataset(

@@ -33,3 +33,5 @@ def test_all_stages_with_smote_and_forest(spark, tmp_path):
     assert written.where(F.col("C1").isNull()).count() == 0
     assert models.load_champion(spark, f"{tmp_path}/decisions") is not None
     assert spark.read.json(f"{tmp_path}/run-1/attribution").count() <= 4
+    about = models.model_info(spark, f"{tmp_path}/run-1/model")
+    assert about["kind"] == "rf_hybrid" and "TransactionAmt" in about["features"] and "TransactionID" not in about["features"]
