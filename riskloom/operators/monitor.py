@@ -7,6 +7,7 @@ handful of rows per series), and only the panes are spread over the windows they
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -235,6 +236,40 @@ def alert_groups(alerts: DataFrame, time_col: str, keys: Sequence[str] = ("alert
         *[F.col("k")[c].alias(c) for c in keys], "slot", "notified_at", "n_alerts")
 
 
+@dataclass(frozen=True)
+class Route:
+    """Where alerts with these values go; ``goes_on`` lets the routes behind it match as well."""
+
+    receiver: str
+    match: tuple[tuple[str, str], ...]
+    goes_on: bool = False
+
+
+# Fixed values.
+DEFAULT_RECEIVER = "default-receiver"
+ROUTES = (
+    Route("critical-receiver", (("severity", "critical"),), True),
+    Route("drift-receiver", (("severity", "warning"), ("alertname", "FeatureDriftDetected")), True),
+)
+
+
+def route_alerts(alerts: DataFrame, routes: Sequence[Route] = ROUTES, default: str = DEFAULT_RECEIVER) -> DataFrame:
+    """Alerts with their ``receiver``, one row for each: routes are tried in order up to the first match that doesn't go on.
+
+    What no route matches goes to the default. A missing value matches nothing.
+    """
+    open_, receivers = F.lit(True), []
+    for r in routes:
+        hit = open_
+        for column, value in r.match:
+            hit = hit & F.coalesce(F.col(column) == value, F.lit(False))
+        receivers.append(F.when(hit, F.lit(r.receiver)))
+        if not r.goes_on:
+            open_ = open_ & ~hit
+    found = F.array_compact(F.array(*receivers)) if receivers else F.array().cast("array<string>")
+    return alerts.withColumn("receiver", F.explode(F.when(F.size(found) > 0, found).otherwise(F.array(F.lit(default)))))
+
+
 def retrain_events(alerts: DataFrame, mapping: dict[str, str] = RETRAIN_EVENTS) -> DataFrame:
     """Firing alerts that ask for retraining, with the event they raise; all others are ignored."""
     event = F.lit(None).cast("string")

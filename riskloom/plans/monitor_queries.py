@@ -209,6 +209,15 @@ def _(spark, sf):
     return monitor.alert_groups(fired_alerts(spark, sf), "fired_at")
 
 
+@query("alert_routes", ALERTS_SQL + """
+select alertname, labels, fired_at, 'critical-receiver' as receiver from alerts where severity = 'critical'
+union all select alertname, labels, fired_at, 'drift-receiver' from alerts where severity = 'warning' and alertname = 'FeatureDriftDetected'
+union all select alertname, labels, fired_at, 'default-receiver' from alerts
+where severity <> 'critical' and not (severity = 'warning' and alertname = 'FeatureDriftDetected')""")
+def _(spark, sf):
+    return monitor.route_alerts(fired_alerts(spark, sf)).select("alertname", "labels", "fired_at", "receiver")
+
+
 @query("retrain_events", ALERTS_SQL + """
 select alertname, labels, fired_at, case when alertname = 'FraudRecallDrop' then 'model-performance-drop' else 'drift-detected' end
        as event_type from alerts where alertname in ('FraudRecallDrop', 'FeatureDriftDetected', 'SevereFeatureDrift')""")

@@ -91,6 +91,18 @@ def test_notifications_equal_a_plain_loop(spark):
     assert {k: v for k, v in out.items() if k[0] is not None} == {k: v for k, v in want.items() if k[0] is not None}
 
 
+def test_routes(spark):
+    rows = [("FraudRecallDrop", "critical"), ("FeatureDriftDetected", "warning"), ("HighAPILatency", "warning"), ("FeatureDriftDetected", "critical"), ("x", None)]
+    df = spark.createDataFrame(rows, "alertname string, severity string")
+    out = sorted((r["alertname"], r["severity"] or "", r["receiver"]) for r in M.route_alerts(df).collect())
+    assert out == [("FeatureDriftDetected", "critical", "critical-receiver"), ("FeatureDriftDetected", "warning", "drift-receiver"),
+                   ("FraudRecallDrop", "critical", "critical-receiver"), ("HighAPILatency", "warning", "default-receiver"), ("x", "", "default-receiver")]
+    both = (M.Route("a", (("severity", "critical"),), True), M.Route("b", (("alertname", "FeatureDriftDetected"),)), M.Route("c", ()))
+    out = sorted((r["alertname"], r["severity"] or "", r["receiver"]) for r in M.route_alerts(df, both).collect())
+    assert [o[2] for o in out] == ["a", "b", "b", "a", "c", "c", "c"]
+    assert {r["receiver"] for r in M.route_alerts(df, ()).collect()} == {"default-receiver"}
+
+
 def test_retrain_events_ignore_the_rest(spark):
     rows = [("FraudRecallDrop", "firing"), ("FeatureDriftDetected", None), ("HighErrorRate", "firing"), ("FraudRecallDrop", "resolved")]
     df = spark.createDataFrame(rows, "alertname string, status string")
