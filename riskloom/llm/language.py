@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.texts import Shipped, map_documents
+from riskloom.llm.texts import Shipped, drawn, map_documents
 
 #: Language families by ISO code. A language outside the table is a family of its own.
 FAMILIES = {
@@ -115,24 +115,26 @@ def _machines(languages: list[str]) -> list[tuple[str, dict[str, int]]]:
     return out + [(f"pair {a} {b}", {a: 1, b: -1}) for a, b in combinations(sorted(languages), 2) if family[a] == family[b]]
 
 
-def fit_language(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", per_language: int = 1200) -> LanguageModel:
-    """Train on about ``per_language`` rows of each language, drawn by a hash of the text (all, if there are fewer).
+def fit_language(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", per_language: int = 1200,
+                 id_col: str = "doc_id") -> LanguageModel:
+    """Train on about ``per_language`` rows of each language, drawn by a hash of id and text (all, if there are fewer).
 
-    Rows without language or text are left out. The bound is on training alone. No rows: a model that answers ``und``.
+    Rows without language or text are left out, and rows that repeat id and text count once. Copies with other ids are drawn each by
+    itself, so no group of them comes as a whole. The bound is on training alone. No rows: a model that answers ``und``.
     """
-    known = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    sizes = {r[0]: r[1] for r in known.groupBy(lang_col).count().collect()}  # one row for each language
+    known = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
+        F.col(id_col).alias("key"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    sizes = {r[0]: r[1] for r in known.groupBy("lang").count().collect()}  # one row for each language
     machines = _machines(list(sizes))
     if not machines:
         return LanguageModel(list(sizes), {})
-    place = F.pmod(F.xxhash64(text_col, F.lit("language")), F.lit(1_000_000))
-    limit = F.lit(0)
+    chosen = F.lit(False)
     for code, n in sizes.items():
-        limit = F.when(F.col(lang_col) == code, F.lit(int(min(1.0, per_language / n) * 1_000_000))).otherwise(limit)
+        chosen = F.when(F.col("lang") == code, drawn(per_language / n, "key", "text", F.lit("language"))).otherwise(chosen)
     roles = [(name, code, sign) for name, signs in machines for code, sign in signs.items()]
     pick = F.array(*[F.struct(F.lit(n).alias("machine"), F.lit(c).alias("code"), F.lit(s).alias("sign")) for n, c, s in roles])
-    rows = (known.filter(place < limit)
-            .select(F.col(lang_col).alias("own"), F.col(text_col).alias("text"), F.explode(pick).alias("role"))
+    rows = (known.filter(chosen).dropDuplicates(["key", "lang", "text"])
+            .select(F.col("lang").alias("own"), "text", F.explode(pick).alias("role"))
             .filter("role.code = own").select("role.machine", "role.sign", "text"))
 
     def train(part: pd.DataFrame) -> pd.DataFrame:

@@ -37,6 +37,60 @@ TEMPLATES = (
     ("bsd-notice", "redistribution and use in source and binary forms with or without modification are permitted provided that the "
      "following conditions are met"),
     ("rights-reserved", "<<optional>> copyright <<var:6>> <<end>> all rights reserved"),
+    ("mit-warranty", "the software is provided as is without warranty of any kind express or implied including but not limited to the "
+     "warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors or copyright "
+     "holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of "
+     "or in connection with the software or the use or other dealings in the software"),
+    ("isc-text", "permission to use copy modify and <<optional>> or <<end>> distribute this software for any purpose with or without fee "
+     "is hereby granted provided that the above copyright notice and this permission notice appear in all copies the software is "
+     "provided as is and <<var:8>> disclaims all warranties with regard to this software including all implied warranties of "
+     "merchantability and fitness in no event shall <<var:8>> be liable for any special direct indirect or consequential damages or any "
+     "damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action "
+     "arising out of or in connection with the use or performance of this software"),
+    ("bsd-2-text", "redistribution and use in source and binary forms with or without modification are permitted provided that the "
+     "following conditions are met <<var:1>> redistributions of source code must retain the above copyright notice this list of "
+     "conditions and the following disclaimer <<var:1>> redistributions in binary form must reproduce the above copyright notice this "
+     "list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"),
+    ("bsd-3-text", "redistribution and use in source and binary forms with or without modification are permitted provided that the "
+     "following conditions are met <<var:1>> redistributions of source code must retain the above copyright notice this list of "
+     "conditions and the following disclaimer <<var:1>> redistributions in binary form must reproduce the above copyright notice this "
+     "list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution "
+     "<<var:1>> neither the name of <<var:12>> nor the names of its contributors may be used to endorse or promote products derived "
+     "from this software without specific prior written permission"),
+    ("apache-2-header", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with "
+     "the license you may obtain a copy of the license at <<var:8>> unless required by applicable law or agreed to in writing software "
+     "distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or "
+     "implied see the license for the specific language governing permissions and limitations under the license"),
+    ("gpl-2-header", "you can redistribute it and or modify it under the terms of the gnu general public license as published by the "
+     "free software foundation either version 2 of the license or at your option any later version"),
+    ("gpl-3-header", "you can redistribute it and or modify it under the terms of the gnu general public license as published by the "
+     "free software foundation either version 3 of the license or at your option any later version"),
+    ("lgpl-2-header", "you can redistribute it and or modify it under the terms of the gnu <<optional>> library <<end>> <<optional>> "
+     "lesser <<end>> general public license as published by the free software foundation either version 2 1 of the license or at your "
+     "option any later version"),
+    ("lgpl-3-header", "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by "
+     "the free software foundation either version 3 of the license or at your option any later version"),
+    ("agpl-3-header", "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by "
+     "the free software foundation either version 3 of the license or at your option any later version"),
+    ("mpl-2-header", "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not "
+     "distributed with this file you can obtain one at"),
+    ("cc-by-4", "licensed under <<optional>> a <<end>> <<optional>> the <<end>> creative commons attribution 4 0 international license"),
+    ("cc-by-sa-4", "licensed under <<optional>> a <<end>> <<optional>> the <<end>> creative commons attribution sharealike 4 0 "
+     "international license"),
+    ("cc-by-nd-4", "licensed under <<optional>> a <<end>> <<optional>> the <<end>> creative commons attribution noderivatives 4 0 "
+     "international license"),
+    ("cc-by-nc-4", "licensed under <<optional>> a <<end>> <<optional>> the <<end>> creative commons attribution noncommercial "
+     "<<optional>> sharealike <<end>> <<optional>> noderivatives <<end>> 4 0 international license"),
+    ("cc0-1", "to the extent possible under law <<var:12>> waived all copyright and related or neighboring rights to"),
+    ("unlicense-text", "this is free and unencumbered software released into the public domain anyone is free to copy modify publish "
+     "use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non "
+     "commercial and by any means"),
+    ("zlib-text", "this software is provided as is without any express or implied warranty in no event will the authors be held liable "
+     "for any damages arising from the use of this software permission is granted to anyone to use this software for any purpose "
+     "including commercial applications and to alter it and redistribute it freely subject to the following restrictions"),
+    ("boost-text", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and "
+     "accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the "
+     "software and to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so"),
 )
 
 

@@ -22,6 +22,10 @@ from pyspark.sql.window import Window
 QUERY_ROWS, BASE_ROWS, CHUNK = 4096, 16384, 2048
 
 
+#: 127 * 127 * 1024 < 2^24.
+EXACT_DIMENSIONS = 1024
+
+
 def usable(vec: Column) -> Column:
     """Not null, no component null or not finite, and not zero."""
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
@@ -41,7 +45,11 @@ class Quantised:
 
     def bounds(self, base: "Quantised", own: slice, other: slice) -> tuple[np.ndarray, np.ndarray]:
         """Similarities of quantised vectors, and how far the true ones may be off."""
-        near = (self.rows[own] @ base.rows[other].T) * (self.scale[own][:, None] * base.scale[other][None, :])
+        # In single precision sums of whole numbers are exact for so many dimensions, so longer vectors are multiplied in slices.
+        near = np.zeros((len(self.rows[own]), len(base.rows[other])))
+        for lo in range(0, self.rows.shape[1], EXACT_DIMENSIONS):
+            near += self.rows[own, lo:lo + EXACT_DIMENSIONS] @ base.rows[other, lo:lo + EXACT_DIMENSIONS].T
+        near *= self.scale[own][:, None] * base.scale[other][None, :]
         off = self.error[own][:, None] + (1 + self.error[own])[:, None] * base.error[other][None, :] + 1e-9
         return near, off
 

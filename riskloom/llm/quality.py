@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.texts import MIX_A, MIX_B, Shipped, map_documents, worker_cache
+from riskloom.llm.texts import MIX_A, MIX_B, Shipped, drawn, map_documents, worker_cache
 
 BITS = 18
 ALPHA, BETA, L1, L2, EPOCHS = 0.3, 1.0, 1e-4, 1e-3, 4
@@ -122,12 +122,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     """
     known = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("key"), F.col(label_col).cast("int").alias("label"))
-    n = known.count()
-    limit = int(min(1.0, bound / max(1, n)) * 1_000_000)
-    drawn = (known.filter(F.pmod(F.xxhash64("key", F.lit("quality")), F.lit(1_000_000)) < limit)
-             .groupBy("key").agg(F.max("label").alias("label")))
+    share = bound / max(1, known.count())
+    chosen = known.filter(drawn(share, "key", F.lit("quality"))).groupBy("key").agg(F.max("label").alias("label"))
     # At most about `bound` rows of two numbers.
-    rows = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).join(F.broadcast(drawn), "key").select(
+    rows = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "key").dropDuplicates(["key", "text"]).select(
         "key", "label", "text", F.pmod(F.xxhash64("key", F.lit("shard")), F.lit(shards)).alias("shard"))
 
     def train(part: pd.DataFrame) -> pd.DataFrame:

@@ -10,7 +10,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskloom.session import work_dir
 
@@ -64,6 +65,11 @@ def write_once(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drawn(share: float, *columns: str | Column) -> Column:
+    """Whether a row is in a sample of this share, by a 64-bit hash: a sample of a few rows of any number of rows isn't empty."""
+    return F.lit(True) if share >= 1 else F.xxhash64(*columns) < F.lit(int(share * 2**64) - 2**63)
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit hashes."""
     h = h ^ (h >> np.uint64(29))
