@@ -24,6 +24,11 @@ QUERY_ROWS = 20_000
 MAX_PIVOTS = 1024
 SLACK = 1e-9  # relative room for rounding in the distance bounds
 
+#: Hashing: tables, buckets visited in each besides a point's own, mean rows of a bucket, and a slot's width in deviations of its projection.
+TABLES, PROBES, BUCKET_ROWS, WIDTH = 12, 24, 256, 1.5
+#: Bits by which a slot of that width splits normal projections.
+SLOT_BITS = math.log2(math.sqrt(2 * math.pi * math.e) / WIDTH)
+
 
 def _distances(queries: np.ndarray, points: np.ndarray) -> np.ndarray:
     """Plain differences, not the expanded square: no cancellation between close points."""
@@ -59,9 +64,10 @@ def _best(queries: pd.DataFrame, points: pd.DataFrame, k: int) -> pd.DataFrame:
 
 
 def nearest_neighbours(points: DataFrame, id_col: str, vector_col: str, k: int = 5, seed: int = 42,
-                       chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+                       chunk_rows: int = CHUNK_ROWS, method: str = "exact") -> DataFrame:
     """``(id, nbr, dist, rank)``: the k nearest other points by Euclidean distance, ranks from 1.
 
+    With ``method="lsh"``, the k nearest of those that share a probed bucket; distances are exact, and nobody has fewer than k.
     Equal points are searched as one, so copies cost no more than a single point: of a group of copies only the
     ``k + 1`` smallest ids can be anybody's neighbours.
     """
@@ -73,7 +79,9 @@ def nearest_neighbours(points: DataFrame, id_col: str, vector_col: str, k: int =
         F.sort_array(F.collect_list("id")).alias("ids")  # at most k + 1
     )
     distinct = cut_lineage(groups.select(F.col("ids")[0].alias("id"), "vec", "ids"), "distinct")
-    pairs = _search(distinct.select("id", "vec"), k, seed, chunk_rows)
+    if method not in ("exact", "lsh"):
+        raise ValueError(f"unknown method {method}; choose exact or lsh")
+    pairs = (_search if method == "exact" else _hashed_search)(distinct.select("id", "vec"), k, seed, chunk_rows)
     members = distinct.select(F.col("id").alias("nbr"), "ids")
     others = pairs.join(members, "nbr").select("id", "dist", F.explode("ids").alias("nbr"))
     own = distinct.select("id", F.lit(0.0).alias("dist"), F.explode("ids").alias("nbr"))
@@ -109,6 +117,113 @@ def _search(rows: DataFrame, k: int, seed: int, chunk_rows: int) -> DataFrame:
     return _ranked(_probe(cut_lineage(visits, "visits"), placed, k, None, seed), k)
 
 
+def _hashed_search(rows: DataFrame, k: int, seed: int, chunk_rows: int) -> DataFrame:
+    """``(id, nbr, dist, rank)`` among distinct points by multi-probe hashing.
+
+    The number of projections follows the number of rows, so that buckets stay small. A crowded bucket is cut into chunks, all of which are
+    visited. A point that meets fewer than k others is compared with all rows, in blocks.
+    """
+    n = rows.count()
+    if not n:
+        return rows.select("id", F.col("id").alias("nbr"), F.lit(0.0).alias("dist"), F.lit(1).alias("rank"))
+    width = len(rows.first()["vec"])
+    m = max(0, math.ceil(math.log2(max(1.0, n / BUCKET_ROWS)) / SLOT_BITS))
+    if m:
+        directions = np.random.default_rng(seed).normal(size=(TABLES * m, width))
+        centre, spread = _projected(rows, directions)
+        offset = np.random.default_rng(seed + 1).random(TABLES * m)
+    else:
+        directions, centre, spread, offset = np.zeros((0, width)), np.zeros(0), np.ones(0), np.zeros(0)
+
+    def slots(batch: pd.DataFrame) -> np.ndarray:
+        return ((_matrix(batch["vec"]) @ directions.T - centre) / (WIDTH * spread) + offset).reshape(len(batch), -1 if m else 1, m)
+
+    tables = TABLES if m else 1
+
+    def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                at = np.floor(slots(batch)).astype(np.int64)
+                for t in range(tables):
+                    yield batch.assign(cell=_bucket(at[:, t], t))
+
+    def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                place = slots(batch)
+                for t in range(tables):
+                    for cell in _probed(place[:, t], t):
+                        yield pd.DataFrame({"id": batch["id"], "cell": cell})
+
+    placed = cut_lineage(rows.mapInPandas(index, "id bigint, vec array<double>, cell bigint"), "buckets")
+    sizes = cut_lineage(placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / chunk_rows).cast("int").alias("chunks")), "sizes")
+    slot = F.pmod(F.xxhash64(F.lit(seed + 1), "id"), F.col("chunks")).cast("int")
+    held = placed.join(sizes, "cell").select("id", "vec", "cell", slot.alias("chunk"))
+    every = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")
+    visits = rows.mapInPandas(probe, "id bigint, cell bigint").join(sizes, "cell").select("id", "cell", every)
+    # Visits are written without vectors, which join them where the chunk is searched.
+    found = _probe(cut_lineage(visits, "visits").join(rows, "id"), held, k, None, seed)
+    found = cut_lineage(found.groupBy("id", "nbr").agg(F.min("dist").alias("dist")), "found")
+    wanted = min(k, n - 1)
+    enough = found.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= wanted)
+    lonely = cut_lineage(rows.join(enough, "id", "left_anti"), "lonely") if wanted else rows.limit(0)
+    if not lonely.isEmpty():
+        chunks = math.ceil(n / chunk_rows)
+        asking = lonely.select("id", "vec", F.lit(0).alias("cell"), F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
+        block = F.pmod(F.xxhash64(F.lit(seed + 1), "id"), F.lit(chunks)).cast("int")
+        more = _probe(asking, rows.select("id", "vec", F.lit(0).alias("cell"), block.alias("chunk")), k, None, seed)
+        found = found.join(lonely.select("id"), "id", "left_anti").unionByName(more)
+    return _ranked(found, k)
+
+
+def _projected(rows: DataFrame, directions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and deviation of every projection over all rows."""
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((3, len(directions)))
+        for batch in batches:
+            if len(batch):
+                p = _matrix(batch["vec"]) @ directions.T
+                total += np.stack([np.full(len(directions), float(len(p))), p.sum(axis=0), (p * p).sum(axis=0)])
+        yield pd.DataFrame({"j": np.arange(len(directions)), "n": total[0], "s": total[1], "q": total[2]})
+
+    parts = rows.mapInPandas(sums, "j int, n double, s double, q double")
+    each = parts.groupBy("j").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q")).orderBy("j").collect()  # one row per projection
+    n, s, q = (np.array([r[c] for r in each]) for c in ("n", "s", "q"))
+    spread = np.sqrt(np.maximum(q / n - (s / n) ** 2, 0))
+    # Rounded, so that the order of the sums, which differs between runs, moves no boundary by the last digits.
+    rounded = lambda v: np.array([float(f"{x:.9g}") for x in v])
+    return rounded(s / n), rounded(np.where(spread > 0, spread, 1.0))
+
+
+def _bucket(at: np.ndarray, table: int) -> np.ndarray:
+    """A number for each row of slots in a table."""
+    h = np.full(len(at), table + 1, np.uint64)
+    for column in at.T:
+        h = (h ^ column.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return h.view(np.int64)
+
+
+def _probed(place: np.ndarray, table: int) -> Iterator[np.ndarray]:
+    """Each point's own bucket, then those of one or two steps over a boundary, nearest boundaries first."""
+    at = np.floor(place).astype(np.int64)
+    yield _bucket(at, table)
+    m = at.shape[1]
+    below = place - at
+    cost = np.concatenate([below, 1 - below], axis=1) ** 2  # a step down or up in each projection
+    first, second = np.triu_indices(2 * m, 1)
+    apart = second - first != m  # not down and up in one
+    first, second = np.concatenate([np.arange(2 * m), first[apart]]), np.concatenate([np.full(2 * m, -1), second[apart]])
+    total = cost[:, first] + np.where(second >= 0, cost[:, second], 0.0)
+    order = np.argsort(total, axis=1, kind="stable")[:, :PROBES]
+    for chosen in order.T:
+        moved, rows = at.copy(), np.arange(len(at))
+        for step in (first[chosen], second[chosen]):
+            real = step >= 0
+            moved[rows[real], step[real] % m] += np.where(step[real] < m, -1, 1)
+        yield _bucket(moved, table)
+
+
 def _pivots(rows: DataFrame, cells: int, seed: int) -> np.ndarray:
     """Distinct points in hash order, at most ``MAX_PIVOTS`` of them."""
     chosen = rows.select("vec", F.xxhash64(F.lit(seed), "id").alias("h")).orderBy("h").limit(cells).collect()
@@ -207,11 +322,11 @@ def _unit(*parts: Column) -> Column:
 
 
 def smote(df: DataFrame, vector_col: str, label: str, id_col: str, k: int = 5, seed: int = 42,
-          chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+          chunk_rows: int = CHUNK_ROWS, method: str = "exact") -> DataFrame:
     """Original rows plus synthetic positives up to parity: ``(id, vec, label, synthetic)``.
 
     Each synthetic point lies between a positive and one of its ``min(k, n_pos - 1)`` nearest positives. Every
-    positive serves as base equally often, give or take one.
+    positive serves as base equally often, give or take one. ``method`` is that of :func:`nearest_neighbours`.
     """
     rows = df.select(
         F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("vec"),
@@ -224,7 +339,7 @@ def smote(df: DataFrame, vector_col: str, label: str, id_col: str, k: int = 5, s
         return original
     k = min(k, n["pos"] - 1)
     minority = rows.where(F.col("label") == 1).select("id", "vec")
-    pairs = nearest_neighbours(minority, "id", "vec", k, seed, chunk_rows)
+    pairs = nearest_neighbours(minority, "id", "vec", k, seed, chunk_rows, method)
     other = minority.select(F.col("id").alias("nbr"), F.col("vec").alias("nvec"))
     near = pairs.join(other, "nbr").groupBy("id").agg(
         F.sort_array(F.collect_list(F.struct("rank", "nvec"))).alias("near")  # at most k entries

@@ -171,6 +171,37 @@ def _(spark, sf):
     return found.select("id", "nbr", F.round("dist", 6).alias("dist"), "rank")
 
 
+@query("neighbours_lsh_holds", """
+select count(*) as n, true as five_each, true as recall_reached, true as same_distances from embeddings""")
+def _(spark, sf):
+    """Hashing finds at least 90 % of the exact neighbours of all vectors, five for everyone, at the same distances."""
+    rows = table(spark, sf, "embeddings")
+    near = cut_lineage(neighbours.nearest_neighbours(rows, "vec_id", "embedding", 5, method="lsh"), "hashed")
+    exact = cut_lineage(neighbours.nearest_neighbours(rows, "vec_id", "embedding", 5), "exact")
+    both = exact.join(near.select("id", "nbr", F.col("dist").alias("found")), ["id", "nbr"], "left")
+    each = both.groupBy("id").agg(F.count("found").alias("hits"), F.bool_and(F.col("found").isNull() | (F.abs(F.col("found") - F.col("dist")) < 1e-9)).alias("same"))
+    return each.join(near.groupBy("id").agg(F.count(F.lit(1)).alias("k")), "id").agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and(F.col("k") == 5).alias("five_each"), (F.avg(F.col("hits") / 5.0) >= 0.9).alias("recall_reached"),
+        F.bool_and("same").alias("same_distances"),
+    )
+
+
+@query("smote_points_holds", """
+select sum((label <> 0)::int) - sum((label = 0)::int) as n, true as even, true as on_segment from embeddings""")
+def _(spark, sf):
+    """Every synthetic point lies between its base and one of the base's five nearest positives; bases serve equally often."""
+    rows = cut_lineage(embedding_rows(spark, sf).where("y = 1").select("id", F.col("embedding").cast("array<double>").alias("x")), "positives")
+    made = cut_lineage(neighbours.smote(embedding_rows(spark, sf), "embedding", "y", "id").where("synthetic").select("id", F.col("vec").alias("v")), "made")
+    made = made.withColumn("row", F.monotonically_increasing_id())
+    near = neighbours.nearest_neighbours(rows, "id", "x", 5).select("id", "nbr")
+    length = lambda a, b: F.sqrt(F.aggregate(F.zip_with(a, b, lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda t, e: t + e))
+    tried = made.join(near, "id").join(rows, "id").join(rows.select(F.col("id").alias("nbr"), F.col("x").alias("z")), "nbr")
+    excess = length("x", "v") + length("v", "z") - length("x", "z")
+    points = tried.groupBy("row", "id").agg((F.min(excess) < 1e-6).alias("between"))
+    bases = points.groupBy("id").agg(F.count(F.lit(1)).alias("times"), F.bool_and("between").alias("between"))
+    return bases.agg(F.sum("times").alias("n"), (F.max("times") - F.min("times") <= 1).alias("even"), F.bool_and("between").alias("on_segment"))
+
+
 def trained(spark, sf):
     return gbt_on_tx(spark, sf, ratio=1.0)
 

@@ -170,6 +170,35 @@ def test_neighbours_equal_brute_force(spark, chunk_rows):
         assert np.allclose([got[i][r][0] for r in range(1, 6)], dist[i, order])
 
 
+def test_hashed_neighbours_against_brute_force(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(40, 16)) * 3
+    x = np.concatenate([centres[rng.integers(0, 40, 1200)] + rng.normal(size=(1200, 16)), np.ones((60, 16)), np.full((1, 16), 900.0)])
+    df = spark.createDataFrame([(i, list(map(float, v))) for i, v in enumerate(x)], "id long, v array<double>")
+    monkeypatch.setattr(N, "BUCKET_ROWS", 40)
+    run = lambda d: sorted(tuple(r) for r in N.nearest_neighbours(d, "id", "v", 5, chunk_rows=100, method="lsh").collect())
+    got = run(df)
+    assert got == run(df.repartition(5))
+    dist = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    np.fill_diagonal(dist, np.inf)
+    hits = 0
+    for i in range(len(x)):
+        mine = [r for r in got if r[0] == i]
+        assert [r[3] for r in sorted(mine, key=lambda r: r[3])] == [1, 2, 3, 4, 5]  # also the one far from all others
+        assert np.allclose([r[2] for r in mine], [dist[i, r[1]] for r in mine])
+        hits += len({r[1] for r in mine} & set(sorted(range(len(x)), key=lambda j: (dist[i, j], j))[:5]))
+    assert hits >= 0.9 * 5 * len(x)
+
+
+def test_hashed_neighbours_of_few_points(spark):
+    df = spark.createDataFrame([(1, [0.0]), (2, [0.0]), (3, [5.0])], "id long, v array<double>")
+    got = sorted((r["id"], r["nbr"], r["rank"]) for r in N.nearest_neighbours(df, "id", "v", 5, method="lsh").collect())
+    assert got == [(1, 2, 1), (1, 3, 2), (2, 1, 1), (2, 3, 2), (3, 1, 1), (3, 2, 2)]
+    assert N.nearest_neighbours(df.limit(0), "id", "v", method="lsh").count() == 0
+    with pytest.raises(ValueError):
+        N.nearest_neighbours(df, "id", "v", method="guess")
+
+
 def test_smote_reaches_parity_and_keeps_the_rest(spark, data):
     df = data.select("id", "y", F.array(*FEATURES).alias("v"))
     out = N.smote(df, "v", "y", "id").cache()
