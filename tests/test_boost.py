@@ -215,3 +215,51 @@ def test_shapley_values_equal_enumeration(n, depth, width, monkeypatch):
     for row, own in zip(x, phi):
         want, empty = enumerated(trees, row)
         assert np.allclose(own, want, atol=1e-8) and base == pytest.approx(empty)
+
+
+def test_half_a_million_rows_need_no_job_for_each_level(spark):
+    df = spark.range(520_000, numPartitions=4).selectExpr("array(id % 97, id % 31) as x", "cast(id % 97 > 60 and id % 31 > 9 as double) as y")
+    df = df.withColumn("features", array_to_vector("x"))
+    spark.sparkContext.setJobGroup("levels", "levels")
+    try:
+        model = B.fit(df, "features", "y", replace(CFG, rounds=8))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("levels"))
+    assert model.getNumTrees == 8 and jobs < 8 * CFG.depth
+
+
+@pytest.mark.parametrize("leaves, subsample", [(0, 0.7), (9, 1.0)])
+def test_rows_kept_by_leaf_give_the_margins_of_the_tree(leaves, subsample, monkeypatch):
+    monkeypatch.setattr(B, "COUNTED", 0.01)
+    rng, sizes = np.random.default_rng(leaves), (12, 40, 5, 3)
+    bins = np.stack([rng.integers(0, s, 3000) for s in sizes], axis=1).astype(np.uint8)
+    y, held = (bins[:, 1] * bins[:, 0] > 150).astype(float), rng.random(3000) < 0.2
+    blocks = [(np.arange(lo, lo + 1000), bins[lo:lo + 1000], y[lo:lo + 1000], np.ones(1000), held[lo:lo + 1000], np.zeros(1000), ()) for lo in (0, 1000, 2000)]
+    cfg = replace(CFG, leaves=leaves, subsample=subsample, depth=5)
+    whole, apart = B._shards(blocks, sizes, 2.0**30), [s for b in blocks for s in B._shards([b], sizes, 2.0**30)]
+    for number in range(4):
+        r, made = B._Round.of(cfg, number, 2.0**30, sizes), []
+        for shards in (whole, apart):
+            for s in shards:
+                s.begin(r)
+            grown = []
+            tree = r.tree(lambda arrays, nodes: sum(s.histograms(r, arrays, nodes) for s in shards), grown)
+            before = [s.margin.copy() for s in shards]
+            for s in shards:
+                s.end(tree, *grown)
+            own = np.concatenate([s.margin - b for s, b in zip(shards, before)])
+            assert np.allclose(own, np.array(tree.value)[B.descend(bins, tree.arrays())], atol=1e-12)
+            made.append(vars(tree))
+        assert made[0] == made[1] and len(made[0]["value"]) > 5
+
+
+def test_precision_over_several_ranges(spark, monkeypatch):
+    x, y, w = table(900, seed=5)
+    held = np.arange(900) % 2 == 0
+    df, cfg = frame(spark, x, y, w, held), replace(CFG, rounds=6)
+    one = B.fit(df, "features", "y", cfg, "w", "held")
+    monkeypatch.setattr(B, "RANKED_ROWS", 40)
+    monkeypatch.setattr(B, "BLOCK_ROWS", 100)
+    many = B.fit(df, "features", "y", cfg, "w", "held")
+    assert one.getOrDefault("precisions") == many.getOrDefault("precisions") and len(set(one.getOrDefault("precisions"))) > 1
