@@ -126,6 +126,13 @@ def test_policy(spark, name, recall, drift, days, want):
     assert tuple(row) == want
 
 
+def test_reason_names_its_figures(spark):
+    rows = [(0.79, 0.5, 9), (0.80, 0.16, 9), (0.9, 0.15, 7), (0.9, 0.1, 6)]
+    df = spark.createDataFrame(rows, "r double, k double, d int").coalesce(1)
+    got = [r[0] for r in df.select(R.retrain_reason(F.col("r"), F.col("k"), F.col("d"))).collect()]
+    assert got == ["recall drop: 0.7900 < 0.8", "drift exceeded: 0.1600 > 0.15", "periodic: 7d since last retrain", ""]
+
+
 @pytest.fixture(scope="module")
 def healthy(spark):
     return spark.range(1, 91).select(
