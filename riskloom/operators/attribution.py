@@ -25,8 +25,8 @@ from riskloom.operators.metrics import auc_roc
 from riskloom.operators.neighbours import hash_rank
 
 
-#: Numbers in the arrays that a task works on at once.
-CELLS = 1 << 20
+#: Numbers in the arrays that a task works on at once, so few that they stay in a core's cache.
+CELLS = 1 << 15
 
 
 def gbt_stage(model: PipelineModel) -> BoostedTrees:

@@ -41,7 +41,8 @@ from riskloom.operators.running import range_cuts
 from riskloom.session import cut_lineage
 
 BLOCK_ROWS = 1 << 16
-#: Rows that one task grows trees on, as long as they take no more than TASK_BYTES; jobs for every level take as long from there on.
+#: Rows that one task grows trees on, as long as they take no more than TASK_BYTES; jobs for every level take as long from there on. Tasks
+#: that run side by side take a quarter of that.
 PARTITION_ROWS, TASK_BYTES = 8_000_000, 1 << 30
 #: Rows that one task turns into bin numbers.
 BINNED_ROWS = 500_000
@@ -611,11 +612,11 @@ def fit(rows: DataFrame, features_col: str, label: str, cfg: TreeConfig = TreeCo
     unit = 2.0 ** min(30, 61 - math.ceil(math.log2(about["n"] + 1))) / max(about["heaviest"], 1e-12)
     blocks = cut_lineage(_blocks(plain.coalesce(-(-about["n"] // BINNED_ROWS)), cuts), "blocks")
     state = _state(blocks, width, base)
-    tasks = math.ceil(about["n"] * (3 * width + 96) / TASK_BYTES)
-    if about["n"] <= PARTITION_ROWS and tasks == 1:
+    size = about["n"] * (3 * width + 96)
+    if about["n"] <= PARTITION_ROWS and size <= TASK_BYTES:
         state, grower = state.coalesce(1), _in_one_task
     else:
-        state, grower = _dealt(state, max(tasks, spark.sparkContext.defaultParallelism)), _over_cluster
+        state, grower = _dealt(state, max(-(-4 * size // TASK_BYTES), spark.sparkContext.defaultParallelism)), _over_cluster
     trees: list[Tree] = []
     scores: list[float] = []
     in_memory: list[RDD] = []

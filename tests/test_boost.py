@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import tracemalloc
 from dataclasses import replace
 
 import numpy as np
@@ -263,3 +264,13 @@ def test_precision_over_several_ranges(spark, monkeypatch):
     monkeypatch.setattr(B, "BLOCK_ROWS", 100)
     many = B.fit(df, "features", "y", cfg, "w", "held")
     assert one.getOrDefault("precisions") == many.getOrDefault("precisions") and len(set(one.getOrDefault("precisions"))) > 1
+
+
+def test_shapley_values_take_little_memory():
+    rng = np.random.default_rng(7)
+    groups, _ = A.leaves_by_length([random_tree(rng, 6, 6, True) for _ in range(40)])
+    tracemalloc.start()
+    phi = A.explain_rows(groups, rng.normal(size=(2000, 6)), 6)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert phi.shape == (2000, 6) and peak < 30e6
