@@ -274,3 +274,24 @@ def test_shapley_values_take_little_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert phi.shape == (2000, 6) and peak < 30e6
+
+
+def test_a_tree_takes_as_many_passes_as_it_has_levels(spark):
+    x, y, w = table(2000, seed=8)
+    bins = B.bin_numbers(x, [np.linspace(-2, 2, 40)] * 4)
+    block = np.arange(2000), np.asfortranarray(bins), y, w, np.zeros(2000, bool), np.zeros(2000), ()
+    r, asked = B._Round.of(replace(CFG, depth=6), 0, 2.0**28, (42,) * 4), []
+    own = B._Drawn.of(block, r)
+
+    def count(arrays, nodes):
+        asked.append(len(nodes))
+        total = np.zeros((len(nodes), len(r.columns), r.n_bins, 3), np.int64)
+        own.add_to(total, r, arrays, nodes)
+        return total
+
+    tree = r.tree(count)
+    shard = B._shards([block], r.sizes, r.unit)[0]
+    shard.begin(r)
+    assert tree.leaves() > 40 and len(asked) == 6
+    assert vars(tree) == vars(r.tree(lambda arrays, nodes: shard.histograms(r, arrays, nodes)))
+    assert np.allclose(B.after(block, tree.arrays(), np.array(tree.value))[5], np.array(tree.value)[B.descend(bins, tree.arrays())])

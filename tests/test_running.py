@@ -159,3 +159,14 @@ def test_golden_costs(spark):
 def test_histogram_last_bin_is_closed(spark):
     df = spark.createDataFrame([(0, 0.0), (0, 1.0), (0, 0.99)], "y int, s double")
     assert sorted(map(tuple, M.score_histogram(df, "y", "s", 10).collect())) == [(0, 0, 1), (0, 9, 2)]
+
+
+def test_cut_points_of_many_crowded_bins(spark):
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal(size=4000) * 1e-9 + k for k in range(12)] + [np.full(3000, 7.5), [np.nan, -np.inf, np.inf]])
+    df = spark.createDataFrame([(float(v), float(-v)) for v in x], "a double, b double").repartition(3)
+    cuts = R.range_cuts(df, ["a", "b"], 500)
+    known = x[~np.isnan(x)]
+    for c, values in (("a", known), ("b", -known)):
+        sizes = np.bincount(np.searchsorted(np.array(cuts[c]), values, side="right"))
+        assert (sizes > 500).sum() <= 1 and sizes.max() <= 3000 + 500 and len(cuts[c]) < 4 * len(known) / 500
