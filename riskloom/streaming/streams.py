@@ -248,25 +248,37 @@ class NotifyProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.last = handle.getValueState("last", "last bigint")
-        self.waiting = handle.getMapState("waiting", "t bigint", "n bigint")
+        self.waiting = handle.getMapState("waiting", "minute bigint", "seconds bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        # Counts per second, so what waits is bounded by the watermark's delay.
+        # The seconds of each minute as bits, gathered over all rows first: state is written once a minute, however many rows there are.
+        minutes: dict[int, int] = {}
         for chunk in rows:
-            for t, n in chunk["us"].floordiv(1_000_000).value_counts().items():
-                held = self.waiting.getValue((int(t),))[0] if self.waiting.containsKey((int(t),)) else 0
-                self.waiting.updateValue((int(t),), (held + int(n),))
-                self.handle.registerTimer((int(t) + 1) * 1000)
+            for t in chunk["us"].floordiv(1_000_000).unique().tolist():
+                minutes[t // 60] = minutes.get(t // 60, 0) | 1 << t % 60
+        for minute, seconds in minutes.items():
+            if self.waiting.containsKey((minute,)):
+                seconds |= self.waiting.getValue((minute,))[0]
+            else:
+                self.handle.registerTimer((minute + 1) * 60_000)
+            self.waiting.updateValue((minute,), (seconds,))
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        t = expiredTimerInfo.getExpiryTimeInMs() // 1000 - 1
-        if self.waiting.containsKey((t,)):
-            self.waiting.removeKey((t,))
-            last = self.last.get()[0] if self.last.exists() else None
+        minute = expiredTimerInfo.getExpiryTimeInMs() // 60_000 - 1
+        if not self.waiting.containsKey((minute,)):
+            return
+        seconds = self.waiting.getValue((minute,))[0]
+        self.waiting.removeKey((minute,))
+        before = last = self.last.get()[0] if self.last.exists() else None
+        out = []
+        for t in (minute * 60 + s for s in range(60) if seconds >> s & 1):
             if last is None or t - last >= self.repeat:
-                self.last.update((t,))
-                yield pd.DataFrame([_key_row(self.names, key, notified_at=t)])
+                last = t
+                out.append(_key_row(self.names, key, notified_at=t))
+        if last != before:
+            self.last.update((last,))
+            yield pd.DataFrame(out)
 
     def close(self) -> None:
         pass

@@ -254,3 +254,29 @@ def test_a_stream_without_files_is_an_error(spark, tmp_path):
     (tmp_path / "none").mkdir()
     with pytest.raises(Exception):
         S.table_stream(spark, f"{tmp_path}/none", spark.range(1).schema)
+
+
+def test_waiting_alerts_cost_state_by_the_minute_not_by_the_row():
+    calls = []
+
+    class State(dict):
+        containsKey = dict.__contains__
+        getValue = dict.__getitem__
+        removeKey = dict.pop
+
+        def updateValue(self, k, v):
+            calls.append(k)
+            self[k] = v
+
+    class Handle:
+        state = State()
+        getValueState = lambda self, *a: None
+        getMapState = lambda self, *a: self.state
+        registerTimer = lambda self, t: None
+
+    import pandas as pd
+    told = S.NotifyProcessor(["k"], 3600)
+    told.init(Handle())
+    chunk = pd.DataFrame({"us": [s * 1_000_000 for s in range(300)] * 4})
+    list(told.handleInputRows(("a",), iter([chunk] * 20), None))
+    assert len(calls) == 5 and all(v == ((1 << 60) - 1,) for v in Handle.state.values())
